@@ -107,18 +107,20 @@ def natural_duration(seconds) -> Column:
             .otherwise(F.concat(years.cast("long").cast("string"), F.lit(" years"))))
 
 
-def fill(template, *values) -> Column:
-    """F8: positional ``{}`` fill, then strip.
-
-    The template is split on ``{}`` and the values are interleaved, so braces inside a value
-    are left alone. Extra values are ignored, like ``str.format``.
-    """
+def fmt(template, *values) -> Column:
+    """Positional ``{}`` fill. The template is split on ``{}`` and the values are interleaved,
+    so braces inside a value are left alone. Extra values are ignored, like ``str.format``."""
     parts = F.split(_c(template), r"\{\}", -1)
     pieces = [F.element_at(parts, 1)]
     for i, v in enumerate(values, start=1):
         pieces.append(F.when(F.size(parts) > i, F.concat(_c(v).cast("string"), F.element_at(parts, i + 1)))
                       .otherwise(F.lit("")))
-    return py_strip(F.concat(*pieces))
+    return F.concat(*pieces)
+
+
+def fill(template, *values) -> Column:
+    """F8: positional ``{}`` fill, then strip."""
+    return py_strip(fmt(template, *values))
 
 
 # ---------------------------------------------------------------------------------------------

@@ -28,4 +28,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     # importing the modules fills the registry
-    from chatloom.plans import q_dataset  # noqa: F401
+    from chatloom.plans import q_dataset, q_generate, q_select, q_text  # noqa: F401
