@@ -51,8 +51,11 @@ def explode_messages(df: DataFrame, trainer: str, revision: str, source: str = "
     """One row per message, position dense from 0 in array order; one conversation per row of
     ``df`` (id = md5 of trainer, revision, source[, extra key])."""
     conv = conversation if conversation is not None else md5_key(F.lit(trainer), F.lit(revision), F.col(source))
-    staged = df.select(conv.alias("conversation"), F.col(source).cast("long").alias("source"),
-                       F.posexplode(messages).alias("position", "m"))
+    # posexplode_outer: an inner explode makes Spark infer a "size(messages) > 0" filter and push
+    # it below the generator, inlining every model round into one huge predicate.
+    staged = (df.select(conv.alias("conversation"), F.col(source).cast("long").alias("source"),
+                        F.posexplode_outer(messages).alias("position", "m"))
+              .where(F.col("m").isNotNull()))
     return staged.select("conversation", F.col("position").cast("int").alias("position"),
                          F.col("m.content").alias("content"), F.col("m.role").alias("role"),
                          F.lit(trainer).alias("trainer"), F.lit(revision).alias("revision"),

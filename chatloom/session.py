@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # only takes effect when this process starts the JVM (local runs, tests)
+    "spark.driver.memory": "8g",
 }
 
 
