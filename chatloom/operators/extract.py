@@ -33,6 +33,7 @@ class PageSpec:
 @dataclass
 class Extracted:
     parsed: DataFrame
+    good: DataFrame
     document: DataFrame
     recipe: DataFrame
     quarantine: DataFrame
@@ -49,8 +50,8 @@ def has_block(html: Column, script_id: str) -> Column:
 
 def jsonld_parse(block: Column) -> Column:
     """First element of the JSON array; raw newlines inside strings are accepted."""
-    return F.element_at(F.from_json(block, META_SCHEMA, {"allowUnquotedControlChars": "true", "mode": "PERMISSIVE"}),
-                        1)
+    return F.try_element_at(F.from_json(block, META_SCHEMA, {"allowUnquotedControlChars": "true",
+                                                             "mode": "PERMISSIVE"}), F.lit(1))
 
 
 def meta_description(html: Column, name: str = "description") -> Column:
@@ -72,7 +73,7 @@ def parse_pages(pages: DataFrame, spec: PageSpec = PageSpec()) -> DataFrame:
                      meta_description(html, spec.description).alias("subtitle_raw"),
                      article_text(html, spec.selector).alias("text_raw"))
     m = F.col("meta")
-    is_recipe = F.coalesce(F.element_at(m["@type"], 1) == "Recipe", F.lit(False))
+    is_recipe = F.coalesce(F.try_element_at(m["@type"], F.lit(1)) == "Recipe", F.lit(False))
     rating_raw = m["aggregateRating"]["ratingValue"]
     count_raw = m["aggregateRating"]["ratingCount"]
     prep, total = m["prepTime"], m["totalTime"]
@@ -83,7 +84,7 @@ def parse_pages(pages: DataFrame, spec: PageSpec = PageSpec()) -> DataFrame:
     reason = (F.when(~F.col("has_block"), "no_script")
               .when(m.isNull(), "json")
               .when(m["headline"].isNull(), "missing_headline")
-              .when(F.element_at(m["author"], 1)["name"].isNull(), "missing_author")
+              .when(F.try_element_at(m["author"], F.lit(1))["name"].isNull(), "missing_author")
               .when(is_recipe & bad_number, "bad_number")
               .when(is_recipe & bad_duration, "bad_duration")
               .when(F.coalesce(text, F.lit("")) == "", "empty_text"))
@@ -91,7 +92,7 @@ def parse_pages(pages: DataFrame, spec: PageSpec = PageSpec()) -> DataFrame:
         "source", "meta", reason.alias("reason"), is_recipe.alias("is_recipe"),
         unescape(m["headline"]).alias("title"),
         text.alias("text"),
-        unescape(F.element_at(m["author"], 1)["name"]).alias("author"),
+        unescape(F.try_element_at(m["author"], F.lit(1))["name"]).alias("author"),
         unescape(F.col("subtitle_raw")).alias("subtitle"),
     )
 
@@ -126,4 +127,4 @@ def extract_pages(pages: DataFrame, spec: PageSpec = PageSpec()) -> Extracted:
                                                                                           spec.wrap_days))
     recipe = recipe.withColumn("id", F.col("document"))
     quarantine = parsed.where(F.col("reason").isNotNull()).select("source", "reason")
-    return Extracted(parsed, document, recipe, quarantine)
+    return Extracted(parsed, good, document, recipe, quarantine)

@@ -129,14 +129,14 @@ _JSON_SQL = f"""'[{{"@type": ' || CASE WHEN id % 13 = 0 THEN '"Recipe"' WHEN id
  || CASE WHEN total_time IS NOT NULL THEN ', "totalTime": "' || {_iso_sql('total_time')} || '"' ELSE '' END
  || ', "recipeYield": "' || {_esc_sql('recipe_yield')} || '"}}]'"""
 
-_REASON = """CASE WHEN id % 31 = 0 THEN 'no_script' WHEN id % 19 = 0 THEN 'json' WHEN id % 17 = 0 THEN 'missing_headline'
+_REASON = """CASE WHEN id % 31 = 0 THEN 'no_script' WHEN id % 19 = 0 AND id % 17 <> 0 THEN 'json' WHEN id % 17 = 0 THEN 'missing_headline'
   WHEN id % 37 = 0 THEN 'missing_author' WHEN is_recipe AND id % 41 = 0 THEN 'bad_number'
   WHEN is_recipe AND id % 23 = 0 THEN 'bad_duration' WHEN id % 29 = 0 THEN 'empty_text' END"""
 _EXPECTED = f"""WITH recipe AS ({VIEWS['recipe']}),
 pg AS (SELECT *, 'https://kitchen.example/r/' || CAST(id AS VARCHAR) AS source,
               NOT (id % 13 = 0 OR id % 11 = 0) AS is_recipe, {_JSON_SQL} AS json FROM recipe),
-ex AS (SELECT *, {_REASON} AS reason, unique_title || ' & Co' AS title FROM pg),
-good AS (SELECT *, CAST(('0x' || substr(md5(title), 1, 15)) AS BIGINT) AS document FROM ex WHERE reason IS NULL)
+ex AS (SELECT *, {_REASON} AS reason, unique_title || ' & Co' AS doc_title FROM pg),
+good AS (SELECT *, CAST(('0x' || substr(md5(doc_title), 1, 15)) AS BIGINT) AS doc_key FROM ex WHERE reason IS NULL)
 """
 _TEXT_SQL = (f"CASE WHEN id % 29 = 0 THEN '' ELSE array_to_string(ingredients, ', ') || array_to_string(directions, ' ')"
              f" || '  ' || '{PARA3}' END")
@@ -170,7 +170,7 @@ def article_text_q(spark, sf_dir):
 
 
 @register("unescape_text", _EXPECTED + """SELECT source, CASE WHEN id % 31 = 0 OR id % 19 = 0 OR id % 17 = 0 THEN NULL
-  ELSE title END AS title FROM ex""")
+  ELSE doc_title END AS title FROM ex""")
 def unescape_text(spark, sf_dir):
     return _parsed(spark, sf_dir).select("source", "title")
 
@@ -186,12 +186,12 @@ def quarantine(spark, sf_dir):
     return _extracted(spark, sf_dir).quarantine
 
 
-@register("classify_page", _EXPECTED + """SELECT source, is_recipe FROM pg WHERE NOT (id % 31 = 0 OR id % 19 = 0)""")
+@register("classify_page", _EXPECTED + """SELECT source, is_recipe FROM pg WHERE NOT (id % 31 = 0 OR (id % 19 = 0 AND id % 17 <> 0))""")
 def classify_page(spark, sf_dir):
     return _parsed(spark, sf_dir).where(F.col("meta").isNotNull()).select("source", "is_recipe")
 
 
-@register("recipe_fields", _EXPECTED + """SELECT document, review_score, review_count,
+@register("recipe_fields", _EXPECTED + """SELECT doc_key AS document, review_score, review_count,
   array_to_string(ingredients, chr(10)) AS ingredients, array_to_string(directions, chr(10)) AS directions,
   array_to_string(reviews, chr(10)) AS reviews, array_to_string(category, chr(10)) AS category,
   array_to_string(cuisine, chr(10)) AS cuisine, recipe_yield FROM good WHERE is_recipe""")
@@ -201,27 +201,28 @@ def recipe_fields(spark, sf_dir):
                     ["ingredients", "directions", "reviews", "category", "cuisine"]], "recipe_yield")
 
 
-@register("durations", _EXPECTED + "SELECT document, prep_time, total_time FROM good WHERE is_recipe")
+@register("durations", _EXPECTED + """SELECT doc_key AS document, CAST(prep_time AS VARCHAR) AS prep_time,
+  CAST(total_time AS VARCHAR) AS total_time FROM good WHERE is_recipe""")
 def durations(spark, sf_dir):
-    return _extracted(spark, sf_dir).recipe.select("document", "prep_time", "total_time")
+    r = _extracted(spark, sf_dir).recipe
+    return r.select("document", F.col("prep_time").cast("string").alias("prep_time"),
+                    F.col("total_time").cast("string").alias("total_time"))
 
 
-@register("nutrition_map", _EXPECTED + """SELECT document,
+@register("nutrition_map", _EXPECTED + """SELECT doc_key AS document,
   array_to_string(list_transform(nutrition, lambda e: e.k || ': ' || e.v), chr(10)) AS nutrition FROM good
   WHERE is_recipe""")
 def nutrition_map(spark, sf_dir):
     return _extracted(spark, sf_dir).recipe.select("document", key_values("nutrition").alias("nutrition"))
 
 
-@register("split_tables", _EXPECTED + f"""SELECT document AS id, title, 'Kitchen ' || CAST(id % 10 AS VARCHAR) AS author,
+@register("split_tables", _EXPECTED + f"""SELECT doc_key AS id, doc_title AS title, 'Kitchen ' || CAST(id % 10 AS VARCHAR) AS author,
   source, CASE WHEN id % 2 = 0 THEN 'Serves ' || recipe_yield END AS subtitle, {_TEXT_SQL} AS text,
   is_recipe AS has_recipe FROM good""")
 def split_tables(spark, sf_dir):
-    ex = _extracted(spark, sf_dir)
-    flags = ex.recipe.select(F.col("document").alias("id"), F.lit(True).alias("has_recipe"))
-    return (ex.document.join(flags, "id", "left")
-            .select("id", "title", "author", "source", "subtitle", "text",
-                    F.coalesce(F.col("has_recipe"), F.lit(False)).alias("has_recipe")))
+    # both tables come from the same parsed rows and share the key: one pass, no join back
+    good = _extracted(spark, sf_dir).good
+    return good.select("id", "title", "author", "source", "subtitle", "text", F.col("is_recipe").alias("has_recipe"))
 
 
 @register("quarantine_pages", "SELECT 'page/' || CAST(page_id AS VARCHAR) AS source, 'no_script' AS reason FROM pages")
