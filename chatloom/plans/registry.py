@@ -28,4 +28,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     # importing the modules fills the registry
-    from chatloom.plans import q_dataset, q_extract, q_generate, q_links, q_select, q_text  # noqa: F401
+    from chatloom.plans import (q_curate, q_dataset, q_extract, q_generate, q_links, q_select,  # noqa: F401
+                                q_store, q_text)
