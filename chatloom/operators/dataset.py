@@ -8,6 +8,7 @@ from chatloom.functions.chat import decode_role, encode_role, message, prepend,
 from chatloom.functions.text import py_strip
 from chatloom.operators.ranking import global_rank
 from chatloom.schemas import hex_fraction
+from chatloom.session import default_parallelism
 
 
 def assemble(training: DataFrame, revision: str | None = None, system: str | None = None,
@@ -65,15 +66,19 @@ def whitespace_tokens(text: Column) -> Column:
 
 
 def pack(samples: DataFrame, length: int = 6144, shards: int = 4, text: str = "text",
-         key: str = "conversation", tokenizer=whitespace_tokens, eos: str = "</s>") -> DataFrame:
+         key: str = "conversation", tokenizer=whitespace_tokens, eos: str = "</s>",
+         num_partitions: int | None = None) -> DataFrame:
     """Pack tokenised samples, each followed by ``eos``, into blocks of ``length`` tokens per
     shard, dropping each shard's incomplete last block.
 
-    Samples go to shards by a hash of their key and are packed in hash order. Offsets are a
-    running sum in a window partitioned by shard (streaming, no buffering of the shard); each
-    sample is exploded into the blocks it touches, and each block is regrouped from its pieces
-    (at most ``length`` tokens per group).
+    Samples go to shards by a hash of their key and are packed in hash order. The running token
+    offset is computed without a per-shard task: rows are range-partitioned on (shard, hash, key)
+    over ``num_partitions`` tasks, each task keeps a running sum, and a tiny table of per-(task,
+    shard) totals gives each task its starting offset (broadcast; one row per task and shard).
+    Each sample is exploded into the blocks it touches and each block is regrouped from its
+    pieces (at most ``length`` tokens per group).
     """
+    n_part = num_partitions or default_parallelism(samples.sparkSession)
     h = F.md5(F.col(key).cast("string"))
     toks = samples.select(
         F.col(key).alias("key"),
@@ -81,15 +86,21 @@ def pack(samples: DataFrame, length: int = 6144, shards: int = 4, text: str = "t
         h.alias("h"),
         F.concat(tokenizer(F.col(text)), F.array(F.lit(eos))).alias("tokens"),
     ).withColumn("n", F.size("tokens"))
-    w = Window.partitionBy("shard").orderBy("h", "key").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (toks.withColumn("end", F.sum("n").over(w))
+    ranged = toks.repartitionByRange(n_part, "shard", "h", "key").withColumn("_pid", F.spark_partition_id())
+    sums = ranged.groupBy("_pid", "shard").agg(F.sum("n").alias("_s"))
+    offsets = sums.select(  # at most n_part + shards rows
+        "_pid", "shard",
+        (F.sum("_s").over(Window.partitionBy("shard").orderBy("_pid")) - F.col("_s")).alias("_off"),
+        F.sum("_s").over(Window.partitionBy("shard")).alias("shard_tokens"))
+    w = Window.partitionBy("_pid", "shard").orderBy("h", "key").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (ranged.withColumn("_local", F.sum("n").over(w))
+              .join(F.broadcast(offsets), ["_pid", "shard"])
+              .withColumn("end", F.col("_local") + F.col("_off"))
               .withColumn("start", F.col("end") - F.col("n")))
-    totals = toks.groupBy("shard").agg(F.sum("n").alias("shard_tokens"))
     pieces = (placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / length),
                                                               F.floor((F.col("end") - 1) / length))))
               .withColumn("lo", F.greatest(F.col("start"), F.col("block") * length) - F.col("start"))
               .withColumn("hi", F.least(F.col("end"), (F.col("block") + 1) * length) - F.col("start"))
-              .join(F.broadcast(totals), "shard")  # one row per shard
               .where(F.col("block") < F.floor(F.col("shard_tokens") / length))
               .select("shard", "block", "start", "key",
                       F.slice("tokens", (F.col("lo") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int"))
