@@ -25,13 +25,14 @@ def exact_duplicates(docs: DataFrame, key: str = "id", text: str = "text") -> Da
     return h.join(keep, "_h").select(key, "keep_id")
 
 
-def shingles(docs: DataFrame, key: str = "id", text: str = "text", n: int = 5) -> DataFrame:
-    """Distinct word n-grams per document (every word of the whole text)."""
+def shingles(docs: DataFrame, key: str = "id", text: str = "text", n: int = 5, distinct: bool = True) -> DataFrame:
+    """Word n-grams per document (every word of the whole text); ``distinct`` makes them a set."""
     words = docs.select(key, F.split(normalize(F.col(text)), " ").alias("w"))
     grams = words.select(key, F.explode(F.transform(
         F.sequence(F.lit(0), F.greatest(F.size("w") - n, F.lit(0))),
         lambda i: F.array_join(F.slice("w", i + 1, n), " "))).alias("shingle"))
-    return grams.where(F.col("shingle") != "").distinct()
+    grams = grams.where(F.col("shingle") != "")
+    return grams.distinct() if distinct else grams
 
 
 def minhash_bands(sh: DataFrame, key: str = "id", bands: int = 8, rows: int = 4) -> DataFrame:
@@ -76,10 +77,15 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "text", thresh
                     n: int = 5, bands: int = 8, rows: int = 4) -> DataFrame:
     """B1: each document -> ``keep_id``: the smallest id of its LSH component when its own shingle
     Jaccard with that document is at least ``threshold``; itself otherwise."""
-    sh = shingles(docs, key, text, n)
-    bands_ = minhash_bands(sh, key, bands, rows)
+    # a minimum ignores repeats, so the signatures need no distinct (no shuffle of all shingles)
+    bands_ = minhash_bands(shingles(docs, key, text, n, distinct=False), key, bands, rows)
+    # docs x bands rows, read by every propagation round: materialise once in the shared folder
+    bands_ = cut_lineage(bands_)
     labels = components(bands_, key)
     pairs = labels.where(F.col("label") != F.col(key)).select(key, F.col("label").alias("other"))
+    # shingle sets only for documents in a candidate pair
+    involved = pairs.select(key).union(pairs.select(F.col("other").alias(key))).distinct()
+    sh = shingles(docs.join(involved, key, "left_semi"), key, text, n)
     verified = jaccard_to(sh, pairs, key).where(F.col("jaccard") >= threshold).select(key, F.col("other").alias("keep"))
     return (docs.select(key).join(verified, key, "left")
             .select(key, F.coalesce("keep", key).alias("keep_id")))

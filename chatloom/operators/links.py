@@ -68,7 +68,8 @@ def reachable(edges: DataFrame, seeds: DataFrame, max_rounds: int = 1000, checkp
     Every ``checkpoint_every`` rounds the visited set is checkpointed to the shared folder so the
     lineage (and a lost executor's recomputation) stays short.
     """
-    e = edges.select("src", "dst").distinct()
+    # every round reads the edges: materialise them once in the shared folder
+    e = cut_lineage(edges.select("src", "dst").distinct())
     seen = seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0))
     frontier = seen
     for depth in range(1, max_rounds + 1):
