@@ -67,11 +67,15 @@ def doc_key(title: Column) -> Column:
 
 def parse_pages(pages: DataFrame, spec: PageSpec = PageSpec()) -> DataFrame:
     html = F.col("html")
-    p = pages.select("source", "html",
-                     has_block(html, spec.script_id).alias("has_block"),
-                     jsonld_parse(jsonld_block(html, spec.script_id)).alias("meta"),
-                     meta_description(html, spec.description).alias("subtitle_raw"),
-                     article_text(html, spec.selector).alias("text_raw"))
+    # The parsed JSON goes through a generator (one element, outer): its output is computed once
+    # per row. As a plain column, every field read below would re-run the regex and the parse.
+    parsed = F.from_json(jsonld_block(html, spec.script_id), META_SCHEMA,
+                         {"allowUnquotedControlChars": "true", "mode": "PERMISSIVE"})
+    p = (pages.select("source", "html", has_block(html, spec.script_id).alias("has_block"),
+                      F.posexplode_outer(F.slice(parsed, 1, 1)).alias("_pos", "meta"))
+         .select("source", "has_block", "meta",
+                 meta_description(html, spec.description).alias("subtitle_raw"),
+                 article_text(html, spec.selector).alias("text_raw")))
     m = F.col("meta")
     is_recipe = F.coalesce(F.try_element_at(m["@type"], F.lit(1)) == "Recipe", F.lit(False))
     rating_raw = m["aggregateRating"]["ratingValue"]

@@ -16,6 +16,7 @@ from chatloom.functions.text import key_values, lines
 from chatloom.operators import extract as D
 from chatloom.plans.registry import register
 from chatloom.plans.sql_views import VIEWS
+from chatloom.session import default_parallelism
 from chatloom.sources.tables import load, recipe_view
 
 SPEC = D.PageSpec()
@@ -88,8 +89,11 @@ def recipe_pages(spark, sf_dir):
         F.lit('</head><body><nav><a class="card" href="/recipes/next">next</a></nav><article><h1>'), _esc(title_raw),
         F.lit('</h1><div class="text-passage">'), body,
         F.lit('<p class="note">Advertisement</p></div></article></body></html>'))
-    return r.select(F.concat(F.lit("https://kitchen.example/r/"), k.cast("string")).alias("source"),
-                    html.alias("html"), js.alias("json"))
+    pages = r.select(F.concat(F.lit("https://kitchen.example/r/"), k.cast("string")).alias("source"),
+                     html.alias("html"), js.alias("json"))
+    # a stored crawl is many files; spread the written pages the same way so the Python parsing
+    # step runs on every core instead of the single partition AQE would coalesce them into
+    return pages.repartition(default_parallelism(spark), "source")
 
 
 # ---- the same page writer and the expected results, in SQL -----------------------------------
