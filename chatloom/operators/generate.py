@@ -244,18 +244,63 @@ def _diverse_group(keep: int):
     return run
 
 
-def diverse(df: DataFrame, group: str, ordinal: str, vector: str, keep: int = 6) -> DataFrame:
+def _diverse_rounds(items: DataFrame, keep: int, checkpoint_every: int = 4) -> DataFrame:
+    """Exact greedy for groups too large for one task: every round scores all alive items of every
+    still-too-large group against its running sum in parallel, drops each group's best
+    (max_by aggregate, ties -> later ordinal) and subtracts it from the sum. Returns dropped
+    (grp, ordinal) pairs."""
+    from chatloom.session import cut_lineage
+    dims = items.select("grp", F.posexplode("vec").alias("i", "x"))
+    sums = (dims.groupBy("grp", "i").agg(F.sum("x").alias("x"))
+            .groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("_s")))  # d per group
+    counts = items.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    state = cut_lineage(sums.join(counts, "grp").select("grp", F.transform("_s", lambda e: e["x"]).alias("s"), "n"))
+    dropped = None
+    rnd = 0
+    while True:
+        active = state.where(F.col("n") > keep).select("grp", "s")
+        if active.isEmpty():
+            break
+        rnd += 1
+        alive = items.join(active, "grp")
+        if dropped is not None:
+            alive = alive.join(dropped, ["grp", "ordinal"], "left_anti")
+        scored = alive.withColumn("score", F.aggregate(F.zip_with("vec", "s", lambda a, b: a * b), F.lit(0.0),
+                                                       lambda acc, x: acc + x))
+        pick = scored.groupBy("grp").agg(F.max_by(F.struct("ordinal", "vec"), F.struct("score", "ordinal")).alias("p"))
+        step = pick.select("grp", F.col("p.ordinal").alias("ordinal"))
+        dropped = step if dropped is None else dropped.unionByName(step)
+        state = (state.join(pick, "grp", "left")
+                 .select("grp", F.when(F.col("p").isNull(), F.col("s"))
+                         .otherwise(F.zip_with("s", "p.vec", lambda a, b: a - b)).alias("s"),
+                         (F.col("n") - F.when(F.col("p").isNull(), 0).otherwise(1)).alias("n")))
+        state = cut_lineage(state)  # small: one row per large group
+        if rnd % checkpoint_every == 0:
+            dropped = cut_lineage(dropped)
+    return dropped
+
+
+def diverse(df: DataFrame, group: str, ordinal: str, vector: str, keep: int = 6,
+            max_local: int = 20_000) -> DataFrame:
     """While a group has more than ``keep`` items, drop the one whose (unit) vector is closest
     to the group's mean; ties drop the later item.
 
     With unit vectors the cosine to the mean orders like the dot product with the running sum,
-    so each drop is one matrix-vector product and a subtraction. Runs per group with
-    ``applyInPandas`` on (group, ordinal, vector) only; groups are one answer's question lines.
-    Returns the kept (group, ordinal) pairs.
+    so each drop is one matrix-vector product and a subtraction. Groups of at most ``max_local``
+    items (a question list is a handful) run with ``applyInPandas`` on (group, ordinal, vector)
+    only; larger groups take the exact distributed rounds above, so no group is ever collected
+    into a single task. Returns the kept (group, ordinal) pairs.
     """
     staged = df.select(F.col(group).alias("grp"), F.col(ordinal).cast("int").alias("ordinal"),
                        F.col(vector).cast("array<double>").alias("vec"))
-    kept = staged.groupBy("grp").applyInPandas(_diverse_group(keep), "grp long, ordinal int")
+    sizes = staged.groupBy("grp").agg(F.count(F.lit(1)).alias("_n"))
+    large = sizes.where(F.col("_n") > max_local).select("grp")
+    small = staged.join(sizes.where(F.col("_n") <= max_local).select("grp"), "grp", "left_semi")
+    kept = small.groupBy("grp").applyInPandas(_diverse_group(keep), "grp long, ordinal int")
+    if not large.isEmpty():
+        big = staged.join(large, "grp", "left_semi")
+        dropped = _diverse_rounds(big, keep)
+        kept = kept.unionByName(big.select("grp", "ordinal").join(dropped, ["grp", "ordinal"], "left_anti"))
     return kept.select(F.col("grp").alias(group), F.col("ordinal").alias(ordinal))
 
 

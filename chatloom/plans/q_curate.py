@@ -27,7 +27,7 @@ def near_duplicates(spark, sf_dir):
     return B.near_duplicates(d)
 
 
-@register("recipe_search", with_views("recipe", extra=[("items", """
+RECIPE_SEARCH_SQL = with_views("recipe", extra=[("items", """
 SELECT id, unique_title, review_score, len(ingredients) AS n_ing, ingredients, unnest(category) AS category
 FROM recipe WHERE review_score >= 4.0"""), ("names", """
 SELECT *, unnest(list_distinct(list_transform(ingredients, lambda x: regexp_extract(x, ' of (.*)$', 1)))) AS ingredient
@@ -36,13 +36,30 @@ SELECT *, len(list_filter(ingredients, lambda x: regexp_extract(x, ' of (.*)$',
 FROM names""")]) + """
 SELECT category, ingredient, rank, id, unique_title, share, review_score FROM (
   SELECT *, row_number() OVER (PARTITION BY category, ingredient ORDER BY share DESC, review_score DESC, id) AS rank
-  FROM share) WHERE rank <= 3""")
+  FROM share) WHERE rank <= 3"""
+
+
+@register("recipe_search", RECIPE_SEARCH_SQL)
 def recipe_search(spark, sf_dir):
     return B.recipe_search(recipe_view(spark, sf_dir), k=3, min_score=4.0).select(
         "category", "ingredient", F.col("rank").cast("long").alias("rank"), "id", "unique_title", "share",
         "review_score")
 
 
+_SEARCH_SQL = RECIPE_SEARCH_SQL
+
+
+@register("recipe_search_conversations", _SEARCH_SQL.replace(
+    "SELECT category, ingredient, rank, id, unique_title, share, review_score FROM (",
+    "SELECT category, ingredient, 'What would be a good ' || lower(category) || ' recipe with ' || ingredient || '?'"
+    " AS question, 'You could try:' || chr(10) || string_agg('- ' || unique_title, chr(10) ORDER BY rank) AS answer"
+    " FROM (").replace("WHERE rank <= 3", "WHERE rank <= 3 GROUP BY category, ingredient"))
+def recipe_search_conversations(spark, sf_dir):
+    """B2 messages: the question for a (category, ingredient) and the recipes proposed for it."""
+    best = B.recipe_search(recipe_view(spark, sf_dir), k=3, min_score=4.0)
+    return B.recipe_search_chat(best)
+
+
 @register("corpus_profile", with_views("document") + """
 SELECT author AS source, count(*) AS n_docs, min(strlen(text)) AS min_bytes, round(avg(strlen(text)), 3) AS avg_bytes,
        max(strlen(text)) AS max_bytes, count(*) FILTER (WHERE strlen(text) > 500) AS over_500,

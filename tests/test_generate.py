@@ -49,6 +49,11 @@ def test_diverse_matches_brute_force(spark):
         vecs = [np.array(x[2]) for x in data if x[0] == g]
         assert got[g] == set(brute_diverse(vecs, 6)), g
     assert got[3] == {0, 1, 2, 3, 4, 5}
+    # the distributed rounds (forced with a tiny local bound) give the same result
+    dist = {}
+    for r in G.diverse(df, "g", "i", "v", keep=6, max_local=6).collect():
+        dist.setdefault(r["g"], set()).add(r["i"])
+    assert dist == got
 
 
 def test_secrets_take_until(spark):
