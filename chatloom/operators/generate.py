@@ -159,10 +159,10 @@ def time_answer(pools: Pools, key: Column, prep: Column, total: Column) -> Colum
     """Both times, prep only or total only; a zero time counts as missing."""
     p_ok = F.coalesce(prep != 0, F.lit(False))
     t_ok = F.coalesce(total != 0, F.lit(False))
-    return (F.when(p_ok & t_ok, fmt(pools.pick("prep_and_total_time", key), natural_duration(prep),
-                                    natural_duration(total)))
-            .when(p_ok, fmt(pools.pick("prep_time", key), natural_duration(prep)))
-            .when(t_ok, fmt(pools.pick("total_time", key), natural_duration(total))))
+    p_txt, t_txt = natural_duration(prep), natural_duration(total)
+    return (F.when(p_ok & t_ok, fmt(pools.pick("prep_and_total_time", key), p_txt, t_txt))
+            .when(p_ok, fmt(pools.pick("prep_time", key), p_txt))
+            .when(t_ok, fmt(pools.pick("total_time", key), t_txt)))
 
 
 def recipe_chat(inputs: DataFrame, model: Model = STAND_IN, pools: Pools = DEFAULT_POOLS,

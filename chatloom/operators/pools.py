@@ -34,6 +34,13 @@ def hash_index(slot: str, key: Column, size: int | Column) -> Column:
 class Pools:
     def __init__(self, phrases: dict[str, list]):
         self.phrases = {k: list(v) for k, v in phrases.items()}
+        self._arrays: dict[str, Column] = {}
+
+    def _array(self, slot: str) -> Column:
+        """The slot's phrases as one literal array column, built once (Columns are immutable)."""
+        if slot not in self._arrays:
+            self._arrays[slot] = F.array(*[_lit(x) for x in self.phrases[slot]])
+        return self._arrays[slot]
 
     @classmethod
     def from_table(cls, pools: DataFrame, max_rows: int = MAX_INLINE) -> "Pools | PoolTable":
@@ -57,12 +64,11 @@ class Pools:
     def pick(self, slot: str, key: Column) -> Column:
         """Hash mode: a column expression, no join."""
         items = self.phrases[slot]
-        return F.element_at(F.array(*[_lit(x) for x in items]), (hash_index(slot, key, len(items)) + 1).cast("int"))
+        return F.element_at(self._array(slot), (hash_index(slot, key, len(items)) + 1).cast("int"))
 
     def by_index(self, slot: str, idx0: Column) -> Column:
         items = self.phrases[slot]
-        return F.element_at(F.array(*[_lit(x) for x in items]),
-                            (F.pmod(idx0, F.lit(len(items))) + 1).cast("int"))
+        return F.element_at(self._array(slot), (F.pmod(idx0, F.lit(len(items))) + 1).cast("int"))
 
     def assign(self, df: DataFrame, slot: str, key: str, out: str, mode: str = "hash") -> DataFrame:
         if mode == "hash":
