@@ -38,7 +38,9 @@ def shingles(docs: DataFrame, key: str = "id", text: str = "text", n: int = 5, d
 def minhash_bands(sh: DataFrame, key: str = "id", bands: int = 8, rows: int = 4) -> DataFrame:
     """(doc, band, bucket): ``bands * rows`` seeded 64-bit hashes, minimum per doc, grouped in bands."""
     k = bands * rows
-    sig = sh.groupBy(key).agg(*[F.min(F.xxhash64(F.lit(i), "shingle")).alias(f"h{i}") for i in range(k)])
+    # hash each shingle string once; the k seeded values are hashes of that 64-bit number
+    base = sh.select(key, F.xxhash64("shingle").alias("_h"))
+    sig = base.groupBy(key).agg(*[F.min(F.xxhash64(F.lit(i), "_h")).alias(f"h{i}") for i in range(k)])
     parts = [F.struct(F.lit(b).alias("band"),
                       F.xxhash64(*[F.col(f"h{b * rows + r}") for r in range(rows)]).alias("bucket"))
              for b in range(bands)]
