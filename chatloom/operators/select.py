@@ -6,7 +6,7 @@ Done-ness is an anti-join against the stored training rows of that generator and
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.schemas import TRAINING_COLUMNS, md5_key
@@ -96,6 +96,3 @@ def stage_counts(rows: DataFrame) -> DataFrame:
         F.countDistinct("conversation").alias("n_conversations"),
         F.count(F.when(F.col("role") == "none", 1)).alias("n_sentinels"))
 
-
-def alive(col: str) -> Column:
-    return F.col(col).isNotNull()

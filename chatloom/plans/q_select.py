@@ -22,9 +22,6 @@ def pending_article_inputs(spark, sf_dir, trainer="summarizer", revision=BASE_RE
     return W.pending_articles(document_view(spark, sf_dir), recipe_flags(spark, sf_dir), training, trainer, revision)
 
 
-_W = S.with_ctes(S.base_ctes())
-
-
 @register("pending_recipes", S.with_ctes(S.base_ctes(("p", S.pending_recipes_view("evaluator")))) + """
 SELECT reid, document, title, review_score, review_count FROM p""")
 def pending_recipes(spark, sf_dir):
@@ -57,6 +54,13 @@ def quick_sample(spark, sf_dir):
     return W.quick_sample(p, 50, seed=0, key="document").select("reid", "document")
 
 
+@register("quick_sample_random")
+def quick_sample_random(spark, sf_dir):
+    """W4 as in the original quick mode: 50 pending inputs at random (seeded; rows-only check)."""
+    p = pending_recipe_inputs(spark, sf_dir, "evaluator")
+    return W.quick_sample(p, 50, seed=7).select("reid", "document")
+
+
 _SENTINEL_SQL = """SELECT md5(concat_ws(chr(31), 'evaluator', 'base', CAST(document AS VARCHAR), 'none')) AS conversation,
        0 AS position, '' AS content, 'none' AS role, 'evaluator' AS trainer, 'base' AS revision,
        CAST(document AS BIGINT) AS source
@@ -92,9 +96,6 @@ def _rc_rows():
     return S.explode_sql("rc_msgs", "recipe", "base", "document")
 
 
-_Q_CONV = "md5(concat_ws(chr(31), 'summarizer', 'base', CAST(source AS VARCHAR), CAST(ordinal AS VARCHAR)))"
-
-
 @register("run_stages", S.with_recursive(S.base_ctes(
     ("ev_in", S.pending_recipes_view("evaluator")), *S.evaluator_ctes("ev_in"), ("ev_msgs", S.evaluator_messages()),
     ("ev_rows", _ev_rows()),

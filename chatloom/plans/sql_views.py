@@ -48,11 +48,6 @@ VIEWS = {
   FROM pages""",
 }
 
-# SQL expressions that mirror chatloom.functions (x is substituted).
-SQL_FN = {
-    "strip": "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')",
-}
-
 
 def lines_sql(x: str) -> str:
     return f"array_to_string({x}, chr(10))"
