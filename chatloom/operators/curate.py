@@ -47,16 +47,17 @@ def minhash_bands(sh: DataFrame, key: str = "id", bands: int = 8, rows: int = 4)
     return sig.select(key, F.explode(F.array(*parts)).alias("_b")).select(key, "_b.band", "_b.bucket")
 
 
-def components(edges: DataFrame, key: str = "id", max_rounds: int = 100, checkpoint_every: int = 3) -> DataFrame:
+def components(edges: DataFrame, key: str = "id", max_rounds: int = 1000) -> DataFrame:
     """Smallest doc id reachable through shared (band, bucket) nodes; stops when no label changes."""
     labels = edges.select(key).distinct().withColumn("label", F.col(key))
     for i in range(1, max_rounds + 1):
         bucket_min = edges.join(labels, key).groupBy("band", "bucket").agg(F.min("label").alias("bl"))
         new = (edges.join(bucket_min, ["band", "bucket"]).groupBy(key).agg(F.min("bl").alias("nl"))
                .join(labels, key).select(key, F.least("label", "nl").alias("label")))
+        # one row per document: materialise every round so the convergence test and the next
+        # round read it instead of recomputing the round
+        new = cut_lineage(new)
         changed = new.join(labels.withColumnRenamed("label", "old"), key).where(F.col("label") != F.col("old"))
-        if i % checkpoint_every == 0:
-            new = cut_lineage(new)
         if changed.isEmpty():
             return new
         labels = new

@@ -76,8 +76,8 @@ def reachable(edges: DataFrame, seeds: DataFrame, max_rounds: int = 1000, checkp
         nxt = (frontier.join(e, frontier.node == e.src).select(F.col("dst").alias("node")).distinct()
                .join(seen.select("node"), "node", "left_anti")
                .withColumn("depth", F.lit(depth)))
-        if depth % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
+        # the new frontier is read three times (emptiness test, visited set, next round)
+        nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
         seen = seen.unionByName(nxt)
