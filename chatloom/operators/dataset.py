@@ -8,7 +8,6 @@ from chatloom.functions.chat import decode_role, encode_role, message, prepend,
 from chatloom.functions.text import py_strip
 from chatloom.operators.ranking import global_rank
 from chatloom.schemas import hex_fraction
-from chatloom.session import default_parallelism
 
 
 def assemble(training: DataFrame, revision: str | None = None, system: str | None = None,
@@ -67,18 +66,18 @@ def whitespace_tokens(text: Column) -> Column:
 
 def pack(samples: DataFrame, length: int = 6144, shards: int = 4, text: str = "text",
          key: str = "conversation", tokenizer=whitespace_tokens, eos: str = "</s>",
-         num_partitions: int | None = None) -> DataFrame:
+         buckets: int = 4096) -> DataFrame:
     """Pack tokenised samples, each followed by ``eos``, into blocks of ``length`` tokens per
     shard, dropping each shard's incomplete last block.
 
     Samples go to shards by a hash of their key and are packed in hash order. The running token
-    offset is computed without a per-shard task: rows are range-partitioned on (shard, hash, key)
-    over ``num_partitions`` tasks, each task keeps a running sum, and a tiny table of per-(task,
-    shard) totals gives each task its starting offset (broadcast; one row per task and shard).
-    Each sample is exploded into the blocks it touches and each block is regrouped from its
-    pieces (at most ``length`` tokens per group).
+    offset needs no task per shard: the hash order is cut into ``buckets`` fixed hash ranges
+    (uniform, so balanced), each (shard, bucket) keeps a running sum in its own window, and a
+    small table of (shard, bucket) totals (``shards * buckets`` rows, broadcast) gives each
+    bucket its starting offset. Every step is a function of the data alone, so recomputation after
+    a lost executor gives the same blocks. Each sample is exploded into the blocks it touches and
+    each block is regrouped from its pieces (at most ``length`` tokens per group).
     """
-    n_part = num_partitions or default_parallelism(samples.sparkSession)
     h = F.md5(F.col(key).cast("string"))
     toks = samples.select(
         F.col(key).alias("key"),
@@ -86,15 +85,17 @@ def pack(samples: DataFrame, length: int = 6144, shards: int = 4, text: str = "t
         h.alias("h"),
         F.concat(tokenizer(F.col(text)), F.array(F.lit(eos))).alias("tokens"),
     ).withColumn("n", F.size("tokens"))
-    ranged = toks.repartitionByRange(n_part, "shard", "h", "key").withColumn("_pid", F.spark_partition_id())
-    sums = ranged.groupBy("_pid", "shard").agg(F.sum("n").alias("_s"))
-    offsets = sums.select(  # at most n_part + shards rows
-        "_pid", "shard",
-        (F.sum("_s").over(Window.partitionBy("shard").orderBy("_pid")) - F.col("_s")).alias("_off"),
+    # md5 hex order == numeric order of its first digits: bucket = leading 24 bits scaled down
+    toks = toks.withColumn("_b", (F.conv(F.substring("h", 1, 6), 16, 10).cast("long") * buckets
+                                  / F.lit(1 << 24)).cast("int"))
+    sums = toks.groupBy("shard", "_b").agg(F.sum("n").alias("_s"))
+    offsets = sums.select(  # at most shards * buckets rows
+        "shard", "_b",
+        (F.sum("_s").over(Window.partitionBy("shard").orderBy("_b")) - F.col("_s")).alias("_off"),
         F.sum("_s").over(Window.partitionBy("shard")).alias("shard_tokens"))
-    w = Window.partitionBy("_pid", "shard").orderBy("h", "key").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (ranged.withColumn("_local", F.sum("n").over(w))
-              .join(F.broadcast(offsets), ["_pid", "shard"])
+    w = Window.partitionBy("shard", "_b").orderBy("h", "key").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (toks.withColumn("_local", F.sum("n").over(w))
+              .join(F.broadcast(offsets), ["shard", "_b"])
               .withColumn("end", F.col("_local") + F.col("_off"))
               .withColumn("start", F.col("end") - F.col("n")))
     pieces = (placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / length),

@@ -1,16 +1,15 @@
 """Dense 1-based rank over the whole DataFrame without a single-partition window.
 
-Pass 1 range-partitions on the ordering and counts rows per partition (one row per partition);
-pass 2 adds each partition's offset (a broadcast of ``num_partitions`` rows) to the row's
-position inside its sorted partition. The range exchange is the same subtree in both branches,
-so Spark reuses it instead of shuffling twice.
+Pass 1 range-partitions on the ordering, records each row's partition and position, and is
+written once to the checkpoint folder; pass 2 counts rows per partition (one row per partition)
+and adds each partition's offset (a broadcast of ``num_partitions`` rows) to the row's position.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.session import default_parallelism
+from chatloom.session import cut_lineage, default_parallelism
 
 
 def global_rank(df: DataFrame, order: list[str | Column], rank_col: str = "rank",
@@ -18,9 +17,12 @@ def global_rank(df: DataFrame, order: list[str | Column], rank_col: str = "rank"
     """``order`` must be a unique key of ``df`` (ties would make the rank depend on the run).
     ``total_col`` also attaches the row count of the whole frame."""
     n = num_partitions or default_parallelism(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    # Range bounds are sampled; two separate range exchanges over large data can cut differently.
+    # Materialise the partition id and in-partition position once (reliable checkpoint) so the
+    # counts and the rows below read the same assignment.
+    ranged = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: bounded by n, so the window below is tiny
     cols = ["_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off")]

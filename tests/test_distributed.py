@@ -47,5 +47,5 @@ def test_pack_equals_sequential_packer(spark):
     samples = [(f"k{i}", " ".join(words[(i * 7) % 50:(i * 7) % 50 + 5 + i % 40])) for i in range(120)]
     df = spark.createDataFrame(samples, "conversation string, text string")
     got = {(r["shard"], r["block"]): r["tokens"]
-           for r in X.pack(df, length=16, shards=3, num_partitions=5).collect()}
+           for r in X.pack(df, length=16, shards=3, buckets=7).collect()}
     assert got == py_pack(samples, 16, 3)

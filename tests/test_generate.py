@@ -110,3 +110,22 @@ def test_plan_batches_bounds(spark):
         longest = max(m["n_tokens"] for m in members)
         pad = sum(longest - m["n_tokens"] for m in members) / (longest * len(members))
         assert pad <= 0.2 + 1e-9
+
+
+def test_null_score_is_not_eligible_and_gets_a_sentinel(spark):
+    from chatloom.operators import select as W
+    from chatloom.plans.q_select import pending_recipe_inputs
+    p = pending_recipe_inputs(spark, SF, "evaluator").limit(3)
+    p = p.withColumn("review_score", F.lit(None).cast("double")).withColumn("review_count", F.lit(20).cast("long"))
+    out = G.evaluator(p)
+    assert out.count() == 0
+    assert W.sentinels(p, out, None, "evaluator", "base", key="document").count() == 3
+
+
+def test_first_secret_judged_common_gives_no_pair(spark):
+    def fn(prompt, options=None, max_tokens=400):
+        return F.lit("yes") if options else F.lit("a trick")
+    base = spark.createDataFrame([(1,)], "document long")
+    out = G.secrets_rounds(base, ExpressionModel(fn), [F.struct(F.lit("system").alias("role"),
+                                                                F.lit("s").alias("content"))])
+    assert out.first()["secrets"] == []
