@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from chatloom.session import cut_lineage
 
 ANCHOR = r"<a\s[^>]*>"
-HREF = r"""\bhref\s*=\s*"([^"]*)\""""
+HREF = r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)')"""
 
 
 def extract_links(pages: DataFrame, html: str = "html", key: str = "page_id",
@@ -21,11 +21,13 @@ def extract_links(pages: DataFrame, html: str = "html", key: str = "page_id",
     list holds that exact token (``card`` matches ``big card`` but not ``cardigan``)."""
     tags = F.regexp_extract_all(F.col(html), F.lit(f"(?is)({ANCHOR})"), 1)
     if css_class:
-        token = rf"""(?is)\bclass\s*=\s*"(?:[^"]*\s)?{css_class}(?:\s[^"]*)?\""""
+        token = (rf"""(?is)\bclass\s*=\s*(?:"(?:[^"]*\s)?{css_class}(?:\s[^"]*)?"|"""
+                 rf"""'(?:[^']*\s)?{css_class}(?:\s[^']*)?')""")
         tags = F.filter(tags, lambda t: t.rlike(token))
     staged = pages.select(F.col(key), F.posexplode(tags).alias("ordinal", "_tag"))
-    return (staged.where(F.col("_tag").rlike(f"(?is){HREF}"))
-            .select(key, "ordinal", F.regexp_extract("_tag", f"(?is){HREF}", 1).alias("href")))
+    href = F.when(F.regexp_extract("_tag", f"(?is){HREF}", 1) != "", F.regexp_extract("_tag", f"(?is){HREF}", 1)) \
+        .otherwise(F.regexp_extract("_tag", f"(?is){HREF}", 2))
+    return staged.where(F.col("_tag").rlike(f"(?is){HREF}")).select(key, "ordinal", href.alias("href"))
 
 
 def origin(url: Column) -> Column:

@@ -19,6 +19,9 @@ def test_class_token_and_external(spark):
     links = L.extract_links(df, css_class="card")
     assert [r["href"] for r in rows(links.orderBy("ordinal"))] == [
         "https://s.example/a", "https://s.example/b", "https://other.example/d"]
+    single = spark.createDataFrame([(2, "<a href='/x' class='card'>q</a><A HREF=\"/y\">r</A>")], "page_id long, html string")
+    assert [r["href"] for r in rows(L.extract_links(single).orderBy("ordinal"))] == ["/x", "/y"]
+    assert [r["href"] for r in rows(L.extract_links(single, css_class="card"))] == ["/x"]
     flagged = L.internal_links(links.withColumnRenamed("href", "url"), F.lit("https://s.example"))
     assert {r["host"] for r in rows(flagged.where("NOT internal"))} == {"other.example"}
 
