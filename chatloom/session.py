@@ -51,7 +51,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="chatloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - some sessions refuse runtime changes to core settings
+            pass
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path.rstrip("/")
