@@ -27,10 +27,13 @@ def exact_duplicates(docs: DataFrame, key: str = "id", text: str = "text") -> Da
 
 def shingles(docs: DataFrame, key: str = "id", text: str = "text", n: int = 5, distinct: bool = True) -> DataFrame:
     """Word n-grams per document (every word of the whole text); ``distinct`` makes them a set."""
-    words = docs.select(key, F.split(normalize(F.col(text)), " ").alias("w"))
-    grams = words.select(key, F.explode(F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("w") - n, F.lit(0))),
-        lambda i: F.array_join(F.slice("w", i + 1, n), " "))).alias("shingle"))
+    # every window of n words, found by one regex (a JVM expression rather than a per-element
+    # lambda); a text shorter than n words is one shingle
+    norm = docs.select(key, normalize(F.col(text)).alias("_t"))
+    window = r"(?<!\S)(?=(" + " ".join([r"\S+"] * n) + r"))"
+    grams = norm.select(key, F.explode(
+        F.when(F.size(F.split("_t", " ")) < n, F.array("_t"))
+         .otherwise(F.regexp_extract_all("_t", F.lit(window), 1))).alias("shingle"))
     grams = grams.where(F.col("shingle") != "")
     return grams.distinct() if distinct else grams
 
