@@ -49,3 +49,23 @@ def test_pack_equals_sequential_packer(spark):
     got = {(r["shard"], r["block"]): r["tokens"]
            for r in X.pack(df, length=16, shards=3, buckets=7).collect()}
     assert got == py_pack(samples, 16, 3)
+
+
+def _single_partition_inputs(df):
+    """The plan line under each SinglePartition exchange."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            out.append(lines[i + 1] if i + 1 < len(lines) else "")
+    return out
+
+
+def test_no_single_partition_on_the_data_path(spark):
+    import __spark_entry__ as E
+    from conftest import SF
+    for name in ["train_test_split_exact", "round_robin", "pack_sequences"]:
+        df = E.queries()[name](spark, SF)
+        for child in _single_partition_inputs(df):
+            # only the per-partition row counts (one row per range partition) may meet in one task
+            assert "HashAggregate(keys=[_pid" in child, (name, child)
