@@ -126,19 +126,21 @@ def secrets_rounds(r: DataFrame, model: Model, base: list[Column], extra: int =
     r = r.withColumn("_c", F.concat("_c", F.array(message("assistant", F.col("_a")),
                                                    message("user", F.lit(P.SECRET_JUDGE)))))
     r = model.answer(r, F.col("_c"), "_j", options=yes_no)
-    r = (r.withColumn("_alive", F.coalesce(F.col("_j") == "no", F.lit(False)))
-         .withColumn("secrets", F.when(F.col("_alive"), F.array("_a")).otherwise(F.array().cast("array<string>"))))
+    # cheap boolean steps share one projection with the column they guard (fewer plan analyses)
+    first = F.coalesce(F.col("_j") == "no", F.lit(False))
+    r = r.withColumns({"_alive": first,
+                       "secrets": F.when(first, F.array("_a")).otherwise(F.array().cast("array<string>"))})
     for _ in range(extra):
         r = r.withColumn("_c", F.when(F.col("_alive"), F.concat("_c", F.array(
             message("assistant", F.col("_j")), message("user", F.lit(P.SECRET_MORE))))))
         r = model.answer(r, F.col("_c"), "_a", when=F.col("_alive"))
-        r = r.withColumn("_go", F.col("_alive") & ~F.lower(F.col("_a")).startswith("no"))
-        r = r.withColumn("_c", F.when(F.col("_go"), F.concat("_c", F.array(
-            message("assistant", F.col("_a")), message("user", F.lit(P.SECRET_JUDGE))))))
+        go = F.col("_alive") & ~F.lower(F.col("_a")).startswith("no")
+        r = r.withColumns({"_go": go, "_c": F.when(go, F.concat("_c", F.array(
+            message("assistant", F.col("_a")), message("user", F.lit(P.SECRET_JUDGE)))))})
         r = model.answer(r, F.col("_c"), "_j", options=yes_no, when=F.col("_go"))
-        r = r.withColumn("_alive", F.coalesce(F.col("_go") & (F.col("_j") != "yes"), F.lit(False)))
-        r = r.withColumn("secrets", F.when(F.col("_alive"), F.concat("secrets", F.array("_a")))
-                         .otherwise(F.col("secrets")))
+        keep = F.coalesce(F.col("_go") & (F.col("_j") != "yes"), F.lit(False))
+        r = r.withColumns({"_alive": keep,
+                           "secrets": F.when(keep, F.concat("secrets", F.array("_a"))).otherwise(F.col("secrets"))})
     return r.drop("_c", "_a", "_j", "_alive", "_go")
 
 
