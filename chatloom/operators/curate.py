@@ -20,7 +20,9 @@ def normalize(text: Column) -> Column:
 
 def exact_duplicates(docs: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
     """Exact copies after normalisation: each document -> the smallest id with the same text."""
-    h = docs.select(key, F.md5(normalize(F.col(text))).alias("_h"))
+    # (id, hash) is tiny next to the texts: write it once so both branches below reuse it
+    # instead of normalising every text twice
+    h = cut_lineage(docs.select(key, F.md5(normalize(F.col(text))).alias("_h")))
     keep = h.groupBy("_h").agg(F.min(key).alias("keep_id"))
     return h.join(keep, "_h").select(key, "keep_id")
 
