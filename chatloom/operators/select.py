@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.schemas import TRAINING_COLUMNS, md5_key
+from chatloom.session import cut_lineage
 
 
 def done_sources(training: DataFrame, trainer: str, revision: str, as_col: str) -> DataFrame:
@@ -71,7 +72,11 @@ def sentinels(inputs: DataFrame, outputs: DataFrame, failed: DataFrame | None, t
 
 def stage_output(inputs: DataFrame, produced: DataFrame, trainer: str, revision: str, key: str,
                  failed: DataFrame | None = None) -> DataFrame:
-    """Generator rows plus the sentinels of the inputs that produced nothing."""
+    """Generator rows plus the sentinels of the inputs that produced nothing.
+
+    The generator's rows are written once (reliable checkpoint): both the output and the
+    sentinel anti-join read them, so the model rounds never run twice."""
+    produced = cut_lineage(produced)
     return produced.unionByName(sentinels(inputs, produced, failed, trainer, revision, key))
 
 
