@@ -66,23 +66,26 @@ def repeat_words(words: Column, windows: Column) -> Column:
     return F.when(F.size(F.array_distinct(windows)) < F.size(windows), let(pairs, covered)).otherwise(F.lit(0))
 
 
-def ledger(docs: DataFrame, rules: list[Rule] | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: key, the measurements and ``bits`` (bit r set: rule r fails).
+def ledger(docs: DataFrame, rules: list[Rule] | None = None, key: str = "doc_id", text: str = "text",
+           carry: list[str] = ()) -> DataFrame:
+    """One row per input row: key, the measurements, ``bits`` (bit r set: rule r fails) and the
+    columns named in ``carry``.
 
     A null or empty text measures 0 everywhere, so it fails ``few_words``. A window is compared by
     its 64-bit hash inside one document.
     """
     rules = rules or RULES
-    words = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text")).select(
-        "_key", "_text", F.regexp_extract_all("_text", F.lit(WORD), 0).alias("_w"))
+    kept = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None)
+    words = docs.select(F.col(key).alias("_key"), kept.alias("_carry"), F.coalesce(F.col(text), F.lit("")).alias("_text")).select(
+        "_key", "_carry", "_text", F.regexp_extract_all("_text", F.lit(WORD), 0).alias("_w"))
     w = F.col("_w")
     windows = F.when(F.size(w) > 2, F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(
         F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))).otherwise(F.array().cast("array<bigint>"))
     lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(WORD))
-    parts = words.select("_key", "_text", "_w", windows.alias("_g"), lines.alias("_lines"))
+    parts = words.select("_key", "_carry", "_text", "_w", windows.alias("_g"), lines.alias("_lines"))
     count = lambda pattern: F.regexp_count("_text", F.lit(pattern)).cast("long")
     measured = parts.select(
-        "_key", F.size("_w").cast("long").alias("n_words"),
+        "_key", "_carry", F.size("_w").cast("long").alias("n_words"),
         (F.length("_text") - F.regexp_count("_text", F.lit(r"[\x20\x09-\x0D]"))).cast("long").alias("word_chars"),
         count(r"[#*$%&|<>]").alias("n_symbols"), F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
@@ -91,7 +94,8 @@ def ledger(docs: DataFrame, rules: list[Rule] | None = None, key: str = "doc_id"
     bits = F.lit(0).cast("long")
     for r in rules:
         bits = bits.bitwiseOR(F.when(r.fails(), F.lit(1 << r.bit)).otherwise(F.lit(0)).cast("long"))
-    return measured.select(F.col("_key").alias(key), *MEASURES, bits.alias("bits"))
+    carried = [F.col(f"_carry.{c}").alias(c) for c in carry if c != key]
+    return measured.select(F.col("_key").alias(key), *carried, *MEASURES, bits.alias("bits"))
 
 
 def apply_policy(entries: DataFrame, policy: Policy, rules: list[Rule] | None = None) -> DataFrame:
@@ -103,6 +107,12 @@ def apply_policy(entries: DataFrame, policy: Policy, rules: list[Rule] | None =
                           (F.col("bits").bitwiseAND(F.lit(mask(policy, rules) | base)) == 0).alias("kept"))
 
 
+def judge(docs: DataFrame, policy: Policy, rules: list[Rule] | None = None, key: str = "doc_id",
+          text: str = "text") -> DataFrame:
+    """The input's columns (none may bear a ledger name) with the ledger and the policy's verdict."""
+    return apply_policy(ledger(docs, rules, key, text, carry=docs.columns), policy, rules)
+
+
 def ablation(entries: DataFrame, policies: list[Policy] | None = None, rules: list[Rule] | None = None) -> DataFrame:
     """For every policy and each of its rules: documents the rule rejects, documents only it rejects
     (kept again without it) and documents kept with and without it.
