@@ -40,3 +40,12 @@ def literal_rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFram
         return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in zip(names, types)])
     structs = [F.struct(*[lit(r[n], t).alias(n) for n, t in zip(names, types)]) for r in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+def settled(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """``df.select(keep, columns)`` whose columns later filters use as they are. Catalyst moves a
+    filter below a projection by copying the column's expression into it, which for expressions
+    over a whole text means evaluating them again, inside lambdas even per element. A generator of
+    exactly one row keeps filters above."""
+    row = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select(*keep, F.inline_outer(F.array(row)))

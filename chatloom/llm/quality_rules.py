@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import WORD, let
+from chatloom.llm.common import WORD, let, settled
 
 
 @dataclass(frozen=True)
@@ -84,13 +84,13 @@ def ledger(docs: DataFrame, rules: list[Rule] | None = None, key: str = "doc_id"
     lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(WORD))
     parts = words.select("_key", "_carry", "_text", "_w", windows.alias("_g"), lines.alias("_lines"))
     count = lambda pattern: F.regexp_count("_text", F.lit(pattern)).cast("long")
-    measured = parts.select(
-        "_key", "_carry", F.size("_w").cast("long").alias("n_words"),
-        (F.length("_text") - F.regexp_count("_text", F.lit(r"[\x20\x09-\x0D]"))).cast("long").alias("word_chars"),
-        count(r"[#*$%&|<>]").alias("n_symbols"), F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        repeat_words(F.col("_w"), F.col("_g")).cast("long").alias("n_repeat_words"),
-        count(r"\p{L}").alias("n_letters"), count(r"\p{Lu}").alias("n_capitals"))
+    measured = settled(
+        parts, ["_key", "_carry"], n_words=F.size("_w").cast("long"),
+        word_chars=(F.length("_text") - F.regexp_count("_text", F.lit(r"[\x20\x09-\x0D]"))).cast("long"),
+        n_symbols=count(r"[#*$%&|<>]"), n_lines=F.size("_lines").cast("long"),
+        n_dup_lines=(F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+        n_repeat_words=repeat_words(F.col("_w"), F.col("_g")).cast("long"),
+        n_letters=count(r"\p{L}"), n_capitals=count(r"\p{Lu}"))
     bits = F.lit(0).cast("long")
     for r in rules:
         bits = bits.bitwiseOR(F.when(r.fails(), F.lit(1 << r.bit)).otherwise(F.lit(0)).cast("long"))
