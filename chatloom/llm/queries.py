@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import chat_format, license_scan, quality_rules, url_filter
+from chatloom.llm import chat_format, license_scan, quality_rules, toxicity, url_filter
 from chatloom.llm.common import table
 from chatloom.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -54,6 +54,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), url_filter.BASE_RULES + url_filter.METHOD_RULES)
 
 
+# ------------------------------------------------------------------ 2
+
+@register("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 # ------------------------------------------------------------------ 3
 
 LICENSE_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
