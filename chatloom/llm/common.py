@@ -49,3 +49,21 @@ def settled(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
     exactly one row keeps filters above."""
     row = F.struct(*[c.alias(n) for n, c in columns.items()])
     return df.select(*keep, F.inline_outer(F.array(row)))
+
+
+def map_batches(df: DataFrame, schema: str, run) -> DataFrame:
+    """``run(batches)`` per partition on Arrow batches. A batch comes and goes as a dict of column
+    name -> list, so long ids keep their digits beside nulls."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+    def task(batches):
+        for out in run({n: b.column(n).to_pylist() for n in b.schema.names} for b in batches):
+            if isinstance(out, dict):
+                out = pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+            yield out
+
+    return df.mapInArrow(task, schema)

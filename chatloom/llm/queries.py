@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import chat_format, license_scan, quality_rules, toxicity, url_filter
+from chatloom.llm import chat_format, decontaminate, license_scan, packing, quality_rules, toxicity, url_filter
 from chatloom.llm.common import table
 from chatloom.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -154,6 +154,26 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")), quality_rules.POLICIES[-1])
 
 
+# ------------------------------------------------------------------ 5
+
+def packed(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(docs, packing.byte_bpe, (public_tokenizers.path("byte_bpe_50k.tiktoken"),))
+
+
+@register("op5_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ 8
+
+@register("op8_decontamination")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # ------------------------------------------------------------------ 9
 
 ESCAPED = r"regexp_replace({0}, '<(\\*)\|', '<\\\1|', 'g')"

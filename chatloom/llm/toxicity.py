@@ -16,13 +16,13 @@ import re
 from collections import Counter
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.llm.common import map_batches
 from chatloom.session import cut_lineage
 
 #: at most so many labelled rows train the lexicon and the trees (hash order, so any bound is a fair sample)
@@ -143,11 +143,11 @@ def learn_lexicon(texts: DataFrame, n: int, n_toxic: int, max_terms: int = MAX_T
         for b in batches:
             for text, y in zip(b["text"], b["y"]):
                 (toxic if y else clean).update(terms(text or ""))
-        # a term without a toxic text here may have some elsewhere, so all are sent; rows are sums
+        # the sums of this partition; a term without a toxic text here may have some elsewhere
         names = list(toxic.keys() | clean.keys())
         for i in range(0, len(names), 50_000):
             part = names[i:i + 50_000]
-            yield pd.DataFrame({"term": part, "a": [toxic[t] for t in part], "b": [clean[t] for t in part]})
+            yield {"term": part, "a": [toxic[t] for t in part], "b": [clean[t] for t in part]}
 
     base = n_toxic / n
     a, b = F.col("a"), F.col("b")
@@ -155,7 +155,7 @@ def learn_lexicon(texts: DataFrame, n: int, n_toxic: int, max_terms: int = MAX_T
     # n * KL(share || base): how surprising the share is
     rest = F.when(b > 0, b * F.log((1 - share) / (1 - base))).otherwise(F.lit(0.0))
     surprise = a * F.log(share / base) + rest
-    found = (texts.mapInPandas(count, "term string, a long, b long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    found = (map_batches(texts, "term string, a long, b long", count).groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
              .where((a >= 4) & (share > max(0.6, 2 * base)) & (surprise > 9))
              .select("term", surprise.alias("surprise"), (F.log(a + 0.5) - F.log(b + 0.5)).alias("weight"))
              .orderBy(F.desc("surprise"), "term").limit(max_terms).collect())
@@ -166,11 +166,10 @@ def learn_lexicon(texts: DataFrame, n: int, n_toxic: int, max_terms: int = MAX_T
 def feature_rows(docs: DataFrame, lexicon: Lexicon, key: str, text: str) -> DataFrame:
     def run(batches):
         for b in batches:
-            yield pd.DataFrame({"id": b["id"], "x": [features(t or "", lexicon) for t in b["text"]]})
+            yield {"id": b["id"], "x": [features(t or "", lexicon) for t in b["text"]]}
 
     kind = docs.schema[key].dataType.simpleString()
-    return (docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-            .mapInPandas(run, f"id {kind}, x array<double>"))
+    return map_batches(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), f"id {kind}, x array<double>", run)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
