@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import chat_format, decontaminate, license_scan, packing, quality_rules, toxicity, url_filter
+from chatloom.llm import chat_format, decontaminate, html_extract, license_scan, packing, quality_rules, toxicity, url_filter
 from chatloom.llm.common import table
 from chatloom.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -167,6 +167,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+# ------------------------------------------------------------------ 7
+
+@register("op7_html_extract")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 # ------------------------------------------------------------------ 8
 
 @register("op8_decontamination")
