@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import map_batches
+from chatloom.llm.words import window_hashes
 
 MIN_MATCH = 5
 COVERAGE = 0.7
@@ -26,38 +27,12 @@ COVERAGE = 0.7
 BLOCK = 20_000
 
 TOKEN = re.compile(r"[^\W_]+")
-BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens(text: str | None) -> list[str]:
     return TOKEN.findall((text or "").casefold())
 
 
-def window_hashes(ids: np.ndarray, size: int) -> np.ndarray:
-    """Karp-Rabin hashes of all windows of ``size`` ids (polynomials modulo 2^64, doubled up)."""
-    n = len(ids) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    out, done, power, step = None, 0, ids.astype(np.uint64), 1
-    base = BASE
-    with np.errstate(over="ignore"):
-        left = size
-        while left:
-            if left & 1:
-                piece = power[done:done + n]
-                out = piece.copy() if out is None else out * base + piece
-                done += step
-            left >>= 1
-            if left:
-                power = power[:-step] * base + power[step:]
-                base, step = base * base, step * 2
-        # the order of the pieces depends on ``size`` alone, so equal windows have equal hashes
-        out ^= out >> np.uint64(29)
-        out = out * np.uint64(0xBF58476D1CE4E5B9)
-        out ^= out >> np.uint64(32)
-    return out
-
-
 def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Whether each value is in the sorted, non-empty ``known``."""
     at = np.searchsorted(known, values)

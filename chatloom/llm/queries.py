@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import chat_format, decontaminate, html_extract, license_scan, packing, quality_rules, toxicity, url_filter
+from chatloom.llm import chat_format, decontaminate, html_extract, license_scan, packing, quality_rules, substring_dedup, toxicity, url_filter
 from chatloom.llm.common import table
 from chatloom.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -167,6 +167,36 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+# ------------------------------------------------------------------ 6
+
+OP6_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS id,
+         regexp_extract_all(coalesce(text, ''), {WORDS}) AS w FROM documents
+), s AS (
+  SELECT r, id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50
+), win AS (
+  SELECT r, id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM s
+), hit AS (
+  SELECT r, i FROM win JOIN (SELECT h, min(id) AS first FROM win GROUP BY h) USING (h) WHERE first < id
+), gone AS (
+  SELECT DISTINCT r, i + unnest(range(0, 50)) AS j FROM hit
+), words AS (
+  SELECT r, generate_subscripts(w, 1) AS j, unnest(w) AS word FROM d
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS text FROM words ANTI JOIN gone USING (r, j) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
+@register("op6_substring_dedup", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 # ------------------------------------------------------------------ 7
 
 @register("op7_html_extract")
