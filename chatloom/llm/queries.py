@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import chat_format, decontaminate, html_extract, license_scan, packing, quality_rules, substring_dedup, toxicity, url_filter
+from chatloom.llm import chat_format, decontaminate, html_extract, jaccard_join, license_scan, packing, quality_rules, substring_dedup, toxicity, url_filter
 from chatloom.llm.common import table
 from chatloom.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -240,3 +240,34 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said)
     return chat_format.read_back(chat_format.format_examples(turns.unionByName(extra)))
+
+
+# ------------------------------------------------------------------ 10
+
+OP10_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), {WORDS}) AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT r, shingle FROM (
+    SELECT r, array_to_string(w[i:i + 4], ' ') AS shingle FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
+    UNION ALL SELECT r, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4)
+), n AS (
+  SELECT r, count(*) AS n FROM s GROUP BY r
+), link AS (
+  SELECT a.r AS x, b.r AS y FROM s a JOIN s b USING (shingle) JOIN n na ON na.r = a.r JOIN n nb ON nb.r = b.r
+  WHERE a.r <> b.r GROUP BY a.r, b.r, na.n, nb.n HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))
+), edge AS (
+  SELECT dx.doc_id AS x, dy.doc_id AS y FROM link JOIN d dx ON dx.r = x JOIN d dy ON dy.r = y
+), reach(x, y) AS (
+  SELECT DISTINCT doc_id, doc_id FROM d UNION SELECT reach.x, edge.y FROM reach JOIN edge ON edge.x = reach.y
+), comp AS (
+  SELECT x, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id FROM d LEFT JOIN n USING (r) LEFT JOIN comp ON comp.x = d.doc_id
+"""
+
+
+@register("op10_jaccard_join", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
