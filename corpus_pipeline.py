@@ -7,9 +7,9 @@ columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from chatloom.llm import quality_rules
+from chatloom.llm import decontaminate, jaccard_join, quality_rules, queries, substring_dedup
+from chatloom.llm.common import table
 from chatloom.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -22,11 +22,35 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where("kept").select(*COLUMNS)
 
 
+def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of equal or near-equal documents, the one with the least id stays."""
+    return jaccard_join.keep_one(docs, COLUMNS)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words under a 50-word window that an earlier document has are cut out of the text."""
+    return substring_dedup.drop_repeats(docs, COLUMNS, size="n_chars")
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that cover a benchmark item go."""
+    return decontaminate.drop_leaks(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining documents in sequences of at most 1024 tokens."""
+    return queries.packed(docs)
+
+
 STAGES = [
     ("quality_rules", quality_stage),
+    ("jaccard_join", jaccard_stage),
+    ("substring_dedup", substring_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
 ]
 
-#: see README: the stages after the first have no SQL; tests compare run() with brute force
+#: SQL cannot tokenise: the tests compare run() with a brute-force version of every stage
 ORACLE_SQL = None
 
 
