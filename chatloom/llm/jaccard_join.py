@@ -22,20 +22,23 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import map_batches
-from chatloom.llm.words import WordIds, signed, split_words, window_hashes
+from chatloom.llm.words import WordIds, signed, window_hashes
 from chatloom.session import cut_lineage
 
 NGRAM = 5
 PERCENT = 80
 FRAGMENTS = 4
 #: frequent n-grams are sent to the postings if there are at most so many, else both are shuffled
-MAX_BROADCAST_KEYS = 2_000_000
+MAX_BROADCAST_KEYS = 3_000_000
+#: likewise the ids of the documents in a pair
+MAX_BROADCAST_NODES = 500_000
 #: a document without an id is a node above every id
 UNKNOWN = 1 << 62
 LEVEL_BITS = 6
@@ -46,6 +49,7 @@ def level_of(n: int) -> int:
     return max(0, int(n).bit_length() - 1)
 
 
+@lru_cache(maxsize=None)
 def fragment_end(level: int, sigmas: float, percent: int) -> int:
     """End of fragment 0 (of 2^64) for a size class: the share that a prefix needs plus ``sigmas``
     standard deviations at the class's smallest size (partners from the class below included)."""
@@ -106,39 +110,48 @@ def prefix(n: Column, percent: int) -> Column:
     return n - F.ceil(n * percent / 100.0) + 1
 
 
-def postings(sets: DataFrame, percent: int, sigmas: float) -> DataFrame:
-    """(key, node, level, n, held) of fragment 0 at each level a set takes part in; ``held`` is the number of
-    its n-grams in the fragment. The key is the n-gram with the level in its low bits."""
+def postings(rows: DataFrame, percent: int, sigmas: float) -> DataFrame:
+    """(key, own, a, b, level, n, held) of fragment 0 at each level a set takes part in; ``held`` is the
+    number of its n-grams in the fragment. The key is the n-gram with the level in its low bits."""
     ends = [fragment_end(k, sigmas, percent) for k in range(1 << LEVEL_BITS)]
-    # Spark's longs are signed; hashes below 2^63 come first in the unsigned order
     bounds = F.array(*[F.lit(e - (1 << 64) if e >= 1 << 63 else e) for e in ends])
-
-    def below(level: Column) -> Column:
-        # unsigned order: flip the sign bit on both sides
-        flip = F.lit(-(1 << 63))
-        return F.filter("grams", lambda g: g.bitwiseXOR(flip) <= F.get(bounds, level).bitwiseXOR(flip))
-
-    near_next = F.col("n") * 100 >= F.shiftleft(F.lit(1).cast("long"), 1) * percent * F.pow(F.lit(2.0), F.col("level"))
-    own = sets.select("node", "n", "level", "grams")
-    upper = sets.where(near_next).select("node", "n", (F.col("level") + 1).alias("level"), below(F.col("level") + 1).alias("grams"))
+    # Spark's longs are signed; with the sign bit flipped on both sides they compare as the hashes do
+    flip = F.lit(-(1 << 63))
+
+    def inside(grams: Column, level: Column) -> Column:
+        return F.filter(grams, lambda g: g.bitwiseXOR(flip) <= F.get(bounds, level).bitwiseXOR(flip))
+
+    own, after = F.col("level"), F.col("level") + 1
+    # a set close to the next size class also takes part there, in a narrower fragment
+    near_next = F.col("n") * 100 >= percent * F.pow(F.lit(2.0), after)
+    taking = F.when(near_next, F.array(F.struct(own.alias("level"), F.col("grams").alias("grams")),
+                                       F.struct(after.alias("level"), inside(F.col("grams"), after).alias("grams")))
+                    ).otherwise(F.array(F.struct(own.alias("level"), F.col("grams").alias("grams"))))
+    parts = rows.where("n > 0").select("own", "a", "b", "n", F.explode(taking).alias("t"))
     mask = F.lit(-(1 << LEVEL_BITS)).cast("long")
-    return own.unionByName(upper).select(
-        "node", "level", "n", F.size("grams").cast("long").alias("held"), F.explode("grams").alias("gram")).select(
-        F.col("gram").bitwiseAND(mask).bitwiseOR(F.col("level").cast("long")).alias("key"), "node", "level", "n", "held")
-
-
-def posted(sets: DataFrame, percent: int, sigmas: float) -> DataFrame:
-    """(key, node, n): the p rarest n-grams of each set's fragment, without those no other set has."""
-    rows = postings(sets, percent, sigmas)
-    shared = cut_lineage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
-    small = shared.count() <= MAX_BROADCAST_KEYS
-    met = rows.join(F.broadcast(shared) if small else shared, "key")
-    # n-grams of frequency 1 are the rarest: they use up part of the p
-    per_set = met.groupBy("node", "level", "n", "held").agg(F.collect_list(F.struct("df", "key")).alias("met"))
+    return parts.select("own", "a", "b", "n", F.col("t.level").alias("level"), F.size("t.grams").cast("long").alias("held"),
+                        F.explode("t.grams").alias("gram")).select(
+        F.col("gram").bitwiseAND(mask).bitwiseOR(F.col("level").cast("long")).alias("key"), "own", "a", "b", "level", "n", "held")
+
+
+def posted(rows: DataFrame, firsts: DataFrame, percent: int, sigmas: float) -> DataFrame:
+    """(key, node, n): the p rarest n-grams of each set's fragment, without those no other row has."""
+    grams = postings(rows, percent, sigmas)
+    shared = cut_lineage(grams.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+    met = grams.join(if_few(shared, MAX_BROADCAST_KEYS), "key")
+    # n-grams of frequency 1 are the rarest: they use up part of the p. Repeated rows: a set of n-grams
+    per_set = met.groupBy("own", "a", "b", "level", "n", "held").agg(F.collect_set(F.struct("df", "key")).alias("met"))
     left = prefix(F.col("n"), percent) - (F.col("held") - F.size("met"))
     chosen = per_set.withColumn("left", left.cast("int")).where("left > 0")
+    # of equal sets only the first one's row goes on
+    chosen = chosen.join(firsts, ["a", "b"]).where("own = node")
     return chosen.select("node", "n", F.explode(F.slice(F.sort_array("met"), F.lit(1), F.col("left"))).alias("m")).select(
-        F.col("m.key").alias("key"), "node", "n")
+        F.col("m.key").alias("key"), "node", "n").distinct()
+
+
+def if_few(df: DataFrame, most: int) -> DataFrame:
+    """``df`` (materialised) to be sent to all tasks if it has at most ``most`` rows; else joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def size_fits(x: Column, y: Column, percent: int) -> Column:
@@ -164,7 +177,9 @@ def fragment_rows(docs: DataFrame, nodes: DataFrame, ngram: int) -> DataFrame:
                     out["grams"].append(signed(grams[cuts[f]:cuts[f + 1]]))
             yield out
 
-    texts = docs.join(nodes, "id").select("node", "a", "text")
+    # rows without an id meet by <=>
+    wanted = if_few(nodes, MAX_BROADCAST_NODES).withColumnRenamed("id", "_id")
+    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("_id"))).select("node", "a", "text")
     return map_batches(texts, "node long, n long, fragment int, grams array<long>", run).dropDuplicates(["node", "fragment"])
 
 
@@ -233,13 +248,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     named = rows.withColumn("own", own_id)
     # equal sets share the least id as their node
     firsts = cut_lineage(named.where("n > 0").groupBy("a", "b").agg(F.min("own").alias("node")))
-    sets = named.join(firsts, ["a", "b"]).where("own = node").dropDuplicates(["a", "b"]).select("node", "n", "level", "grams")
-    buckets = cut_lineage(posted(sets, percent, sigmas))
-    in_bucket = buckets.select("node").distinct()
-    with_name = named.select("id", "a", "b", "own").join(in_bucket.withColumnRenamed("node", "own"), "own")
-    nodes = with_name.join(firsts, ["a", "b"]).where("own = node").select("id", "a", "node").dropDuplicates(["node", "a"])
-    keyed = source.where(F.col("text").isNotNull())
-    known = cut_lineage(fragment_rows(keyed.where(F.col("id").isNotNull()), nodes.where(F.col("id").isNotNull()), ngram))
+    buckets = cut_lineage(posted(named, firsts, percent, sigmas))
+    in_bucket = buckets.select(F.col("node").alias("own")).distinct()
+    of_node = named.select("id", "a", "b", "own").join(in_bucket, "own").join(firsts, ["a", "b"]).where("own = node")
+    nodes = cut_lineage(of_node.select("id", "a", "node").distinct())
+    known = cut_lineage(fragment_rows(source.where(F.col("text").isNotNull()), nodes, ngram))
     labels = components(links(buckets, known, percent))
     # a document: its set's node, and the least label over the nodes of its key
     placed = named.select("id", "n", "a", "b", "own").join(firsts, ["a", "b"], "left")

@@ -66,6 +66,6 @@ def sliding(op, values: np.ndarray, size: int) -> np.ndarray:
     return op(values[:-rest], values[rest:]) if rest else values
 
 
-def signed(values: np.ndarray) -> list[int]:
+def signed(values: np.ndarray) -> np.ndarray:
     """64-bit hashes as the longs that Spark holds."""
-    return values.view(np.int64).tolist()
+    return values.view(np.int64)
