@@ -6,6 +6,8 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatloom.session import scratch_path
+
 # words of the contracts: runs of anything but the six ASCII white-space characters
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -67,3 +69,17 @@ def map_batches(df: DataFrame, schema: str, run) -> DataFrame:
             yield out
 
     return df.mapInArrow(task, schema)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as a table in the shared folder and read back: cuts lineage like a
+    checkpoint, with far smaller files for wide or numerous rows."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def if_few(df: DataFrame, most: int) -> DataFrame:
+    """``df`` (materialised) to be sent to all tasks if it has at most ``most`` rows; else joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df

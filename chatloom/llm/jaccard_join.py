@@ -25,22 +25,25 @@ import math
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import map_batches
+from chatloom.llm.common import if_few, map_batches, stored
 from chatloom.llm.words import WordIds, signed, window_hashes
 from chatloom.session import cut_lineage
 
 NGRAM = 5
 PERCENT = 80
 FRAGMENTS = 4
-#: frequent n-grams are sent to the postings if there are at most so many, else both are shuffled
-MAX_BROADCAST_KEYS = 3_000_000
-#: likewise the ids of the documents in a pair
-MAX_BROADCAST_NODES = 500_000
-#: a document without an id is a node above every id
-UNKNOWN = 1 << 62
+#: ids of copies and of documents in a pair are sent to all tasks up to so many rows, else joined by a shuffle
+MAX_BROADCAST_ROWS = 500_000
+#: bits of the map of shared n-grams that is sent to all tasks (32 MB). It only spares work: with more
+#: n-grams than slots it rules out less, and the join that follows is exact
+MAX_SLOTS = 1 << 28
+#: stands for a missing id: such rows are never the first
+LAST = (1 << 63) - 1
 LEVEL_BITS = 6
 
 
@@ -78,11 +81,11 @@ def set_name(grams: np.ndarray) -> tuple[int, int]:
 
 
 def summaries(docs: DataFrame, ngram: int, percent: int, sigmas: float) -> DataFrame:
-    """(id, n, a, b, level, fits, grams): set size, set name, fragment 0 and whether it is wide enough."""
+    """(id, n, node, b, level, fits, grams): set size, the halves of the set name, fragment 0, whether it is wide enough."""
     def run(batches):
         known = WordIds()
         for batch in batches:
-            out = {k: [] for k in ("id", "n", "a", "b", "level", "fits", "grams")}
+            out = {k: [] for k in ("id", "n", "node", "b", "level", "fits", "grams")}
             for doc, text in zip(batch["id"], batch["text"]):
                 grams = gram_set(text, known, ngram)
                 n = len(grams)
@@ -96,62 +99,108 @@ def summaries(docs: DataFrame, ngram: int, percent: int, sigmas: float) -> DataF
                     fits &= int(np.searchsorted(grams, np.uint64(fragment_end(level + 1, sigmas, percent)), "right")) >= need
                 out["id"].append(doc)
                 out["n"].append(n)
-                out["a"].append(a)
+                out["node"].append(a)
                 out["b"].append(b)
                 out["level"].append(level)
                 out["fits"].append(bool(fits))
                 out["grams"].append(signed(head))
             yield out
 
-    return map_batches(docs, "id long, n long, a long, b long, level int, fits boolean, grams array<long>", run)
+    return map_batches(docs, "id long, n long, node long, b long, level int, fits boolean, grams array<long>", run)
+
+
+def fragment_keys(rows: DataFrame, percent: int, sigmas: float, seen: np.ndarray | None = None) -> DataFrame:
+    """(key, node, level, n, held): the n-grams of fragment 0 at each level a set takes part in; ``held``
+    is the number of the set's n-grams there. The key is the n-gram with the level in its low bits.
+
+    With ``seen`` (a bit per slot of keys that two sets have) keys without a bit are left out, and so
+    are sets of which too few are left to reach their p rarest: bits can only be set too often.
+    """
+    arrow = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("level", pa.int32()), ("n", pa.int64()), ("held", pa.int64())])
+    mask = np.int64(-(1 << LEVEL_BITS))
+
+    def run(batches):
+        for batch in batches:
+            grams = batch.column("grams")
+            flat, cuts = grams.values.to_numpy(), grams.offsets.to_numpy()
+            out = [[np.zeros(0, np.int64)] for _ in range(5)]
+            for i, (node, n, level) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("node", "n", "level")))):
+                own = flat[cuts[i]:cuts[i + 1]]
+                near_next = n * 100 >= percent * (1 << (level + 1))
+                for at in (level, level + 1) if near_next else (level,):
+                    if at > level:
+                        own = own[:np.searchsorted(own.view(np.uint64), np.uint64(fragment_end(at, sigmas, percent)), "right")]
+                    keys, held = (own & mask) | at, len(own)
+                    if seen is not None:
+                        keys = keys[has_bit(seen, keys)]
+                        if prefix_size(n, percent) <= held - len(keys):
+                            continue
+                    for column, value in zip(out, (keys, *(np.full(len(keys), v) for v in (node, at, n, held)))):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), type=f.type) for c, f in zip(out, arrow)], schema=arrow)
+
+    return rows.select("node", "n", "level", "grams").mapInArrow(run, "key long, node long, level int, n long, held long")
+
+
+def slots_of(keys: np.ndarray, slots: int) -> np.ndarray:
+    """A slot per key, from the high bits of a product that mixes all its bits."""
+    with np.errstate(over="ignore"):
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - slots.bit_length())
+
+
+def has_bit(seen: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = slots_of(keys, len(seen) * 8)
+    return (seen[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def key_bits(shared: DataFrame) -> np.ndarray:
+    """A bit map of the slots of the shared keys: 16 slots a key, at most MAX_SLOTS. Tasks merge their
+    keys to one map per block of slots before anything moves, so its size bounds all that does."""
+    slots = min(MAX_SLOTS, max(1 << 16, 1 << (16 * shared.count()).bit_length()))
+    block = 1 << 15
+
+    def run(batches):
+        maps: dict[int, np.ndarray] = {}
+        for batch in batches:
+            slot = np.unique(slots_of(batch.column("key").to_numpy(), slots).astype(np.int64))
+            parts = slot // block
+            for p in np.unique(parts).tolist():
+                bits = np.zeros(block, np.uint8)
+                bits[slot[parts == p] % block] = 1
+                packed = np.packbits(bits, bitorder="little")
+                maps[p] = maps[p] | packed if p in maps else packed
+        yield {"part": list(maps), "bits": [m.tobytes() for m in maps.values()]}
+
+    def task(batches):
+        for out in run(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(out["part"], pa.int64()), pa.array(out["bits"], pa.binary())], ["part", "bits"])
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        whole = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in pdf["bits"]])
+        return pd.DataFrame({"part": [pdf["part"].iloc[0]], "bits": [whole.tobytes()]})
+
+    schema = "part long, bits binary"
+    merged = shared.select("key").mapInArrow(task, schema).groupBy("part").applyInPandas(merge, schema).toArrow()
+    seen = np.zeros(slots // 8, np.uint8)
+    for part, bits in zip(merged["part"].to_pylist(), merged["bits"].to_pylist()):
+        seen[part * block // 8:(part + 1) * block // 8] = np.frombuffer(bits, np.uint8)
+    return seen
 
 
 def prefix(n: Column, percent: int) -> Column:
     return n - F.ceil(n * percent / 100.0) + 1
 
 
-def postings(rows: DataFrame, percent: int, sigmas: float) -> DataFrame:
-    """(key, own, a, b, level, n, held) of fragment 0 at each level a set takes part in; ``held`` is the
-    number of its n-grams in the fragment. The key is the n-gram with the level in its low bits."""
-    ends = [fragment_end(k, sigmas, percent) for k in range(1 << LEVEL_BITS)]
-    bounds = F.array(*[F.lit(e - (1 << 64) if e >= 1 << 63 else e) for e in ends])
-    # Spark's longs are signed; with the sign bit flipped on both sides they compare as the hashes do
-    flip = F.lit(-(1 << 63))
-
-    def inside(grams: Column, level: Column) -> Column:
-        return F.filter(grams, lambda g: g.bitwiseXOR(flip) <= F.get(bounds, level).bitwiseXOR(flip))
-
-    own, after = F.col("level"), F.col("level") + 1
-    # a set close to the next size class also takes part there, in a narrower fragment
-    near_next = F.col("n") * 100 >= percent * F.pow(F.lit(2.0), after)
-    taking = F.when(near_next, F.array(F.struct(own.alias("level"), F.col("grams").alias("grams")),
-                                       F.struct(after.alias("level"), inside(F.col("grams"), after).alias("grams")))
-                    ).otherwise(F.array(F.struct(own.alias("level"), F.col("grams").alias("grams"))))
-    parts = rows.where("n > 0").select("own", "a", "b", "n", F.explode(taking).alias("t"))
-    mask = F.lit(-(1 << LEVEL_BITS)).cast("long")
-    return parts.select("own", "a", "b", "n", F.col("t.level").alias("level"), F.size("t.grams").cast("long").alias("held"),
-                        F.explode("t.grams").alias("gram")).select(
-        F.col("gram").bitwiseAND(mask).bitwiseOR(F.col("level").cast("long")).alias("key"), "own", "a", "b", "level", "n", "held")
-
-
-def posted(rows: DataFrame, firsts: DataFrame, percent: int, sigmas: float) -> DataFrame:
-    """(key, node, n): the p rarest n-grams of each set's fragment, without those no other row has."""
-    grams = postings(rows, percent, sigmas)
-    shared = cut_lineage(grams.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
-    met = grams.join(if_few(shared, MAX_BROADCAST_KEYS), "key")
+def posted(sets: DataFrame, percent: int, sigmas: float) -> DataFrame:
+    """(key, node, n): the p rarest n-grams of each set's fragment, without those no other set has."""
+    shared = stored(fragment_keys(sets, percent, sigmas).groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared-keys")
+    met = fragment_keys(sets, percent, sigmas, key_bits(shared)).join(shared, "key")
     # n-grams of frequency 1 are the rarest: they use up part of the p. Repeated rows: a set of n-grams
-    per_set = met.groupBy("own", "a", "b", "level", "n", "held").agg(F.collect_set(F.struct("df", "key")).alias("met"))
+    per_set = met.groupBy("node", "level", "n", "held").agg(F.collect_set(F.struct("df", "key")).alias("met"))
     left = prefix(F.col("n"), percent) - (F.col("held") - F.size("met"))
     chosen = per_set.withColumn("left", left.cast("int")).where("left > 0")
-    # of equal sets only the first one's row goes on
-    chosen = chosen.join(firsts, ["a", "b"]).where("own = node")
     return chosen.select("node", "n", F.explode(F.slice(F.sort_array("met"), F.lit(1), F.col("left"))).alias("m")).select(
-        F.col("m.key").alias("key"), "node", "n").distinct()
-
-
-def if_few(df: DataFrame, most: int) -> DataFrame:
-    """``df`` (materialised) to be sent to all tasks if it has at most ``most`` rows; else joined by a shuffle."""
-    return F.broadcast(df) if df.count() <= most else df
+        F.col("m.key").alias("key"), "node", "n")
 
 
 def size_fits(x: Column, y: Column, percent: int) -> Column:
@@ -164,9 +213,9 @@ def fragment_rows(docs: DataFrame, nodes: DataFrame, ngram: int) -> DataFrame:
         known = WordIds()
         for batch in batches:
             out = {k: [] for k in ("node", "n", "fragment", "grams")}
-            for node, name, text in zip(batch["node"], batch["a"], batch["text"]):
+            for node, text in zip(batch["node"], batch["text"]):
                 grams = gram_set(text, known, ngram)
-                if set_name(grams)[0] != name:
+                if set_name(grams)[0] != node:
                     continue                          # another text under the same id
                 part = (grams >> np.uint64(64 - FRAGMENTS.bit_length() + 1)).astype(np.int64)
                 cuts = np.searchsorted(part, np.arange(FRAGMENTS + 1))
@@ -178,8 +227,8 @@ def fragment_rows(docs: DataFrame, nodes: DataFrame, ngram: int) -> DataFrame:
             yield out
 
     # rows without an id meet by <=>
-    wanted = if_few(nodes, MAX_BROADCAST_NODES).withColumnRenamed("id", "_id")
-    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("_id"))).select("node", "a", "text")
+    wanted = if_few(nodes, MAX_BROADCAST_ROWS).withColumnRenamed("id", "_id")
+    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("_id"))).select("node", "text")
     return map_batches(texts, "node long, n long, fragment int, grams array<long>", run).dropDuplicates(["node", "fragment"])
 
 
@@ -210,7 +259,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def links(buckets: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
     """Verified edges that connect the same documents as all links do (steps 2 and 3)."""
-    first = buckets.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first"))
+    # the document with the least id is more often the original of its copies than any other
+    first = buckets.groupBy("key").agg(F.min(F.struct("own", "node", "n")).alias("first"))
     star = (buckets.join(first, "key").where((F.col("node") != F.col("first.node")) & size_fits(F.col("n"), F.col("first.n"), percent))
             .select(F.col("node").alias("x"), F.col("first.node").alias("y")).distinct())
     edges = cut_lineage(verified(star, fragments, percent))
@@ -233,32 +283,34 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """One row per input row: key, n_shingles, component_id (least key reachable by links).
 
     Null and empty texts have an empty set and link with nothing (their own key is their component).
-    Equal sets are linked. Rows that share a key count as one document with several texts. Rows
-    without a key link like others; their component is null if no linked row has a key.
+    Equal sets are linked. Rows that share a key are judged by their own texts. Rows without a key
+    link like others; their component is null if no linked row has a key.
     """
     kind = docs.schema[key].dataType
     source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     sigmas = 6.0
     while True:
-        rows = cut_lineage(summaries(source, ngram, percent, sigmas))
+        rows = stored(summaries(source, ngram, percent, sigmas), "sets")
         if rows.where("NOT fits").isEmpty():
             break
         sigmas *= 2                                    # some set's hashes lie unusually high: widen the fragment
-    own_id = F.coalesce("id", F.lit(UNKNOWN) + F.shiftrightunsigned("a", 3))
-    named = rows.withColumn("own", own_id)
-    # equal sets share the least id as their node
-    firsts = cut_lineage(named.where("n > 0").groupBy("a", "b").agg(F.min("own").alias("node")))
-    buckets = cut_lineage(posted(named, firsts, percent, sigmas))
-    in_bucket = buckets.select(F.col("node").alias("own")).distinct()
-    of_node = named.select("id", "a", "b", "own").join(in_bucket, "own").join(firsts, ["a", "b"]).where("own = node")
-    nodes = cut_lineage(of_node.select("id", "a", "node").distinct())
+    # a set is a node, known by its name; its first document stands for equal ones
+    rows = rows.withColumn("own", F.coalesce("id", F.lit(LAST)))
+    full = rows.where("n > 0")
+    firsts = cut_lineage(full.groupBy("node", "b").agg(F.min("own").alias("first")))
+    copies = cut_lineage(full.select("own", "node", "b").join(firsts, ["node", "b"]).where("own > first").select("own", "node").distinct())
+    sets = full.join(if_few(copies, MAX_BROADCAST_ROWS), ["own", "node"], "left_anti")
+    buckets = cut_lineage(posted(sets, percent, sigmas).join(firsts.select("node", F.col("first").alias("own")), "node"))
+    in_bucket = buckets.select("node", "own").distinct()
+    nodes = cut_lineage(in_bucket.select(F.when(F.col("own") < LAST, F.col("own")).alias("id"), "node"))
     known = cut_lineage(fragment_rows(source.where(F.col("text").isNotNull()), nodes, ngram))
     labels = components(links(buckets, known, percent))
-    # a document: its set's node, and the least label over the nodes of its key
-    placed = named.select("id", "n", "a", "b", "own").join(firsts, ["a", "b"], "left")
-    labelled = placed.join(labels, "node", "left").select("id", "n", F.coalesce("label", "node", "own").alias("label"))
-    return labelled.select(F.col("id").cast(kind).alias(key), F.col("n").alias("n_shingles"),
-                           F.when((F.col("label") < UNKNOWN) | F.col("id").isNotNull(), F.col("label")).cast(kind).alias("component_id"))
+    least = firsts.join(labels, "node").groupBy("label").agg(F.min("first").alias("component"))
+    found = labels.join(least, "label").select("node", "component")
+    placed = rows.select("id", "n", "own", "node", "b").join(firsts, ["node", "b"], "left").join(found, "node", "left")
+    component = F.coalesce("component", "first", "own")
+    return placed.select(F.col("id").cast(kind).alias(key), F.col("n").alias("n_shingles"),
+                         F.when(component < LAST, component).cast(kind).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, columns: list[str], key: str = "doc_id", text: str = "text", ngram: int = NGRAM,
