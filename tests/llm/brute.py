@@ -64,11 +64,6 @@ def components(rows):
             i = parent[i]
         return i
 
-    by_id = {}
-    for i, (doc, _) in enumerate(rows):
-        if doc is not None and sets[i]:
-            by_id.setdefault(doc, i)
-            parent[find(i)] = find(by_id[doc])
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
