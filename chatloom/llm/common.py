@@ -1,6 +1,7 @@
 """Small helpers shared by the operators of this package."""
 from __future__ import annotations
 
+import gc
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,3 +84,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def if_few(df: DataFrame, most: int) -> DataFrame:
     """``df`` (materialised) to be sent to all tasks if it has at most ``most`` rows; else joined by a shuffle."""
     return F.broadcast(df) if df.count() <= most else df
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps. It does so when the driver's JVM collects
+    the objects of a step, which in a job of many steps it may not do before the disks are full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import if_few, map_batches, stored
-from chatloom.llm.words import WordIds, signed, window_hashes
+from chatloom.llm.common import if_few, map_batches, release, stored
+from chatloom.llm.words import distinct, hashed, signed, window_hashes
 from chatloom.session import cut_lineage
 
 NGRAM = 5
@@ -66,13 +66,10 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def gram_set(text: str | None, known: WordIds, ngram: int) -> np.ndarray:
-    """Sorted distinct n-gram hashes; a text of fewer words is one n-gram."""
-    # bytes.lower() changes A-Z only
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    return np.unique(window_hashes(known.array(words), min(ngram, len(words))))
+def gram_sets(texts: list[str | None], ngram: int):
+    """Each text's sorted distinct n-gram hashes; a text of fewer words is one n-gram."""
+    for ids in hashed(texts, lower=True):
+        yield distinct(window_hashes(ids, min(ngram, len(ids)))) if len(ids) else np.zeros(0, np.uint64)
 
 
 def set_name(grams: np.ndarray) -> tuple[int, int]:
@@ -83,11 +80,9 @@ def set_name(grams: np.ndarray) -> tuple[int, int]:
 def summaries(docs: DataFrame, ngram: int, percent: int, sigmas: float) -> DataFrame:
     """(id, n, node, b, level, fits, grams): set size, the halves of the set name, fragment 0, whether it is wide enough."""
     def run(batches):
-        known = WordIds()
         for batch in batches:
             out = {k: [] for k in ("id", "n", "node", "b", "level", "fits", "grams")}
-            for doc, text in zip(batch["id"], batch["text"]):
-                grams = gram_set(text, known, ngram)
+            for doc, grams in zip(batch["id"], gram_sets(batch["text"], ngram)):
                 n = len(grams)
                 a, b = set_name(grams)
                 level = level_of(n)
@@ -194,6 +189,7 @@ def prefix(n: Column, percent: int) -> Column:
 def posted(sets: DataFrame, percent: int, sigmas: float) -> DataFrame:
     """(key, node, n): the p rarest n-grams of each set's fragment, without those no other set has."""
     shared = stored(fragment_keys(sets, percent, sigmas).groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared-keys")
+    release(sets.sparkSession)
     met = fragment_keys(sets, percent, sigmas, key_bits(shared)).join(shared, "key")
     # n-grams of frequency 1 are the rarest: they use up part of the p. Repeated rows: a set of n-grams
     per_set = met.groupBy("node", "level", "n", "held").agg(F.collect_set(F.struct("df", "key")).alias("met"))
@@ -208,38 +204,40 @@ def size_fits(x: Column, y: Column, percent: int) -> Column:
 
 
 def fragment_rows(docs: DataFrame, nodes: DataFrame, ngram: int) -> DataFrame:
-    """(node, n, fragment, grams) of the sets that are in a pair: only their texts are fetched."""
+    """(node, n, parts) of the sets that are in a bucket, cut into FRAGMENTS ranges: only their texts
+    are fetched. Repeated rows give equal rows."""
     def run(batches):
-        known = WordIds()
         for batch in batches:
-            out = {k: [] for k in ("node", "n", "fragment", "grams")}
-            for node, text in zip(batch["node"], batch["text"]):
-                grams = gram_set(text, known, ngram)
+            out = {k: [] for k in ("node", "n", "parts")}
+            for node, grams in zip(batch["node"], gram_sets(batch["text"], ngram)):
                 if set_name(grams)[0] != node:
                     continue                          # another text under the same id
                 part = (grams >> np.uint64(64 - FRAGMENTS.bit_length() + 1)).astype(np.int64)
                 cuts = np.searchsorted(part, np.arange(FRAGMENTS + 1))
-                for f in range(FRAGMENTS):
-                    out["node"].append(node)
-                    out["n"].append(len(grams))
-                    out["fragment"].append(f)
-                    out["grams"].append(signed(grams[cuts[f]:cuts[f + 1]]))
+                out["node"].append(node)
+                out["n"].append(len(grams))
+                out["parts"].append([signed(grams[cuts[f]:cuts[f + 1]]) for f in range(FRAGMENTS)])
             yield out
 
     # rows without an id meet by <=>
     wanted = if_few(nodes, MAX_BROADCAST_ROWS).withColumnRenamed("id", "_id")
     texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("_id"))).select("node", "text")
-    return map_batches(texts, "node long, n long, fragment int, grams array<long>", run).dropDuplicates(["node", "fragment"])
+    return map_batches(texts, "node long, n long, parts array<array<long>>", run)
 
 
-def verified(pairs: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) whose Jaccard reaches the threshold: overlaps per fragment, summed per pair."""
-    left = fragments.select(F.col("node").alias("x"), F.col("n").alias("nx"), "fragment", F.col("grams").alias("gx"))
-    right = fragments.select(F.col("node").alias("y"), F.col("n").alias("ny"), "fragment", F.col("grams").alias("gy"))
-    partial = (pairs.join(left, "x").join(right, ["y", "fragment"])
-               .select("x", "y", "nx", "ny", F.size(F.array_intersect("gx", "gy")).cast("long").alias("overlap")))
-    total = partial.groupBy("x", "y", "nx", "ny").agg(F.sum("overlap").alias("overlap"))
-    return total.where(F.col("overlap") * 100 >= (F.col("nx") + F.col("ny") - F.col("overlap")) * percent).select("x", "y")
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) whose Jaccard reaches the threshold: the overlap of each fragment counted by
+    itself, summed per pair. ``pairs`` is materialised; repeated pairs (of repeated rows) are merged."""
+    left = sets.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("parts").alias("px"))
+    right = sets.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("parts").alias("py"))
+    # a few pairs go to the sets; only sets in a pair move
+    met = left.join(if_few(pairs, MAX_BROADCAST_ROWS), "x")
+    second = right.join(if_few(cut_lineage(pairs.select("y").distinct()), MAX_BROADCAST_ROWS), "y", "left_semi")
+    both = met.join(second, "y")
+    counts = F.zip_with("px", "py", lambda a, b: F.size(F.array_intersect(a, b)))
+    overlap = F.aggregate(counts, F.lit(0), lambda total, c: total + c).cast("long")
+    judged = both.select("x", "y", "nx", "ny", overlap.alias("overlap"))
+    return judged.where(F.col("overlap") * 100 >= (F.col("nx") + F.col("ny") - F.col("overlap")) * percent).select("x", "y").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -263,9 +261,10 @@ def links(buckets: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
     first = buckets.groupBy("key").agg(F.min(F.struct("own", "node", "n")).alias("first"))
     star = (buckets.join(first, "key").where((F.col("node") != F.col("first.node")) & size_fits(F.col("n"), F.col("first.n"), percent))
             .select(F.col("node").alias("x"), F.col("first.node").alias("y")).distinct())
+    star = cut_lineage(star)
     edges = cut_lineage(verified(star, fragments, percent))
     labels = components(edges)
-    placed = cut_lineage(buckets.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label")))
+    placed = stored(buckets.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label")), "placed")
     sizes = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
     largest = (sizes.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("most"), F.count(F.lit(1)).alias("parts"))
                .where("parts > 1").drop("parts"))
@@ -276,6 +275,8 @@ def links(buckets: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
     cross = (some.join(other, "key").where((F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("most")) | (F.col("x") > F.col("y")))
                                            & size_fits(F.col("nx"), F.col("ny"), percent))
              .select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct().join(star, ["x", "y"], "left_anti"))
+    cross = cut_lineage(cross)
+    release(buckets.sparkSession)
     return edges.unionByName(verified(cross, fragments, percent))
 
 
@@ -300,10 +301,16 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     firsts = cut_lineage(full.groupBy("node", "b").agg(F.min("own").alias("first")))
     copies = cut_lineage(full.select("own", "node", "b").join(firsts, ["node", "b"]).where("own > first").select("own", "node").distinct())
     sets = full.join(if_few(copies, MAX_BROADCAST_ROWS), ["own", "node"], "left_anti")
-    buckets = cut_lineage(posted(sets, percent, sigmas).join(firsts.select("node", F.col("first").alias("own")), "node"))
+    chosen = posted(sets, percent, sigmas).join(firsts.select("node", F.col("first").alias("own")), "node")
+    met = stored(chosen, "postings")
+    release(docs.sparkSession)
+    # an n-gram that only one set posted links nothing
+    shared = met.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    buckets = stored(met.join(shared, "key"), "buckets")
+    release(docs.sparkSession)
     in_bucket = buckets.select("node", "own").distinct()
     nodes = cut_lineage(in_bucket.select(F.when(F.col("own") < LAST, F.col("own")).alias("id"), "node"))
-    known = cut_lineage(fragment_rows(source.where(F.col("text").isNotNull()), nodes, ngram))
+    known = stored(fragment_rows(source.where(F.col("text").isNotNull()), nodes, ngram), "fragments")
     labels = components(links(buckets, known, percent))
     least = firsts.join(labels, "node").groupBy("label").agg(F.min("first").alias("component"))
     found = labels.join(least, "label").select("node", "component")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from chatloom.llm.common import map_batches
 from chatloom.llm.fm_index import FMIndex
-from chatloom.llm.words import WordIds, signed, sliding, split_words, window_hashes
+from chatloom.llm.words import distinct, hashed, signed, sliding, split_words, window_hashes
 from chatloom.session import cut_lineage
 
 WINDOW = 50
@@ -59,17 +59,16 @@ def text_key(sha: "hashlib._Hash") -> int:
 def summaries(docs: DataFrame, window: int) -> DataFrame:
     """(id, key, sha, n_words, seeds) per row; ``key`` tells texts of one id apart."""
     def run(batches):
-        known = WordIds()
         for b in batches:
             keys, shas, sizes, seeds = [], [], [], []
-            for text in b["text"]:
+            for text, ids in zip(b["text"], hashed(b["text"])):
                 words = split_words(text)
                 sha = digest(words)
                 keys.append(text_key(sha))
                 shas.append(sha.hexdigest())
                 sizes.append(len(words))
-                own = window_seeds(known.array(words), window) if len(words) >= window else np.zeros(0, np.uint64)
-                seeds.append(signed(np.unique(own)))
+                own = window_seeds(ids, window) if len(words) >= window else np.zeros(0, np.uint64)
+                seeds.append(signed(distinct(own)))
             yield {"id": b["id"], "key": keys, "sha": shas, "n_words": sizes, "seeds": seeds}
 
     return map_batches(docs, "id long, key long, sha string, n_words long, seeds array<long>", run)
@@ -81,14 +80,13 @@ def passages(texts: DataFrame, window: int) -> DataFrame:
     most = window - min(SEED, window) + 1
 
     def run(batches):
-        known = WordIds()
         for b in batches:
             out = {k: [] for k in ("id", "key", "seed", "passage", "name", "starts", "size")}
-            for doc, key, text, seeds in zip(b["id"], b["key"], b["text"], b["seeds"]):
+            for doc, key, text, seeds, ids in zip(b["id"], b["key"], b["text"], b["seeds"], hashed(b["text"])):
                 words = split_words(text)
                 if text_key(digest(words)) != key:
                     continue                        # another text under the same id
-                own = window_seeds(known.array(words), window).view(np.int64)
+                own = window_seeds(ids, window).view(np.int64)
                 shared = np.isin(own, np.array(seeds, np.int64))
                 cuts = np.flatnonzero(np.diff(own)) + 1
                 found: dict[tuple, list[int]] = {}

@@ -7,19 +7,64 @@ import xxhash
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordIds(dict):
-    """word (bytes) -> 64-bit hash, kept while it fits."""
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: longer words are hashed one by one
+LONG_WORD = 48
+#: texts are hashed together until they make so many bytes
+CHUNK = 1 << 20
 
-    LIMIT = 500_000
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+def hash_words(texts: list[bytes]) -> list[np.ndarray]:
+    """64-bit hashes of each text's words, for all texts in one go: the k-th bytes of all words that
+    have one are mixed in together (words ordered by length, so these are a prefix)."""
+    data = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
+    word = ~SPACE[data]
+    edge = np.flatnonzero(word[1:] != word[:-1]) + 1
+    starts, ends = edge[::2], edge[1::2]
+    sizes = ends - starts
+    order = np.argsort(np.minimum(sizes, (1 << 15) - 1).astype(np.int16) * np.int16(-1), kind="stable")
+    first, size = starts[order], sizes[order]
+    longest = min(int(size[0]), LONG_WORD) if len(size) else 0
+    holding = np.searchsorted(-size, -np.arange(longest), "left") if longest else []
+    with np.errstate(over="ignore"):
+        h = size.astype(np.uint64) * BASE
+        for k in range(longest):
+            m = int(holding[k])
+            part = h[:m]
+            part ^= data[first[:m] + k]
+            part *= np.uint64(0x100000001B3)
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(29)
+    for i in range(int(np.searchsorted(-size, -LONG_WORD, "left"))):
+        h[i] = xxhash.xxh3_64_intdigest(data[first[i]:first[i] + size[i]].tobytes())
+    out = np.empty(len(h), np.uint64)
+    out[order] = h
+    # a text begins after its separator
+    begin = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    cuts = np.searchsorted(starts, begin + 1)
+    return [out[cuts[i]:cuts[i + 1]] for i in range(len(texts))]
+
+
+def hashed(texts: list[str | None], lower: bool = False):
+    """Word hashes of each text, in order. ``lower`` folds A-Z (bytes.lower() changes nothing else)."""
+    held, size = [], 0
+    for text in texts:
+        body = (text or "").encode("utf-8", "surrogatepass")
+        held.append(body.lower() if lower else body)
+        size += len(body)
+        if size >= CHUNK:
+            yield from hash_words(held)
+            held, size = [], 0
+    if held:
+        yield from hash_words(held)
+
 
-    def array(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
 
 
 def split_words(text: str | None) -> list[bytes]:
