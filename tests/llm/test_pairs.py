@@ -7,7 +7,8 @@ from brute import components, substring, words
 
 from chatloom.llm import jaccard_join, substring_dedup
 from chatloom.llm.fm_index import BitRank, FMIndex
-from chatloom.llm.words import WordIds, sliding, window_hashes
+from chatloom.llm import words as words_module
+from chatloom.llm.words import hashed, sliding, window_hashes
 
 SORT = lambda rows: sorted(rows, key=lambda r: tuple((x is None, x if x is not None else 0) for x in r))
 
@@ -25,11 +26,21 @@ def test_window_hashes_and_sliding():
     assert len(window_hashes(ids[:3], 5)) == 0 == len(sliding(np.minimum, ids[:3], 5))
 
 
-def test_word_ids_are_bounded_and_stable(monkeypatch):
-    monkeypatch.setattr(WordIds, "LIMIT", 3)
-    known = WordIds()
-    a = known.array([b"a", b"b", b"c", b"d", b"a"])
-    assert len(known) <= 4 and a[0] == a[4]
+def test_hashed_words(monkeypatch, texts):
+    own = [t for _, t in texts] + ["x" * 47 + " " + "x" * 48 + " " + "x" * 49 + " " + "y" * 40000, "A a \u00c9 \u00e9", "\x00 \x00\x00", " lead", "trail "]
+    known = {}
+    for chunk in (1, 500, 1 << 20):
+        monkeypatch.setattr(words_module, "CHUNK", chunk)
+        for lower in (False, True):
+            got = list(hashed(own, lower))
+            assert len(got) == len(own)
+            for text, ids in zip(own, got):
+                body = (text or "").encode()
+                split = (body.lower() if lower else body).split()
+                assert len(split) == len(ids)
+                for w, h in zip(split, ids.tolist()):
+                    assert known.setdefault(w, h) == h
+    assert len(set(known.values())) == len(known) > 1000
 
 
 def test_bit_rank():
