@@ -12,6 +12,8 @@ they must meet.
 2. Sets that post one n-gram form a bucket. Every member is paired with the bucket's first one; pairs
    are verified: the fragments of both sets are joined, each fragment's overlap is counted
    separately and the counts are summed per pair. Verified pairs are contracted to components.
+   Before, the full sets of the documents that post anything are fetched, and those that do not share
+   t of their n-grams with any others are dropped.
 3. What is left are bucket members of different components. All of them except those of the bucket's
    largest component are paired with the members of other components and verified. So no link
    between components is lost, and a bucket of thousands of near copies never becomes all its pairs.
@@ -225,6 +227,25 @@ def fragment_rows(docs: DataFrame, nodes: DataFrame, ngram: int) -> DataFrame:
     return map_batches(texts, "node long, n long, parts array<array<long>>", run)
 
 
+def enough_shared(sets: DataFrame, percent: int) -> DataFrame:
+    """The sets that share ``percent`` of their n-grams with any of the others; a set in a verified pair
+    shares as many with one of them. Unlike texts around a common passage end here."""
+    shared = (sets.select(F.explode(F.flatten("parts")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+              .where("df > 1").select("key"))
+    seen = key_bits(stored(shared, "shared-grams"))
+
+    def run(batches):
+        for batch in batches:
+            parts = batch.column("parts").flatten()
+            flat = parts.values.to_numpy()
+            cuts = parts.offsets.to_numpy()
+            held = np.concatenate(([0], np.cumsum(has_bit(seen, flat))))
+            alive = (held[cuts[FRAGMENTS::FRAGMENTS]] - held[cuts[:-1:FRAGMENTS]])[:batch.num_rows]
+            yield batch.filter(pa.array(alive * 100 >= batch.column("n").to_numpy() * percent))
+
+    return sets.mapInArrow(run, sets.schema)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (x, y) whose Jaccard reaches the threshold: the overlap of each fragment counted by
     itself, summed per pair. ``pairs`` is materialised; repeated pairs (of repeated rows) are merged."""
@@ -304,13 +325,15 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     chosen = posted(sets, percent, sigmas).join(firsts.select("node", F.col("first").alias("own")), "node")
     met = stored(chosen, "postings")
     release(docs.sparkSession)
+    nodes = cut_lineage(met.select(F.when(F.col("own") < LAST, F.col("own")).alias("id"), "node").distinct())
+    known = stored(fragment_rows(source.where(F.col("text").isNotNull()), nodes, ngram), "fragments")
+    known = stored(enough_shared(known, percent), "fragments-in-pairs")
+    release(docs.sparkSession)
+    met = met.join(if_few(cut_lineage(known.select("node").distinct()), MAX_BROADCAST_ROWS), "node", "left_semi")
     # an n-gram that only one set posted links nothing
     shared = met.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
     buckets = stored(met.join(shared, "key"), "buckets")
     release(docs.sparkSession)
-    in_bucket = buckets.select("node", "own").distinct()
-    nodes = cut_lineage(in_bucket.select(F.when(F.col("own") < LAST, F.col("own")).alias("id"), "node"))
-    known = stored(fragment_rows(source.where(F.col("text").isNotNull()), nodes, ngram), "fragments")
     labels = components(links(buckets, known, percent))
     least = firsts.join(labels, "node").groupBy("label").agg(F.min("first").alias("component"))
     found = labels.join(least, "label").select("node", "component")
