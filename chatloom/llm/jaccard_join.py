@@ -150,10 +150,10 @@ def has_bit(seen: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (seen[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def key_bits(shared: DataFrame) -> np.ndarray:
-    """A bit map of the slots of the shared keys: 16 slots a key, at most MAX_SLOTS. Tasks merge their
+def key_bits(shared: DataFrame, per_key: int = 16) -> np.ndarray:
+    """A bit map of the slots of the shared keys: ``per_key`` slots a key, at most MAX_SLOTS. Tasks merge their
     keys to one map per block of slots before anything moves, so its size bounds all that does."""
-    slots = min(MAX_SLOTS, max(1 << 16, 1 << (16 * shared.count()).bit_length()))
+    slots = min(MAX_SLOTS, max(1 << 16, 1 << (per_key * shared.count()).bit_length()))
     block = 1 << 15
 
     def run(batches):
@@ -201,8 +201,10 @@ def posted(sets: DataFrame, percent: int, sigmas: float) -> DataFrame:
         F.col("m.key").alias("key"), "node", "n")
 
 
-def size_fits(x: Column, y: Column, percent: int) -> Column:
-    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+def can_link(nx: Column, ax: Column, ny: Column, ay: Column, percent: int) -> Column:
+    """Whether two sets of these sizes and numbers of shared n-grams can reach the threshold: the overlap
+    is at most the smaller number, and must be t / (1 + t) of both sizes together."""
+    return F.least(ax, ay) * (100 + percent) >= (nx + ny) * percent
 
 
 def fragment_rows(docs: DataFrame, nodes: DataFrame, ngram: int) -> DataFrame:
@@ -228,11 +230,12 @@ def fragment_rows(docs: DataFrame, nodes: DataFrame, ngram: int) -> DataFrame:
 
 
 def enough_shared(sets: DataFrame, percent: int) -> DataFrame:
-    """The sets that share ``percent`` of their n-grams with any of the others; a set in a verified pair
-    shares as many with one of them. Unlike texts around a common passage end here."""
+    """The sets that share ``percent`` of their n-grams with any of the others, with the number they
+    share (``alive``, at least); a set in a verified pair shares as many with one of them. Unlike texts
+    around a common passage end here."""
     shared = (sets.select(F.explode(F.flatten("parts")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("df"))
               .where("df > 1").select("key"))
-    seen = key_bits(stored(shared, "shared-grams"))
+    seen = key_bits(stored(shared, "shared-grams"), per_key=64)
 
     def run(batches):
         for batch in batches:
@@ -241,9 +244,10 @@ def enough_shared(sets: DataFrame, percent: int) -> DataFrame:
             cuts = parts.offsets.to_numpy()
             held = np.concatenate(([0], np.cumsum(has_bit(seen, flat))))
             alive = (held[cuts[FRAGMENTS::FRAGMENTS]] - held[cuts[:-1:FRAGMENTS]])[:batch.num_rows]
-            yield batch.filter(pa.array(alive * 100 >= batch.column("n").to_numpy() * percent))
+            out = batch.append_column("alive", pa.array(alive.astype(np.int64)))
+            yield out.filter(pa.array(alive * 100 >= batch.column("n").to_numpy() * percent))
 
-    return sets.mapInArrow(run, sets.schema)
+    return sets.mapInArrow(run, "node long, n long, parts array<array<long>>, alive long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -279,22 +283,22 @@ def components(edges: DataFrame) -> DataFrame:
 def links(buckets: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
     """Verified edges that connect the same documents as all links do (steps 2 and 3)."""
     # the document with the least id is more often the original of its copies than any other
-    first = buckets.groupBy("key").agg(F.min(F.struct("own", "node", "n")).alias("first"))
-    star = (buckets.join(first, "key").where((F.col("node") != F.col("first.node")) & size_fits(F.col("n"), F.col("first.n"), percent))
+    first = buckets.groupBy("key").agg(F.min(F.struct("own", "node", "n", "alive")).alias("first"))
+    star = (buckets.join(first, "key").where((F.col("node") != F.col("first.node")) & can_link(F.col("n"), F.col("alive"), F.col("first.n"), F.col("first.alive"), percent))
             .select(F.col("node").alias("x"), F.col("first.node").alias("y")).distinct())
     star = cut_lineage(star)
     edges = cut_lineage(verified(star, fragments, percent))
     labels = components(edges)
-    placed = stored(buckets.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label")), "placed")
+    placed = stored(buckets.join(labels, "node", "left").select("key", "node", "n", "alive", F.coalesce("label", "node").alias("label")), "placed")
     sizes = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
     largest = (sizes.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("most"), F.count(F.lit(1)).alias("parts"))
                .where("parts > 1").drop("parts"))
     mixed = placed.join(largest, "key")
-    some = mixed.where("label <> most").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"))
-    other = mixed.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("label").alias("ly"), "most")
+    some = mixed.where("label <> most").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("alive").alias("ax"), F.col("label").alias("lx"))
+    other = mixed.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("alive").alias("ay"), F.col("label").alias("ly"), "most")
     # two members outside the largest component meet once; a failed star pair is not tried again
     cross = (some.join(other, "key").where((F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("most")) | (F.col("x") > F.col("y")))
-                                           & size_fits(F.col("nx"), F.col("ny"), percent))
+                                           & can_link(F.col("nx"), F.col("ax"), F.col("ny"), F.col("ay"), percent))
              .select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct().join(star, ["x", "y"], "left_anti"))
     cross = cut_lineage(cross)
     release(buckets.sparkSession)
@@ -329,7 +333,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     known = stored(fragment_rows(source.where(F.col("text").isNotNull()), nodes, ngram), "fragments")
     known = stored(enough_shared(known, percent), "fragments-in-pairs")
     release(docs.sparkSession)
-    met = met.join(if_few(cut_lineage(known.select("node").distinct()), MAX_BROADCAST_ROWS), "node", "left_semi")
+    met = met.join(if_few(cut_lineage(known.groupBy("node").agg(F.max("alive").alias("alive"))), MAX_BROADCAST_ROWS), "node")
     # an n-gram that only one set posted links nothing
     shared = met.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
     buckets = stored(met.join(shared, "key"), "buckets")
