@@ -184,8 +184,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     y = cut_lineage(training_labels(labels, key, label, ~held, max_train_rows))
     size = y.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0.0)).alias("toxic")).first()
     out = [F.col("id").alias(key), (fold(F.col("id")) == 0).alias("held_out")]
+    flat = F.lit((size["toxic"] + 0.5) / (size["n"] + 1.0))
     if size["toxic"] in (0.0, float(size["n"])):
-        flat = F.lit((size["toxic"] + 0.5) / (size["n"] + 1.0))
         return docs.select(F.col(key).alias("id")).select(*out, flat.alias("score"), (flat >= 0.5).cast("int").alias("predicted"))
     # y has at most max_train_rows narrow rows: the documents need no shuffle to find theirs
     bounded = F.broadcast(y)
@@ -194,6 +194,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     rows = cut_lineage(feature_rows(docs, lexicon, key, text)).withColumn("features", array_to_vector("x"))
     # a bounded training set: a few partitions, so each boosting step is a few short tasks
     train = rows.join(F.broadcast(y.withColumnRenamed(key, "id")), "id").select("id", "features", "y").coalesce(6).cache()
+    if train.select("y").distinct().count() < 2:       # labels of documents that are not there
+        train.unpersist()
+        return docs.select(F.col(key).alias("id")).select(*out, flat.alias("score"), (flat >= 0.5).cast("int").alias("predicted"))
     calibration = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(4)) == 0
     fit, rest = train.where(~calibration), train.where(calibration)
     if fit.select("y").distinct().count() < 2 or rest.select("y").distinct().count() < 2:
