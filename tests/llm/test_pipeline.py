@@ -11,11 +11,12 @@ from test_models import check_packing
 import __spark_entry__
 
 COLUMNS = corpus_pipeline.COLUMNS
+LETTERS = str.maketrans("0123456789", "aeioubdfgh")
 
 
 def corpus():
     rng = random.Random(11)
-    say = lambda k, v=4000: " ".join(f"w{rng.randrange(v)}" for _ in range(k))
+    say = lambda k, v=4000: " ".join(f"w{rng.randrange(v)}" for _ in range(k)).translate(LETTERS)
     texts = [say(rng.randint(60, 200)) for _ in range(30)]
     base = say(150)
     near = base.split()
