@@ -52,10 +52,10 @@ def minhash_bands(sh: DataFrame, key: str = "id", bands: int = 8, rows: int = 4)
     return sig.select(key, F.explode(F.array(*parts)).alias("_b")).select(key, "_b.band", "_b.bucket")
 
 
-def components(edges: DataFrame, key: str = "id", max_rounds: int = 1000) -> DataFrame:
+def components(edges: DataFrame, key: str = "id") -> DataFrame:
     """Smallest doc id reachable through shared (band, bucket) nodes; stops when no label changes."""
     labels = edges.select(key).distinct().withColumn("label", F.col(key))
-    for i in range(1, max_rounds + 1):
+    while True:
         bucket_min = edges.join(labels, key).groupBy("band", "bucket").agg(F.min("label").alias("bl"))
         new = (edges.join(bucket_min, ["band", "bucket"]).groupBy(key).agg(F.min("bl").alias("nl"))
                .join(labels, key).select(key, F.least("label", "nl").alias("label")))
@@ -66,7 +66,6 @@ def components(edges: DataFrame, key: str = "id", max_rounds: int = 1000) -> Dat
         if changed.isEmpty():
             return new
         labels = new
-    return labels
 
 
 def jaccard_to(sh: DataFrame, pairs: DataFrame, key: str = "id") -> DataFrame:

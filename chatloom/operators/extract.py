@@ -6,11 +6,13 @@ article text and entity decoding. The parsed frame feeds the three outputs.
 """
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.functions.attributes import attribute
 from chatloom.functions.html import article_text, unescape, unescape_all, unescape_map
 from chatloom.functions.text import iso_seconds, iso_valid, py_strip
 
@@ -39,13 +41,18 @@ class Extracted:
     quarantine: DataFrame
 
 
+def script_tag(script_id: str) -> str:
+    own = re.escape(script_id)
+    return rf"""(?is)<script\b[^>]*(?<=[\s"'/])id\s*=\s*(?:"{own}"|'{own}'|{own}(?=[\s>/]))[^>]*>"""
+
+
 def jsonld_block(html: Column, script_id: str) -> Column:
     """Inner text of ``<script id=...>`` (empty when absent)."""
-    return F.regexp_extract(html, rf"""(?is)<script[^>]*\bid\s*=\s*"{script_id}"[^>]*>(.*?)</script>""", 1)
+    return F.regexp_extract(html, f"{script_tag(script_id)}(.*?)</script>", 1)
 
 
 def has_block(html: Column, script_id: str) -> Column:
-    return html.rlike(rf"""(?is)<script[^>]*\bid\s*=\s*"{script_id}"[^>]*>""")
+    return html.rlike(script_tag(script_id))
 
 
 def jsonld_parse(block: Column) -> Column:
@@ -55,9 +62,9 @@ def jsonld_parse(block: Column) -> Column:
 
 
 def meta_description(html: Column, name: str = "description") -> Column:
-    """``content`` of ``<meta name=...>``, null when absent."""
-    pat = rf"""(?is)<meta\s[^>]*\bname\s*=\s*"{name}"[^>]*\bcontent\s*=\s*"([^"]*)\""""
-    return F.when(html.rlike(pat), F.regexp_extract(html, pat, 1))
+    """``content`` of ``<meta name=...>`` (attributes in any order), null when absent."""
+    tags = F.regexp_extract_all(html, F.lit(r"""(?is)(<meta\s(?:[^>"']|"[^"]*"|'[^']*')*+>)"""), 1)
+    return attribute(F.get(F.filter(tags, lambda t: attribute(t, "name") == name), F.lit(0)), "content")
 
 
 def doc_key(title: Column) -> Column:

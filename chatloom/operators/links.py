@@ -6,28 +6,31 @@ checkpoint every few rounds.
 """
 from __future__ import annotations
 
+import itertools
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.functions.attributes import attribute, decode_entities
 from chatloom.session import cut_lineage
 
-ANCHOR = r"<a\s[^>]*>"
-HREF = r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+# a tag up to its end; a > inside a quoted value is not the end
+ANCHOR = r"""<a\s(?:[^>"']|"[^"]*"|'[^']*')*+>"""
 
 
 def extract_links(pages: DataFrame, html: str = "html", key: str = "page_id",
-                  css_class: str | None = None) -> DataFrame:
-    """G1: hrefs of the page's anchors, in page order; with ``css_class`` only anchors whose class
-    list holds that exact token (``card`` matches ``big card`` but not ``cardigan``)."""
+                  css_class: str | None = None, carry: list[str] = ()) -> DataFrame:
+    """G1: hrefs of the page's anchors (entities decoded), in page order; with ``css_class`` only
+    anchors whose class list holds that exact token (``card`` matches ``big card`` but not
+    ``cardigan``). ``carry`` names further page columns of the result."""
     tags = F.regexp_extract_all(F.col(html), F.lit(f"(?is)({ANCHOR})"), 1)
+    staged = pages.select(F.col(key), *carry, F.posexplode(tags).alias("ordinal", "_tag"))
     if css_class:
-        token = (rf"""(?is)\bclass\s*=\s*(?:"(?:[^"]*\s)?{css_class}(?:\s[^"]*)?"|"""
-                 rf"""'(?:[^']*\s)?{css_class}(?:\s[^']*)?')""")
-        tags = F.filter(tags, lambda t: t.rlike(token))
-    staged = pages.select(F.col(key), F.posexplode(tags).alias("ordinal", "_tag"))
-    href = F.when(F.regexp_extract("_tag", f"(?is){HREF}", 1) != "", F.regexp_extract("_tag", f"(?is){HREF}", 1)) \
-        .otherwise(F.regexp_extract("_tag", f"(?is){HREF}", 2))
-    return staged.where(F.col("_tag").rlike(f"(?is){HREF}")).select(key, "ordinal", href.alias("href"))
+        token = re.escape(css_class)
+        staged = staged.where(attribute(F.col("_tag"), "class").rlike(rf"(?:^|\s){token}(?:\s|$)"))
+    return (staged.withColumn("href", decode_entities(attribute(F.col("_tag"), "href")))
+            .where(F.col("href").isNotNull()).select(key, *carry, "ordinal", "href"))
 
 
 def origin(url: Column) -> Column:
@@ -63,8 +66,9 @@ def slug_dedupe(urls: DataFrame, known: DataFrame | None, url: str = "url",
     return firsts
 
 
-def reachable(edges: DataFrame, seeds: DataFrame, max_rounds: int = 1000, checkpoint_every: int = 4) -> DataFrame:
-    """Every node reachable from the seeds, with its BFS depth (seeds have depth 0).
+def reachable(edges: DataFrame, seeds: DataFrame, checkpoint_every: int = 4) -> DataFrame:
+    """Every node reachable from the seeds, with its BFS depth (seeds have depth 0). Rounds go on
+    until no new node is found, however deep the graph is.
 
     Each round joins the frontier with the edges, keeps unseen destinations, and appends them.
     Every ``checkpoint_every`` rounds the visited set is checkpointed to the shared folder so the
@@ -74,7 +78,7 @@ def reachable(edges: DataFrame, seeds: DataFrame, max_rounds: int = 1000, checkp
     e = cut_lineage(edges.select("src", "dst").distinct())
     seen = seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0))
     frontier = seen
-    for depth in range(1, max_rounds + 1):
+    for depth in itertools.count(1):
         nxt = (frontier.join(e, frontier.node == e.src).select(F.col("dst").alias("node")).distinct()
                .join(seen.select("node"), "node", "left_anti")
                .withColumn("depth", F.lit(depth)))
@@ -106,14 +110,15 @@ def until_exhausted(results: DataFrame, min_links: int = 2, term: str = "term")
 
 
 def fetch_ok(fetch_log: DataFrame, status: str = "status") -> tuple[DataFrame, DataFrame]:
-    """Responses to keep (status 200) and a count of the rest by status."""
-    ok = fetch_log.where(F.col(status) == 200)
-    errors = fetch_log.where(F.col(status) != 200).groupBy(status).agg(F.count(F.lit(1)).alias("n"))
+    """Responses to keep (status 200) and a count of the rest by status (null is one of them)."""
+    good = F.col(status).eqNullSafe(200)
+    ok = fetch_log.where(good)
+    errors = fetch_log.where(~good).groupBy(status).agg(F.count(F.lit(1)).alias("n"))
     return ok, errors
 
 
 def unseen_links(pages: DataFrame, known_urls: DataFrame, css_class: str | None = None) -> DataFrame:
     """Rescan every stored page for links and keep the URLs not stored yet."""
-    links = extract_links(pages, css_class=css_class).join(pages.select("page_id", "url"), "page_id")
+    links = extract_links(pages, css_class=css_class, carry=["url"])
     abs_ = links.select(absolute(F.col("href"), F.col("url")).alias("url")).distinct()
     return abs_.join(known_urls.select("url"), "url", "left_anti")

@@ -11,7 +11,10 @@ from chatloom.sources.tables import load, page_view
 _TAGS = """SELECT page_id, url, CAST(n - 1 AS INTEGER) AS ordinal, tags[n] AS tag
 FROM (SELECT page_id, url, tags, generate_subscripts(tags, 1) AS n
       FROM (SELECT page_id, url, regexp_extract_all(html, '(?is)(<a\\s[^>]*>)', 1) AS tags FROM pages))"""
-_LINKS = f"""SELECT page_id, url AS page_url, ordinal, regexp_extract(tag, '(?is)\\bhref\\s*=\\s*"([^"]*)"', 1) AS href
+_HREF = "regexp_extract(tag, '(?is)\\bhref\\s*=\\s*\"([^\"]*)\"', 1)"
+for _name, _char in [("quot", '"'), ("copy", "\u00a9"), ("middot", "\u00b7"), ("amp", "&")]:
+    _HREF = f"replace({_HREF}, '&{_name};', '{_char}')"
+_LINKS = f"""SELECT page_id, url AS page_url, ordinal, {_HREF} AS href
 FROM ({_TAGS}) WHERE regexp_matches(tag, '(?is)\\bhref\\s*=\\s*"([^"]*)"')"""
 _ORIGIN = "regexp_extract(page_url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1)"
 _ABS = f"""SELECT page_id, ordinal, CASE WHEN starts_with(href, '/') AND NOT starts_with(href, '//')
@@ -24,8 +27,8 @@ def _links(spark, sf_dir):
 
 
 def _absolute(spark, sf_dir):
-    pages = load(spark, sf_dir, "pages").select("page_id", F.col("url").alias("page_url"))
-    return (_links(spark, sf_dir).join(pages, "page_id")
+    pages = load(spark, sf_dir, "pages").withColumnRenamed("url", "page_url")
+    return (L.extract_links(pages, carry=["page_url"])
             .select("page_id", "ordinal", L.absolute(F.col("href"), F.col("page_url")).alias("url"),
                     L.origin(F.col("page_url")).alias("base")))
 

@@ -5,10 +5,11 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job in the library relies on. They are defaults: a cluster's own
-# values (spark-defaults.conf, --conf) win because ``getOrCreate`` keeps them.
+# Settings every job in the library relies on. They are defaults: a value that the cluster sets
+# (spark-defaults.conf, --conf) stays, see ``get_spark``.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -30,8 +31,12 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
+    # builder options would override what spark-submit or spark-defaults.conf say: set absent keys only
+    given = SparkConf()
     for k, v in conf.items():
+        if not given.contains(k):
+            builder = builder.config(k, v)
+    for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -42,14 +47,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and round tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; we read it from the session and
-    only invent a local one when it is unset (local mode, tests).
+    A cluster names it in ``spark.checkpoint.dir``; we read it from the session. Only a local
+    master (tests) gets a folder of its own when it is unset; any other master raises.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="chatloom-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", path)
