@@ -96,15 +96,15 @@ def evaluator(inputs: DataFrame, model: Model = STAND_IN, pools: Pools = DEFAULT
     r = evaluator_rounds(inputs, model)
     key = F.col("document")
     score = F.col("review_score").cast("string")
-    template = (F.when(F.col("bucket") == "good", pools.pick("yes_good", key))
-                .when(F.col("bucket") == "bad", pools.pick("no_good", key))
-                .otherwise(pools.pick("maybe_good", key)))
+    template = (F.when(F.col("bucket") == "good", pools.pick("rating_high", key))
+                .when(F.col("bucket") == "bad", pools.pick("rating_low", key))
+                .otherwise(pools.pick("rating_mid", key)))
     has_crit = F.coalesce(F.col("critique") != "", F.lit(False))
     msgs = _present(F.array(
         F.col("_intro"),
-        message("user", pools.pick("looks_good", key)),
+        message("user", pools.pick("ask_rating", key)),
         message("assistant", fill(template, score, F.col("why"))),
-        F.when(has_crit, message("user", pools.pick("how_to_improve", key))),
+        F.when(has_crit, message("user", pools.pick("ask_changes", key))),
         F.when(has_crit, message("assistant", F.col("critique"))),
     ))
     return explode_messages(r.withColumn("messages", msgs), trainer, revision, "document")
@@ -148,7 +148,7 @@ def recipe_rounds(inputs: DataFrame, model: Model = STAND_IN, pools: Pools = DEF
     r = recipe_eligible(inputs)
     key = F.col("document")
     article = message("user", F.concat(F.lit(P.RECIPE_INTRO), F.col("text")))
-    variation = pools.pick("propose_recipe", key)
+    variation = pools.pick("request", key)
     title_prompt = message("user", fmt(F.lit(P.RECIPE_TITLE), F.col("title"), F.element_at(variation, 1)))
     r = r.withColumn("_variation", variation)
     r = model.answer(r, F.array(_sys(), article, title_prompt), "title_answer", max_tokens=20)
@@ -162,9 +162,9 @@ def time_answer(pools: Pools, key: Column, prep: Column, total: Column) -> Colum
     p_ok = F.coalesce(prep != 0, F.lit(False))
     t_ok = F.coalesce(total != 0, F.lit(False))
     p_txt, t_txt = natural_duration(prep), natural_duration(total)
-    return (F.when(p_ok & t_ok, fmt(pools.pick("prep_and_total_time", key), p_txt, t_txt))
-            .when(p_ok, fmt(pools.pick("prep_time", key), p_txt))
-            .when(t_ok, fmt(pools.pick("total_time", key), t_txt)))
+    return (F.when(p_ok & t_ok, fmt(pools.pick("tell_both_times", key), p_txt, t_txt))
+            .when(p_ok, fmt(pools.pick("tell_preparation", key), p_txt))
+            .when(t_ok, fmt(pools.pick("tell_total", key), t_txt)))
 
 
 def recipe_chat(inputs: DataFrame, model: Model = STAND_IN, pools: Pools = DEFAULT_POOLS,
@@ -182,16 +182,16 @@ def recipe_chat(inputs: DataFrame, model: Model = STAND_IN, pools: Pools = DEFAU
     msgs = _present(F.array(
         message("user", F.concat(F.col("title_answer"), F.element_at("_variation", 2))),
         message("assistant", recipe_card("title", "ingredients", "directions")),
-        F.when(has_n, message("user", pools.pick("give_nutrition", key))),
+        F.when(has_n, message("user", pools.pick("ask_nutrition", key))),
         F.when(has_n, message("assistant", key_values("nutrition"))),
-        F.when(has_cu, message("user", pools.pick("which_cuisine", key))),
-        F.when(has_cu, message("assistant", F.concat(pools.pick("cuisine_answer", key), natural_list("cuisine")))),
-        F.when(has_ca, message("user", pools.pick("which_category", key))),
-        F.when(has_ca, message("assistant", F.concat(pools.pick("category_answer", key),
+        F.when(has_cu, message("user", pools.pick("ask_cuisine", key))),
+        F.when(has_cu, message("assistant", F.concat(pools.pick("tell_cuisine", key), natural_list("cuisine")))),
+        F.when(has_ca, message("user", pools.pick("ask_category", key))),
+        F.when(has_ca, message("assistant", F.concat(pools.pick("tell_category", key),
                                                      natural_list("category"), F.lit(".")))),
-        F.when(has_t, message("user", pools.pick("how_long_question", key))),
+        F.when(has_t, message("user", pools.pick("ask_time", key))),
         F.when(has_t, message("assistant", t_ans)),
-        F.when(has_s, message("user", pools.pick("how_to_succeed", key))),
+        F.when(has_s, message("user", pools.pick("ask_tips", key))),
         F.when(has_s, message("assistant", F.col("summary"))),
     ))
     return explode_messages(r.withColumn("messages", msgs), trainer, revision, "document")

@@ -1,41 +1,32 @@
-"""Default prompt wording and phrase pools. These are caller inputs; the defaults are our own text.
+"""Sample wording for the generators: short neutral prompts and phrases for our own tables.
 
-Pools are rotated per slot (see ``chatloom.operators.pools``). Answer templates use ``{}``
-placeholders filled positionally.
+All of it is a caller's input. A slot's phrases rotate (see ``chatloom.operators.pools``); ``{}`` is filled
+by position, ``[]`` marks the place a request names its dish.
 """
 from __future__ import annotations
 
-SYSTEM = ("You are a careful assistant. The next message describes a task; "
-          "reply with text that does what it asks.")
+SYSTEM = "Do the task below. Output the result only."
 
-# ---- evaluator -------------------------------------------------------------------------------
-EVAL_INTRO = "Below the blank line is a recipe published by a cooking magazine.\n\n"
-EVAL_REVIEWS = "Below the blank line are reader reviews of that recipe.\n\n"
-EVAL_WHY = ("Give reasons why this recipe would be rated {}/5. Write as if you had not read "
-            "the reviews, so do not mention reviews, reviewers or readers.")
-EVAL_GATE = "Do the reviews mostly agree that the recipe could be improved somehow?"
-EVAL_CRITIQUE = ("Write one paragraph with concrete ways to improve the recipe, using the recipe as the "
-                 "subject of your sentences. Do not mention reviews, reviewers or readers.")
+# ---- rating ----------------------------------------------------------------------------------
+EVAL_INTRO = "Recipe:\n\n"
+EVAL_REVIEWS = "Comments:\n\n"
+EVAL_WHY = "Explain a score of {} out of 5 from the recipe alone."
+EVAL_GATE = "Is there a change that several comments ask for?"
+EVAL_CRITIQUE = "Name those changes in a short paragraph."
 
 # ---- recipe chat -----------------------------------------------------------------------------
-RECIPE_INTRO = "Below the blank line is a RECIPE published by a cooking magazine.\n\n"
-RECIPE_TITLE = ('Context you may use: the recipe\'s own title is "{}". What dish does this recipe make? '
-                'Complete this sentence: "{}". Replace the marker [] with your answer and '
-                "reply with the finished sentence only.")
-SECRET_FIRST = "Does this recipe owe its success to a trick, a particular technique or a special ingredient?"
-SECRET_MORE = "Anything else?"
-SECRET_JUDGE = "Would most people already know that?"
-SECRET_SUMMARY = "Rewrite the following text so it is shorter, simpler and well worded:\n\n"
+RECIPE_INTRO = "Text:\n\n"
+RECIPE_TITLE = 'Title: "{}". Put a short name of the dish for [] in: "{}"'
+SECRET_FIRST = "Which step matters most here?"
+SECRET_MORE = "Which one comes next?"
+SECRET_JUDGE = "Is that obvious?"
+SECRET_SUMMARY = "Shorten:\n\n"
 
 # ---- article questions -----------------------------------------------------------------------
-ARTICLE_INTRO = "Below the blank line is an ARTICLE from a cooking magazine.\n\n"
-ARTICLE_CLASS = ("Is the ARTICLE mostly anecdotes, a story, or cooking knowledge? "
-                 "Reply with one word: 'anecdotes', 'story' or 'knowledge'.")
-ARTICLE_QUESTIONS = ("List up to twenty general cooking QUESTIONS that the ARTICLE answers, one per line, "
-                     "numbered, each ending with a question mark. The questions must make sense without the "
-                     "ARTICLE and must not refer to it or to its writer.")
-ARTICLE_ANSWER = ('Answer the question "{}" in your own words, step by step and in detail, as if you had '
-                  "never read the article. Use at most 600 words and do not mention the article or its writer.")
+ARTICLE_INTRO = "Text:\n\n"
+ARTICLE_CLASS = "Choose a label for the text: anecdotes, story, knowledge."
+ARTICLE_QUESTIONS = "Write a numbered list of questions, one per line, to which the text has the answer."
+ARTICLE_ANSWER = 'Answer from the text, at length: "{}"'
 
 YES_NO = ["yes", "no"]
 ARTICLE_CLASSES = ["anecdotes", "story", "knowledge"]
@@ -44,80 +35,20 @@ ARTICLE_CLASSES = ["anecdotes", "story", "knowledge"]
 BANNED_QUESTION_WORDS = ["in the recipe", "article", "this", "that", "these", "those", "author", "her", "his"]
 
 POOLS: dict[str, list] = {
-    "looks_good": [
-        "Does this recipe look any good?",
-        "Would you say this recipe is worth making?",
-        "Is this a recipe you would recommend?",
-        "How good does this recipe look to you?",
-        "Is this recipe promising?",
-    ],
-    "yes_good": [
-        "Yes. It would earn about {}/5. {}",
-        "Definitely, I would rate it {}/5. {}",
-        "It looks great, around {}/5. {}",
-    ],
-    "no_good": [
-        "Not really. I would give it {}/5. {}",
-        "I doubt it; about {}/5. {}",
-        "It falls short, roughly {}/5. {}",
-    ],
-    "maybe_good": [
-        "It is decent, about {}/5. {}",
-        "Somewhat. I would say {}/5. {}",
-        "It has merits; maybe {}/5. {}",
-    ],
-    "how_to_improve": [
-        "How could this recipe be made better?",
-        "What would improve this recipe?",
-        "Any suggestions to improve this recipe?",
-    ],
-    "propose_recipe": [
-        ["Could you give me a recipe for []", "?"],
-        ["I would like to cook []", ". Do you have a recipe?"],
-        ["Please share a recipe for []", "."],
-        ["What is a good way to make []", "?"],
-    ],
-    "give_nutrition": [
-        "What are the nutrition facts of this recipe?",
-        "How nutritious is this dish?",
-        "Can you list the nutrition values?",
-    ],
-    "which_cuisine": [
-        "Which cuisine does this dish belong to?",
-        "Where does this recipe come from?",
-    ],
-    "cuisine_answer": [
-        "It belongs to ",
-        "This dish comes from ",
-    ],
-    "which_category": [
-        "What kind of dish is this?",
-        "Which category does this recipe fit in?",
-    ],
-    "category_answer": [
-        "It can be described as ",
-        "I would file it under ",
-    ],
-    "how_long_question": [
-        "How long does this recipe take?",
-        "How much time do I need for this?",
-        "Is this recipe quick to make?",
-    ],
-    "prep_and_total_time": [
-        "It needs {} of preparation and {} in total.",
-        "Plan {} to prepare it and {} overall.",
-    ],
-    "prep_time": [
-        "It needs {} of preparation.",
-        "Preparation takes {}.",
-    ],
-    "total_time": [
-        "It takes {} in total.",
-        "Count {} from start to finish.",
-    ],
-    "how_to_succeed": [
-        "What are the keys to getting this recipe right?",
-        "How do I make sure this recipe turns out well?",
-        "Any tips for succeeding with this recipe?",
-    ],
+    "ask_rating": ["Score, please?", "How many points out of five?", "Rate it."],
+    "rating_high": ["{} of 5. {}", "A high score: {} of 5. {}"],
+    "rating_low": ["{} of 5. {}", "A low score: {} of 5. {}"],
+    "rating_mid": ["{} of 5. {}", "In between: {} of 5. {}"],
+    "ask_changes": ["What should change?", "Name some changes."],
+    "request": [["Show me []", "."], ["I need []", ", please."], ["Steps for []", "?"]],
+    "ask_nutrition": ["Nutrition table?", "List the nutrients."],
+    "ask_cuisine": ["Cuisine?", "Name the cuisine."],
+    "tell_cuisine": ["Cuisine: ", "Its cuisine is "],
+    "ask_category": ["Category?", "Name the category."],
+    "tell_category": ["Category: ", "Its category is "],
+    "ask_time": ["Time?", "Minutes or hours?"],
+    "tell_both_times": ["Preparation {}, total {}.", "{} to prepare, {} overall."],
+    "tell_preparation": ["Preparation {}.", "{} to prepare."],
+    "tell_total": ["Total {}.", "{} overall."],
+    "ask_tips": ["Tips?", "Name the main points."],
 }

@@ -20,20 +20,20 @@ def _list_sql(items):
 
 
 @register("round_robin", S.with_ctes(S.base_ctes()) + f"""
-SELECT id, {_list_sql(P.POOLS['looks_good'])}[(row_number() OVER (ORDER BY id) - 1) % {len(P.POOLS['looks_good'])} + 1]
+SELECT id, {_list_sql(P.POOLS['ask_rating'])}[(row_number() OVER (ORDER BY id) - 1) % {len(P.POOLS['ask_rating'])} + 1]
          AS phrase
 FROM recipe WHERE review_count >= 10 AND review_score IS NOT NULL""")
 def round_robin(spark, sf_dir):
     """T3, rank mode: the eligible recipes take the pool's phrases in turn, in id order."""
     r = G.evaluator_eligible(recipe_view(spark, sf_dir)).select("id")
-    return _POOL.assign(r, "looks_good", "id", "phrase", mode="rank")
+    return _POOL.assign(r, "ask_rating", "id", "phrase", mode="rank")
 
 
 @register("round_robin_hash", S.with_ctes(S.base_ctes()) + f"""
-SELECT id, {S.pick('looks_good', 'id')} AS phrase FROM recipe""")
+SELECT id, {S.pick('ask_rating', 'id')} AS phrase FROM recipe""")
 def round_robin_hash(spark, sf_dir):
     """T3, hash mode: no ordering at all."""
-    return _POOL.assign(recipe_view(spark, sf_dir).select("id"), "looks_good", "id", "phrase")
+    return _POOL.assign(recipe_view(spark, sf_dir).select("id"), "ask_rating", "id", "phrase")
 
 
 _EV = S.base_ctes(("ev_in", S.pending_recipes_view("evaluator")), *S.evaluator_ctes("ev_in"),
@@ -90,24 +90,24 @@ def _pair(spark, sf_dir, slot: str):
                                                           F.col("content").alias("question"), "answer")
 
 
-@register("recipe_nutrition_qa", _pair_sql("give_nutrition"))
+@register("recipe_nutrition_qa", _pair_sql("ask_nutrition"))
 def recipe_nutrition_qa(spark, sf_dir):
-    return _pair(spark, sf_dir, "give_nutrition")
+    return _pair(spark, sf_dir, "ask_nutrition")
 
 
-@register("recipe_cuisine_qa", _pair_sql("which_cuisine"))
+@register("recipe_cuisine_qa", _pair_sql("ask_cuisine"))
 def recipe_cuisine_qa(spark, sf_dir):
-    return _pair(spark, sf_dir, "which_cuisine")
+    return _pair(spark, sf_dir, "ask_cuisine")
 
 
-@register("recipe_category_qa", _pair_sql("which_category"))
+@register("recipe_category_qa", _pair_sql("ask_category"))
 def recipe_category_qa(spark, sf_dir):
-    return _pair(spark, sf_dir, "which_category")
+    return _pair(spark, sf_dir, "ask_category")
 
 
-@register("recipe_time_qa", _pair_sql("how_long_question"))
+@register("recipe_time_qa", _pair_sql("ask_time"))
 def recipe_time_qa(spark, sf_dir):
-    return _pair(spark, sf_dir, "how_long_question")
+    return _pair(spark, sf_dir, "ask_time")
 
 
 @register("recipe_secrets_qa", S.with_ctes(_RC) + """

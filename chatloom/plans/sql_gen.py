@@ -144,14 +144,14 @@ FROM ev1"""),
 
 def evaluator_messages(src: str = "ev3") -> str:
     score = "CAST(review_score AS VARCHAR)"
-    template = (f"CASE WHEN bucket = 'good' THEN {pick('yes_good', 'document')} WHEN bucket = 'bad' THEN "
-                f"{pick('no_good', 'document')} ELSE {pick('maybe_good', 'document')} END")
+    template = (f"CASE WHEN bucket = 'good' THEN {pick('rating_high', 'document')} WHEN bucket = 'bad' THEN "
+                f"{pick('rating_low', 'document')} ELSE {pick('rating_mid', 'document')} END")
     has = "coalesce(critique <> '', false)"
     return f"""SELECT document, list_filter([
   {struct('user', 'intro_c')},
-  {struct('user', pick('looks_good', 'document'))},
+  {struct('user', pick('ask_rating', 'document'))},
   {struct('assistant', strip_sql(fmt_expr(template, score, 'why')))},
-  CASE WHEN {has} THEN {struct('user', pick('how_to_improve', 'document'))} END,
+  CASE WHEN {has} THEN {struct('user', pick('ask_changes', 'document'))} END,
   CASE WHEN {has} THEN {struct('assistant', 'critique')} END], lambda m: m IS NOT NULL) AS messages
 FROM {src}"""
 
@@ -161,7 +161,7 @@ def recipe_ctes(src: str = "rc_in", extra: int = 3) -> list[tuple[str, str]]:
     judge = msg("user", lit(P.SECRET_JUDGE))
     more = msg("user", lit(P.SECRET_MORE))
     ctes = [
-        ("rc0", f"""SELECT *, {pick('propose_recipe', 'document')} AS variation,
+        ("rc0", f"""SELECT *, {pick('request', 'document')} AS variation,
        {msg('user', lit(P.RECIPE_INTRO) + ' || text')} AS article_m FROM {src} WHERE review_score >= 4.0"""),
         ("rc1", f"SELECT *, {msg('user', fmt_lit(P.RECIPE_TITLE, 'title', 'variation[1]'))} AS title_m FROM rc0"),
         ("rc2", f"SELECT *, {model(f'{SYS} || article_m || title_m || {ASSIST}', max_tokens=20)} AS title_answer FROM rc1"),
@@ -201,23 +201,23 @@ def recipe_messages(src: str = "rc_done") -> str:
     k = "document"
     nd = natural_duration
     p_ok, t_ok = "coalesce(prep_time <> 0, false)", "coalesce(total_time <> 0, false)"
-    t_ans = (f"CASE WHEN {p_ok} AND {t_ok} THEN {fmt_expr(pick('prep_and_total_time', k), nd('prep_time'), nd('total_time'))}"
-             f" WHEN {p_ok} THEN {fmt_expr(pick('prep_time', k), nd('prep_time'))}"
-             f" WHEN {t_ok} THEN {fmt_expr(pick('total_time', k), nd('total_time'))} END")
+    t_ans = (f"CASE WHEN {p_ok} AND {t_ok} THEN {fmt_expr(pick('tell_both_times', k), nd('prep_time'), nd('total_time'))}"
+             f" WHEN {p_ok} THEN {fmt_expr(pick('tell_preparation', k), nd('prep_time'))}"
+             f" WHEN {t_ok} THEN {fmt_expr(pick('tell_total', k), nd('total_time'))} END")
     nut = "array_to_string(list_transform(nutrition, lambda e: e.k || ': ' || e.v), chr(10))"
     return f"""SELECT document, list_filter([
   {struct('user', 'title_answer || variation[2]')},
   {struct('assistant', card_sql('title', 'ingredients', 'directions'))},
-  CASE WHEN len(nutrition) > 0 THEN {struct('user', pick('give_nutrition', k))} END,
+  CASE WHEN len(nutrition) > 0 THEN {struct('user', pick('ask_nutrition', k))} END,
   CASE WHEN len(nutrition) > 0 THEN {struct('assistant', nut)} END,
-  CASE WHEN len(cuisine) > 0 THEN {struct('user', pick('which_cuisine', k))} END,
-  CASE WHEN len(cuisine) > 0 THEN {struct('assistant', pick('cuisine_answer', k) + ' || ' + natural_list_sql('cuisine'))} END,
-  CASE WHEN len(category) > 0 THEN {struct('user', pick('which_category', k))} END,
+  CASE WHEN len(cuisine) > 0 THEN {struct('user', pick('ask_cuisine', k))} END,
+  CASE WHEN len(cuisine) > 0 THEN {struct('assistant', pick('tell_cuisine', k) + ' || ' + natural_list_sql('cuisine'))} END,
+  CASE WHEN len(category) > 0 THEN {struct('user', pick('ask_category', k))} END,
   CASE WHEN len(category) > 0 THEN
-    {struct('assistant', pick('category_answer', k) + ' || ' + natural_list_sql('category') + " || '.'")} END,
-  CASE WHEN ({t_ans}) IS NOT NULL THEN {struct('user', pick('how_long_question', k))} END,
+    {struct('assistant', pick('tell_category', k) + ' || ' + natural_list_sql('category') + " || '.'")} END,
+  CASE WHEN ({t_ans}) IS NOT NULL THEN {struct('user', pick('ask_time', k))} END,
   CASE WHEN ({t_ans}) IS NOT NULL THEN {struct('assistant', t_ans)} END,
-  CASE WHEN len(secrets) > 0 THEN {struct('user', pick('how_to_succeed', k))} END,
+  CASE WHEN len(secrets) > 0 THEN {struct('user', pick('ask_tips', k))} END,
   CASE WHEN len(secrets) > 0 THEN {struct('assistant', 'summary')} END], lambda m: m IS NOT NULL) AS messages
 FROM {src}"""
 
