@@ -129,9 +129,9 @@ def recipe_search_chat(best: DataFrame) -> DataFrame:
     g = best.groupBy("category", "ingredient").agg(
         F.array_sort(F.collect_list(F.struct("rank", "unique_title"))).alias("_l"))
     return g.select("category", "ingredient",
-                    F.concat(F.lit("What would be a good "), F.lower("category"), F.lit(" recipe with "),
-                             F.col("ingredient"), F.lit("?")).alias("question"),
-                    F.concat(F.lit("You could try:\n"),
+                    F.concat(F.lit("Find "), F.lower("category"), F.lit(" recipes, ingredient "),
+                             F.col("ingredient"), F.lit(".")).alias("question"),
+                    F.concat(F.lit("Found:\n"),
                              F.array_join(F.transform("_l", lambda x: F.concat(F.lit("- "), x["unique_title"])),
                                           "\n")).alias("answer"))
 

@@ -51,8 +51,8 @@ _SEARCH_SQL = RECIPE_SEARCH_SQL
 
 @register("recipe_search_conversations", _SEARCH_SQL.replace(
     "SELECT category, ingredient, rank, id, unique_title, share, review_score FROM (",
-    "SELECT category, ingredient, 'What would be a good ' || lower(category) || ' recipe with ' || ingredient || '?'"
-    " AS question, 'You could try:' || chr(10) || string_agg('- ' || unique_title, chr(10) ORDER BY rank) AS answer"
+    "SELECT category, ingredient, 'Find ' || lower(category) || ' recipes, ingredient ' || ingredient || '.'"
+    " AS question, 'Found:' || chr(10) || string_agg('- ' || unique_title, chr(10) ORDER BY rank) AS answer"
     " FROM (").replace("WHERE rank <= 3", "WHERE rank <= 3 GROUP BY category, ingredient"))
 def recipe_search_conversations(spark, sf_dir):
     """B2 messages: the question for a (category, ingredient) and the recipes proposed for it."""

@@ -1,6 +1,9 @@
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
+from chatloom.operators import prompts as P
 from chatloom.operators import generate as G
 from chatloom.operators.complete import BatchModel, ExpressionModel, STAND_IN, plan_batches
 
@@ -59,7 +62,7 @@ def test_diverse_matches_brute_force(spark):
 def test_secrets_take_until(spark):
     # judgements scripted by the last answer: answer 2 starts with "No" -> only the first secret is kept
     def fn(prompt, options=None, max_tokens=400):
-        n = F.size(F.split(prompt, "Anything else"))
+        n = F.size(F.split(prompt, re.escape(P.SECRET_MORE)))
         if options:
             return F.lit("no")
         return F.when(n == 2, F.lit("No, nothing else")).otherwise(F.concat(F.lit("tip"), n.cast("string")))
