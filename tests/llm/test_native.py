@@ -1,6 +1,6 @@
 import hashlib
 
-from brute import licenses, quality
+from .brute import licenses, quality
 
 from chatloom.llm import chat_format, license_scan, quality_rules, url_filter
 

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from brute import components, substring, words
+from .brute import components, substring, words
 
 from chatloom.llm import jaccard_join, substring_dedup
 from chatloom.llm.fm_index import BitRank, FMIndex

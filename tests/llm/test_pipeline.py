@@ -4,9 +4,9 @@ import re
 
 import corpus_pipeline
 import public_tokenizers
-from brute import components, quality, substring, words
-from conftest import DOC_SCHEMA
-from test_models import check_packing
+from .brute import components, quality, substring, words
+from .conftest import DOC_SCHEMA
+from .test_models import check_packing
 
 import __spark_entry__
 
