@@ -14,9 +14,11 @@ they must meet.
    separately and the counts are summed per pair. Verified pairs are contracted to components.
    Before, the full sets of the documents that post anything are fetched, and those that do not share
    t of their n-grams with any others are dropped.
-3. What is left are bucket members of different components. All of them except those of the bucket's
-   largest component are paired with the members of other components and verified. So no link
-   between components is lost, and a bucket of thousands of near copies never becomes all its pairs.
+3. What is left are bucket members of different components. Buckets with one first set are taken together, so
+   that two sets meet there once. All members except those of the largest component are paired with the members of
+   other components if they share a bucket and if their overlaps with the first set, known from step 2, leave
+   room for a link; those pairs are verified. So no link between components is lost, and a bucket
+   of thousands of near copies never becomes all its pairs.
 
 Equal sets are collapsed before step 1. The result is one row per document.
 """
@@ -207,6 +209,15 @@ def can_link(nx: Column, ax: Column, ny: Column, ay: Column, percent: int) -> Co
     return F.least(ax, ay) * (100 + percent) >= (nx + ny) * percent
 
 
+def can_link_around(percent: int) -> Column:
+    """The same with the overlaps ``ox``, ``oy`` of both with a third set: inside that set they share at most the
+    smaller overlap, outside it at most the smaller number of what else each shares with others. Unknown
+    overlaps rule nothing out."""
+    most = F.least("ox", "oy") + F.least(F.col("ax") - F.col("ox"), F.col("ay") - F.col("oy"))
+    known = F.col("ox").isNotNull() & F.col("oy").isNotNull()
+    return ~known | (most * (100 + percent) >= (F.col("nx") + F.col("ny")) * percent)
+
+
 def fragment_rows(docs: DataFrame, nodes: DataFrame, ngram: int) -> DataFrame:
     """(node, n, parts) of the sets that are in a bucket, cut into FRAGMENTS ranges: only their texts
     are fetched. Repeated rows give equal rows."""
@@ -250,9 +261,9 @@ def enough_shared(sets: DataFrame, percent: int) -> DataFrame:
     return sets.mapInArrow(run, "node long, n long, parts array<array<long>>, alive long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) whose Jaccard reaches the threshold: the overlap of each fragment counted by
-    itself, summed per pair. ``pairs`` is materialised; repeated pairs (of repeated rows) are merged."""
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(x, y, nx, ny, overlap) of the pairs: the overlap of each fragment counted by itself, summed per
+    pair. ``pairs`` is materialised; repeated pairs (of repeated rows) are merged."""
     left = sets.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("parts").alias("px"))
     right = sets.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("parts").alias("py"))
     # a few pairs go to the sets; only sets in a pair move
@@ -261,8 +272,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     both = met.join(second, "y")
     counts = F.zip_with("px", "py", lambda a, b: F.size(F.array_intersect(a, b)))
     overlap = F.aggregate(counts, F.lit(0), lambda total, c: total + c).cast("long")
-    judged = both.select("x", "y", "nx", "ny", overlap.alias("overlap"))
-    return judged.where(F.col("overlap") * 100 >= (F.col("nx") + F.col("ny") - F.col("overlap")) * percent).select("x", "y").distinct()
+    return both.select("x", "y", "nx", "ny", overlap.alias("overlap")).distinct()
+
+
+def reaching(judged: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y) whose Jaccard reaches the threshold."""
+    return judged.where(F.col("overlap") * 100 >= (F.col("nx") + F.col("ny") - F.col("overlap")) * percent).select("x", "y")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -282,27 +297,37 @@ def components(edges: DataFrame) -> DataFrame:
 
 def links(buckets: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
     """Verified edges that connect the same documents as all links do (steps 2 and 3)."""
-    # the document with the least id is more often the original of its copies than any other
-    first = buckets.groupBy("key").agg(F.min(F.struct("own", "node", "n", "alive")).alias("first"))
-    star = (buckets.join(first, "key").where((F.col("node") != F.col("first.node")) & can_link(F.col("n"), F.col("alive"), F.col("first.n"), F.col("first.alive"), percent))
-            .select(F.col("node").alias("x"), F.col("first.node").alias("y")).distinct())
-    star = cut_lineage(star)
-    edges = cut_lineage(verified(star, fragments, percent))
+    # the set with the fewest n-grams of its own is more often the original of its copies than any other
+    first = buckets.groupBy("key").agg(F.min(F.struct((F.col("n") - F.col("alive")).alias("alone"), "own", "node", "n", "alive")).alias("first"))
+    # what one set posted in the buckets of one first set: those buckets hold much the same members
+    members = stored(buckets.join(first, "key").groupBy("first", "node", "n", "alive").agg(F.collect_set("key").alias("keys"))
+                     .select(F.col("first.node").alias("c"), F.col("first.n").alias("nc"), F.col("first.alive").alias("ac"), "node", "n", "alive", "keys"),
+                     "members")
+    star = cut_lineage(members.where((F.col("node") != F.col("c")) & can_link(F.col("n"), F.col("alive"), F.col("nc"), F.col("ac"), percent))
+                       .select(F.col("node").alias("x"), F.col("c").alias("y")))
+    judged = cut_lineage(overlaps(star, fragments))
+    edges = cut_lineage(reaching(judged, percent))
     labels = components(edges)
-    placed = stored(buckets.join(labels, "node", "left").select("key", "node", "n", "alive", F.coalesce("label", "node").alias("label")), "placed")
-    sizes = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-    largest = (sizes.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("most"), F.count(F.lit(1)).alias("parts"))
+    held = judged.select(F.col("x").alias("node"), F.col("y").alias("c"), "overlap")
+    common = F.when(F.col("node") == F.col("c"), F.col("n")).otherwise(F.col("overlap"))
+    placed = stored(members.join(held, ["node", "c"], "left").join(labels, "node", "left")
+                    .select("c", "node", "n", "alive", "keys", common.alias("common"), F.coalesce("label", "node").alias("label")), "placed")
+    sizes = placed.groupBy("c", "label").agg(F.count(F.lit(1)).alias("size"))
+    largest = (sizes.groupBy("c").agg(F.max_by("label", F.struct("size", "label")).alias("most"), F.count(F.lit(1)).alias("parts"))
                .where("parts > 1").drop("parts"))
-    mixed = placed.join(largest, "key")
-    some = mixed.where("label <> most").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("alive").alias("ax"), F.col("label").alias("lx"))
-    other = mixed.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("alive").alias("ay"), F.col("label").alias("ly"), "most")
+    mixed = placed.join(largest, "c")
+    fields = {"node": "", "n": "n", "alive": "a", "common": "o", "keys": "k", "label": "l"}
+    some = mixed.where("label <> most").select("c", *[F.col(f).alias(p + "x") for f, p in fields.items()])
+    other = mixed.select("c", "most", *[F.col(f).alias(p + "y") for f, p in fields.items()])
     # two members outside the largest component meet once; a failed star pair is not tried again
-    cross = (some.join(other, "key").where((F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("most")) | (F.col("x") > F.col("y")))
-                                           & can_link(F.col("nx"), F.col("ax"), F.col("ny"), F.col("ay"), percent))
-             .select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct().join(star, ["x", "y"], "left_anti"))
+    cross = (some.join(other, "c").where((F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("most")) | (F.col("x") > F.col("y")))
+                                         & can_link(F.col("nx"), F.col("ax"), F.col("ny"), F.col("ay"), percent)
+                                         & can_link_around(percent) & F.arrays_overlap("kx", "ky"))
+             .select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
+             .join(star.unionByName(star.select(F.col("x").alias("y"), F.col("y").alias("x"))), ["x", "y"], "left_anti"))
     cross = cut_lineage(cross)
     release(buckets.sparkSession)
-    return edges.unionByName(verified(cross, fragments, percent))
+    return edges.unionByName(reaching(overlaps(cross, fragments), percent))
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
