@@ -113,6 +113,24 @@ def test_jaccard_large_group_of_near_copies(spark):
     assert SORT(map(tuple, got)) == SORT(components(rows))
 
 
+def test_jaccard_links_outside_the_first_sets_reach(spark):
+    # members too far from the original that link only with each other: by shared changes, or by shared losses
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(base[:at] + [f"e{i}"] + base[at + 1:])) for i, at in enumerate(rng.sample(range(150), 30))]
+    for g in range(6):
+        changed = list(base)
+        for at in rng.sample(range(150), 8):
+            changed[at] = f"g{g}"
+        rows += [(100 + 10 * g + i, " ".join(changed[:at] + [f"f{g}{i}"] + changed[at + 1:])) for i, at in enumerate(rng.sample(range(150), 3))]
+        cut = base[:20 * g] + base[20 * g + rng.randint(28, 40):]
+        rows += [(200 + 10 * g + i, " ".join(cut[i:len(cut) - i])) for i in range(4)]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = components(rows)
+    assert SORT(map(tuple, got)) == SORT(want)
+    assert 5 < len({c for _, _, c in want}) < 40
+
+
 def test_jaccard_widens_a_fragment_that_is_too_narrow(spark, monkeypatch):
     # with no spare standard deviations some sets do not fit, so the loop must widen
     rng = random.Random(7)
