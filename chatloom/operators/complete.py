@@ -94,8 +94,18 @@ def stand_in(prompt: Column, options: list[str] | None = None, max_tokens: int =
 STAND_IN = ExpressionModel(stand_in)
 
 
+def with_answers(staged: DataFrame, answers: DataFrame, out: str) -> DataFrame:
+    """Joins ``answers(_pid, _answer)``. Rows that were not asked have no ``_pid``: a hash of the row stands
+    in as their join key, so that they spread over all tasks instead of meeting in one."""
+    fields = [F.col(c) for c, kind in staged.dtypes if "map<" not in kind]
+    key = F.coalesce("_pid", F.concat(F.lit("-"), F.xxhash64(*fields).cast("string")))
+    return (staged.withColumn("_pid", key).join(answers, "_pid", "left")
+            .withColumn(out, F.col("_answer")).drop("_prompt", "_pid", "_answer"))
+
+
 class BatchModel(Model):
-    """``fn(prompts: pd.Series, params: dict) -> pd.Series`` called once per Arrow batch."""
+    """``fn(prompts: pd.Series, params: dict) -> pd.Series`` called once per Arrow batch. A missing
+    answer stays null: the stage runner then treats the input as failed."""
 
     def __init__(self, fn: Callable[[pd.Series, dict], pd.Series], cache_answers: bool = True):
         self.fn = fn
@@ -113,28 +123,28 @@ class BatchModel(Model):
 
         def run(batches):
             for b in batches:
-                yield pd.DataFrame({"_pid": b["_pid"], "_answer": fn(b["_prompt"], pdict).astype(str)})
+                got = [None if pd.isna(a) else str(a) for a in fn(b["_prompt"], pdict)]
+                yield pd.DataFrame({"_pid": b["_pid"].to_numpy(), "_answer": pd.Series(got, dtype=object)})
 
         answers = distinct.mapInPandas(run, "_pid string, _answer string")
         if self.cache_answers:
             answers = cut_lineage(answers)
-        return (staged.join(answers, "_pid", "left")
-                .withColumn(out, F.col("_answer")).drop("_prompt", "_pid", "_answer"))
+        return with_answers(staged, answers, out)
 
 
 class TableModel(Model):
-    """Answers read from a completions table ``(prompt_id, text)`` written by offline inference."""
+    """Answers read from a completions table ``(prompt_id, text)`` written by offline inference. A
+    prompt without a row there has a null answer; of repeated rows the least text counts."""
 
     def __init__(self, completions: DataFrame):
-        self.completions = completions.select(F.col("prompt_id").alias("_pid"), F.col("text").alias("_answer"))
+        self.completions = completions.groupBy(F.col("prompt_id").alias("_pid")).agg(F.min("text").alias("_answer"))
 
     def answer(self, df, messages, out, options=None, max_tokens=DEFAULTS["max_tokens"],
                temperature=DEFAULTS["temperature"], when=None):
         params = params_json(max_tokens, temperature, options)
         ask = when if when is not None else F.lit(True)
         staged = df.withColumn("_pid", F.when(ask, prompt_id(self.template(messages), params)))
-        return (staged.join(self.completions, "_pid", "left")
-                .withColumn(out, F.col("_answer")).drop("_pid", "_answer"))
+        return with_answers(staged, self.completions, out)
 
 
 def prompts_table(df: DataFrame, messages: Column, max_tokens: int = DEFAULTS["max_tokens"],

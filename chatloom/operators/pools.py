@@ -7,8 +7,8 @@ A slot's phrase for a row is ``pool[slot][i mod size]``. Two ways to get ``i``:
 * ``rank``: ``i`` = the row's rank among the slot's users ordered by key, minus one - the same
   rotation a sequential loop gives. The rank is distributed (see ``global_rank``).
 
-Small pools (the usual case, checked by size) are inlined as array literals; a pool table past
-the bound is joined instead (shuffle join on (slot, idx)).
+``Pools`` inlines its phrases as array literals, so it reads at most ``MAX_INLINE`` rows of a table and
+raises beyond. A larger pool is a ``PoolTable``, joined on (slot, idx), which has ``assign`` only.
 """
 from __future__ import annotations
 
@@ -43,18 +43,20 @@ class Pools:
         return self._arrays[slot]
 
     @classmethod
-    def from_table(cls, pools: DataFrame, max_rows: int = MAX_INLINE) -> "Pools | PoolTable":
-        """``pools(slot, idx, text)``. Inlined when it has at most ``max_rows`` rows."""
+    def from_table(cls, pools: DataFrame, max_rows: int = MAX_INLINE) -> "Pools":
+        """``pools(slot, idx, text)`` of at most ``max_rows`` rows."""
         if pools.limit(max_rows + 1).count() > max_rows:
-            return PoolTable(pools)
+            raise ValueError(f"a pool table of more than {max_rows} phrases is joined: use PoolTable(pools).assign")
         rows = pools.select("slot", "idx", "text").collect()  # bounded by max_rows just above
         out: dict[str, list] = {}
         for r in sorted(rows, key=lambda r: (r["slot"], r["idx"])):
-            out.setdefault(r["slot"], []).append(r["text"])
+            text = r["text"]
+            out.setdefault(r["slot"], []).append(text[1:].split("\u001f") if text.startswith("\u001f") else text)
         return cls(out)
 
     def to_table(self, spark) -> DataFrame:
-        rows = [(s, i, t if isinstance(t, str) else "\u001f".join(t))
+        """The table that ``from_table`` reads; each phrase of a pair follows a U+001F."""
+        rows = [(s, i, t if isinstance(t, str) else "".join("\u001f" + x for x in t))
                 for s, items in self.phrases.items() for i, t in enumerate(items)]
         return spark.createDataFrame(rows, "slot string, idx int, text string")
 

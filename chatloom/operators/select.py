@@ -74,18 +74,24 @@ def stage_output(inputs: DataFrame, produced: DataFrame, trainer: str, revision:
                  failed: DataFrame | None = None) -> DataFrame:
     """Generator rows plus the sentinels of the inputs that produced nothing.
 
+    An input one of whose messages has no content (the model gave no answer) has failed: none of its
+    rows is returned and it gets no sentinel, so the next run picks it up again.
+
     The generator's rows are written once (reliable checkpoint): both the output and the
     sentinel anti-join read them, so the model rounds never run twice."""
     produced = cut_lineage(produced)
-    return produced.unionByName(sentinels(inputs, produced, failed, trainer, revision, key))
+    broken = produced.where("content IS NULL").select("source").distinct()
+    whole = produced.join(broken, "source", "left_anti").select(*produced.columns)
+    unanswered = broken.withColumnRenamed("source", key)
+    failed = unanswered if failed is None else failed.select(key).unionByName(unanswered)
+    return whole.unionByName(sentinels(inputs, whole, failed, trainer, revision, key))
 
 
 def run_stages(stages: list[tuple[str, DataFrame, callable, str]], revision: str) -> DataFrame:
     """Run generators in order, each over its own pending set; union their outputs.
 
-    ``stages`` holds (trainer, pending inputs, generator function, input key column). A failing
-    input should surface as an ``error`` column of its generator rather than an exception; such
-    inputs get no sentinel.
+    ``stages`` holds (trainer, pending inputs, generator function, input key column). Inputs with an
+    unanswered message yield no rows and no sentinel (see ``stage_output``).
     """
     out = None
     for trainer, pending, gen, key in stages:
