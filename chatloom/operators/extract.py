@@ -131,7 +131,11 @@ def recipe_columns(meta: Column, wrap_days: bool = False) -> list[Column]:
 
 def extract_pages(pages: DataFrame, spec: PageSpec = PageSpec()) -> Extracted:
     """Split parsed pages into documents, recipes (same key) and a quarantine."""
-    parsed = parse_pages(pages, spec)
+    return split_parsed(parse_pages(pages, spec), spec)
+
+
+def split_parsed(parsed: DataFrame, spec: PageSpec = PageSpec()) -> Extracted:
+    """The outputs of pages that ``parse_pages`` has read."""
     good = parsed.where(F.col("reason").isNull()).withColumn("id", doc_key(F.col("title")))
     document = good.select("id", "title", "text", "author", "source", "subtitle")
     recipe = good.where("is_recipe").select(F.col("id").alias("document"), *recipe_columns(F.col("meta"),

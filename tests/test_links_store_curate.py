@@ -102,3 +102,24 @@ def test_stream_ingest_once(spark):
     ingest_pages(spark, src, out, ck)
     ingest_pages(spark, src, out, ck)  # nothing new: no duplicates
     assert spark.read.parquet(f"{out}/document").count() == 3
+
+
+def test_ingest_stores_a_title_once(spark):
+    from chatloom.streaming.ingest import ingest_pages
+    src, out, ck = (tempfile.mkdtemp(prefix=p) for p in ("pages-", "out-", "ck-"))
+
+    def page(name, title):
+        with open(os.path.join(src, name), "w") as f:
+            f.write(f'<script id="recipe-meta">[{{"@type": ["Article"], "headline": "{title}", "author": [{{"name": "A"}}]}}]'
+                    f'</script><article><div class="text-passage"><p class="comp">{name}</p></div></article>')
+
+    for i in range(3):
+        page(f"a{i}.html", "Same")
+    ingest_pages(spark, src, out, ck)
+    page("b.html", "Same")
+    page("c.html", "Other")
+    ingest_pages(spark, src, out, ck)
+    docs = sorted((r.title, os.path.basename(r.source)) for r in spark.read.parquet(f"{out}/document").collect())
+    assert docs == [("Other", "c.html"), ("Same", "a0.html")]
+    left = sorted((os.path.basename(r.source), r.reason) for r in spark.read.parquet(f"{out}/quarantine").collect())
+    assert left == [(n, "duplicate_title") for n in ("a1.html", "a2.html", "b.html")]
