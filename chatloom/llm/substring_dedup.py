@@ -13,6 +13,9 @@ be streamed past every index:
 4. each shard builds a compressed FM-index over its distinct passages and streams them past it:
    backward search with the least owner of the suffix range gives the intervals of ``window`` words or
    more that occur in an earlier document. Later documents with an equal passage lose all of it.
+5. a shard of more than ``MOST`` distinct passages (a seed that stands between ever different words)
+   gets no index. Its passages are routed on by the digests of their windows: the least owner of each
+   window is a pre-aggregated row, joined back to the passages. So no task holds more than ``MOST``.
 
 A seed held by a third of all documents is one pre-aggregated row; an equal passage of theirs is
 another. The join back to its holders is split by the adaptive skew rule.
@@ -27,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import map_batches
+from chatloom.llm.common import if_few, map_batches, stored
 from chatloom.llm.fm_index import FMIndex
 from chatloom.llm.words import distinct, hashed, signed, sliding, split_words, window_hashes
 from chatloom.session import cut_lineage
@@ -36,7 +39,11 @@ WINDOW = 50
 SEED = 8
 #: passages per shard, on average
 SHARD = 3_000
+#: passages that one index holds, at most
+MOST = 10_000
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
+#: full shards are sent to all tasks up to so many, else joined by a shuffle
+MAX_BROADCAST_ROWS = 500_000
 #: a null id counts as the greatest: such rows are never the earlier document
 LAST = (1 << 63) - 1
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -123,6 +130,48 @@ def search_shard(window: int):
     return run
 
 
+def search_windows(distinct: DataFrame, window: int) -> DataFrame:
+    """The same as ``search_shard`` for any number of passages: every window is looked up by its digest."""
+    def run(batches):
+        for b in batches:
+            out = {k: [] for k in ("seed", "name", "owner", "at", "window")}
+            for seed, body, name, owner in zip(b["seed"], b["passage"], b["name"], b["owner"]):
+                words = split_words(body)
+                for at in range(len(words) - window + 1):
+                    out["seed"].append(seed)
+                    out["name"].append(name)
+                    out["owner"].append(owner)
+                    out["at"].append(at)
+                    out["window"].append(digest(words[at:at + window]).digest()[:16])
+            yield out
+
+    windows = map_batches(distinct, "seed long, name long, owner long, at int, window binary", run)
+    earliest = (windows.groupBy("window").agg(F.min("owner").alias("a"), F.max("owner").alias("z")).where("a < z")
+                .select("window", F.col("a").alias("earliest")))
+    # at most as many as a passage has windows
+    found = (windows.join(earliest, "window").where("earliest < owner").groupBy("seed", "name", "owner")
+             .agg(F.sort_array(F.collect_set("at")).alias("low")))
+    low = F.coalesce("low", F.array().cast("array<int>"))
+    return (distinct.select("seed", "name", "owner").join(found, ["seed", "name", "owner"], "left")
+            .select("seed", "name", "owner", low.alias("low"), F.transform(low, lambda at: at + F.lit(window)).alias("high")))
+
+
+def search(held: DataFrame, window: int) -> DataFrame:
+    """(seed, name, owner, low, high) per distinct passage: its least document and its intervals in earlier ones."""
+    shards = max(1, -(-held.count() // SHARD))
+    routed = held.select("id", "seed", "passage", "name", F.pmod(F.xxhash64("seed"), F.lit(shards)).alias("shard"))
+    owners = lambda rows: rows.groupBy("shard", "seed", "passage", "name").agg(F.min("id").alias("owner"))
+    indexed = lambda rows: owners(rows).groupBy("shard").applyInPandas(
+        search_shard(window), "seed long, name long, owner long, low array<int>, high array<int>")
+    full = cut_lineage(routed.select("shard", "seed", "name").distinct().groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+                       .where(F.col("n") > MOST).select("shard"))
+    if full.isEmpty():
+        return indexed(routed)
+    full = if_few(full, MAX_BROADCAST_ROWS)
+    return indexed(routed.join(full, "shard", "left_anti")).unionByName(
+        search_windows(owners(routed.join(full, "shard", "left_semi")), window))
+
+
 def covered(n: int, intervals: list[tuple[int, int]]) -> np.ndarray:
     """Flags of the words inside any interval."""
     change = np.zeros(n + 1, np.int64)
@@ -151,18 +200,15 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
     same words), and per (id, key) of the first copies that lose words: n_removed, kept_sha256 and,
     if asked for, kept_text."""
     source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("id"), F.col(text).alias("text"))
-    rows = cut_lineage(summaries(source, window))
+    rows = stored(summaries(source, window), "summaries")
     firsts = rows.groupBy("sha").agg(F.min("id").alias("first"))
-    rows = cut_lineage(rows.join(firsts, "sha"))
+    rows = stored(rows.join(firsts, "sha"), "firsts")
     own = rows.where("id = first").select("id", "key", F.explode("seeds").alias("seed"))
     shared = own.groupBy("seed").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("seed")
     wanted = own.join(shared, "seed").groupBy("id", "key").agg(F.collect_set("seed").alias("seeds"))
-    texts = cut_lineage(source.where(F.col("text").isNotNull()).join(wanted, "id").select("id", "key", "text", "seeds"))
-    held = cut_lineage(passages(texts, window))
-    shards = max(1, -(-held.count() // SHARD))
-    distinct = held.groupBy("seed", "passage", "name").agg(F.min("id").alias("owner"))
-    searched = (distinct.withColumn("shard", F.pmod(F.xxhash64("seed"), F.lit(shards)))
-                .groupBy("shard").applyInPandas(search_shard(window), "seed long, name long, owner long, low array<int>, high array<int>"))
+    texts = stored(source.where(F.col("text").isNotNull()).join(wanted, "id").select("id", "key", "text", "seeds"), "texts")
+    held = stored(passages(texts, window), "passages")
+    searched = search(held, window)
     # the first holder of a passage loses what the search found, later holders lose all of it
     spans = (held.select("id", "key", "seed", "name", "starts", "size").join(searched, ["seed", "name"])
              .select("id", "key", "starts", F.when(F.col("id") > F.col("owner"), F.array(F.lit(0))).otherwise(F.col("low")).alias("low"),

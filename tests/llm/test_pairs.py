@@ -82,6 +82,33 @@ def test_drop_repeats_cuts_words_out_of_the_texts(docs, texts):
     assert substring_dedup.cut_words(" a  b\tc\n", np.array([False, True, False])) == " a  c\n"
 
 
+SEARCH_SHARD = substring_dedup.search_shard
+
+
+def bounded_search(window):
+    def run(pdf):
+        assert len(pdf) <= 30, len(pdf)
+        return SEARCH_SHARD(window)(pdf)
+    return run
+
+
+def test_no_shard_holds_more_than_its_bound(spark, docs, texts, monkeypatch):
+    # a phrase of the least hash, each time between other words: one seed in ever new passages
+    monkeypatch.setattr(substring_dedup, "search_shard", bounded_search)
+    monkeypatch.setattr(substring_dedup, "MOST", 30, raising=False)
+    monkeypatch.setattr(substring_dedup, "SHARD", 10)
+    rng = random.Random(3)
+    say = lambda n: [f"u{rng.randrange(10**6)}" for _ in range(n)]
+    phrase = min((say(8) for _ in range(2000)), key=lambda p: int(window_hashes(next(hashed([" ".join(p)])), 8)[0]))
+    rows = [(i, " ".join(say(60) + phrase + say(60))) for i in range(60)]
+    rows += [(100 + i, " ".join(say(5) + t.split()[20 + i:90 + i] + say(5))) for i, (_, t) in enumerate(rows[:20])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert SORT(map(tuple, substring_dedup.dedup_substrings(frame).collect())) == SORT(substring(rows))
+    monkeypatch.setattr(substring_dedup, "MOST", 0, raising=False)     # every passage by its windows
+    got = substring_dedup.dedup_substrings(docs.withColumnRenamed("n_chars", "n_words"), window=12).collect()
+    assert SORT(map(tuple, got)) == SORT(substring(texts, 12))
+
+
 def test_substring_dedup_empty(no_docs):
     assert substring_dedup.dedup_substrings(no_docs).count() == 0
 
