@@ -82,10 +82,10 @@ def set_name(grams: np.ndarray) -> tuple[int, int]:
 
 
 def summaries(docs: DataFrame, ngram: int, percent: int, sigmas: float) -> DataFrame:
-    """(id, n, node, b, level, fits, grams): set size, the halves of the set name, fragment 0, whether it is wide enough."""
+    """(id, raw, n, node, b, level, fits, grams): the text's digest, set size, the halves of the set name, fragment 0, whether it is wide enough."""
     def run(batches):
         for batch in batches:
-            out = {k: [] for k in ("id", "n", "node", "b", "level", "fits", "grams")}
+            out = {k: [] for k in ("id", "n", "node", "b", "level", "fits", "grams")} | {"raw": batch["raw"]}
             for doc, grams in zip(batch["id"], gram_sets(batch["text"], ngram)):
                 n = len(grams)
                 a, b = set_name(grams)
@@ -105,7 +105,7 @@ def summaries(docs: DataFrame, ngram: int, percent: int, sigmas: float) -> DataF
                 out["grams"].append(signed(head))
             yield out
 
-    return map_batches(docs, "id long, n long, node long, b long, level int, fits boolean, grams array<long>", run)
+    return map_batches(docs, "id long, raw binary, n long, node long, b long, level int, fits boolean, grams array<long>", run)
 
 
 def fragment_keys(rows: DataFrame, percent: int, sigmas: float, seen: np.ndarray | None = None) -> DataFrame:
@@ -219,25 +219,25 @@ def can_link_around(percent: int) -> Column:
 
 
 def fragment_rows(docs: DataFrame, nodes: DataFrame, ngram: int) -> DataFrame:
-    """(node, n, parts) of the sets that are in a bucket, cut into FRAGMENTS ranges: only their texts
-    are fetched. Repeated rows give equal rows."""
+    """(node, n, parts), one row per set that is in a bucket, cut into FRAGMENTS ranges: only one text of
+    each is fetched, by its id and digest, so rows without an id do not meet each other's sets."""
     def run(batches):
         for batch in batches:
-            out = {k: [] for k in ("node", "n", "parts")}
-            for node, grams in zip(batch["node"], gram_sets(batch["text"], ngram)):
+            out = {k: [] for k in ("node", "n", "again", "parts")}
+            for node, again, grams in zip(batch["node"], batch["again"], gram_sets(batch["text"], ngram)):
                 if set_name(grams)[0] != node:
                     continue                          # another text under the same id
                 part = (grams >> np.uint64(64 - FRAGMENTS.bit_length() + 1)).astype(np.int64)
                 cuts = np.searchsorted(part, np.arange(FRAGMENTS + 1))
                 out["node"].append(node)
                 out["n"].append(len(grams))
+                out["again"].append(again)
                 out["parts"].append([signed(grams[cuts[f]:cuts[f + 1]]) for f in range(FRAGMENTS)])
             yield out
 
-    # rows without an id meet by <=>
-    wanted = if_few(nodes, MAX_BROADCAST_ROWS).withColumnRenamed("id", "_id")
-    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("_id"))).select("node", "text")
-    return map_batches(texts, "node long, n long, parts array<array<long>>", run)
+    texts = docs.join(if_few(nodes, MAX_BROADCAST_ROWS), ["own", "raw"]).select("node", "again", "text")
+    found = stored(map_batches(texts, "node long, n long, again boolean, parts array<array<long>>", run), "fragments")
+    return found.where("NOT again").unionByName(found.where("again").dropDuplicates(["node"])).drop("again")
 
 
 def enough_shared(sets: DataFrame, percent: int) -> DataFrame:
@@ -338,7 +338,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     link like others; their component is null if no linked row has a key.
     """
     kind = docs.schema[key].dataType
-    source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    source = docs.select(F.col(key).cast("long").alias("id"), F.unhex(F.md5(text)).alias("raw"), F.col(text).alias("text"))
     sigmas = 6.0
     while True:
         rows = stored(summaries(source, ngram, percent, sigmas), "sets")
@@ -354,8 +354,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     chosen = posted(sets, percent, sigmas).join(firsts.select("node", F.col("first").alias("own")), "node")
     met = stored(chosen, "postings")
     release(docs.sparkSession)
-    nodes = cut_lineage(met.select(F.when(F.col("own") < LAST, F.col("own")).alias("id"), "node").distinct())
-    known = stored(fragment_rows(source.where(F.col("text").isNotNull()), nodes, ngram), "fragments")
+    posting = cut_lineage(met.select("own", "node").distinct())
+    nodes = cut_lineage(full.select("own", "node", "raw").join(if_few(posting, MAX_BROADCAST_ROWS), ["own", "node"])
+                        .groupBy("own", "node").agg(F.min("raw").alias("raw"), (F.count(F.lit(1)) > 1).alias("again")))
+    texts = source.where(F.col("text").isNotNull()).select(F.coalesce("id", F.lit(LAST)).alias("own"), "raw", "text")
+    known = fragment_rows(texts, nodes, ngram)
     known = stored(enough_shared(known, percent), "fragments-in-pairs")
     release(docs.sparkSession)
     met = met.join(if_few(cut_lineage(known.groupBy("node").agg(F.max("alive").alias("alive"))), MAX_BROADCAST_ROWS), "node")

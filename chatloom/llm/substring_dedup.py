@@ -27,7 +27,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import if_few, map_batches, stored
@@ -64,7 +64,8 @@ def text_key(sha: "hashlib._Hash") -> int:
 
 
 def summaries(docs: DataFrame, window: int) -> DataFrame:
-    """(id, key, sha, n_words, seeds) per row; ``key`` tells texts of one id apart."""
+    """(id, raw, key, sha, n_words, seeds) per row; ``key`` tells texts of one id apart, ``raw`` also
+    those that only differ in their white space."""
     def run(batches):
         for b in batches:
             keys, shas, sizes, seeds = [], [], [], []
@@ -76,9 +77,9 @@ def summaries(docs: DataFrame, window: int) -> DataFrame:
                 sizes.append(len(words))
                 own = window_seeds(ids, window) if len(words) >= window else np.zeros(0, np.uint64)
                 seeds.append(signed(distinct(own)))
-            yield {"id": b["id"], "key": keys, "sha": shas, "n_words": sizes, "seeds": seeds}
+            yield {"id": b["id"], "raw": b["raw"], "key": keys, "sha": shas, "n_words": sizes, "seeds": seeds}
 
-    return map_batches(docs, "id long, key long, sha string, n_words long, seeds array<long>", run)
+    return map_batches(docs, "id long, raw binary, key long, sha string, n_words long, seeds array<long>", run)
 
 
 def passages(texts: DataFrame, window: int) -> DataFrame:
@@ -195,18 +196,31 @@ def cut_words(text: str, gone: np.ndarray) -> str:
     return b"".join(kept).decode("utf-8", "surrogatepass")
 
 
-def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, with_text: bool = False):
+def runs(flags: np.ndarray) -> np.ndarray:
+    """Begin and end of each run of flagged words, one after the other."""
+    return np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0]))))
+
+
+def digest_of(text: str) -> Column:
+    """Rows of one id are joined by it too, so that they never meet each other's texts."""
+    return F.unhex(F.md5(text))
+
+
+def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW):
     """(summaries, changes): the rows of ``docs`` with their digests and ``first`` (least id with the
-    same words), and per (id, key) of the first copies that lose words: n_removed, kept_sha256 and,
-    if asked for, kept_text."""
-    source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("id"), F.col(text).alias("text"))
+    same words), and one row per (id, key) of the first copies that lose words: n_removed,
+    kept_sha256 and ``cuts`` (the runs of words that go)."""
+    source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("id"), digest_of(text).alias("raw"), F.col(text).alias("text"))
     rows = stored(summaries(source, window), "summaries")
     firsts = rows.groupBy("sha").agg(F.min("id").alias("first"))
     rows = stored(rows.join(firsts, "sha"), "firsts")
-    own = rows.where("id = first").select("id", "key", F.explode("seeds").alias("seed"))
+    own = rows.where("id = first").select("id", "key", "raw", F.explode("seeds").alias("seed"))
     shared = own.groupBy("seed").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("seed")
-    wanted = own.join(shared, "seed").groupBy("id", "key").agg(F.collect_set("seed").alias("seeds"))
-    texts = stored(source.where(F.col("text").isNotNull()).join(wanted, "id").select("id", "key", "text", "seeds"), "texts")
+    # one of the texts with the same words; rows with that text repeat if a seed counts more than once
+    wanted = (own.join(shared, "seed").groupBy("id", "key").agg(F.min("raw").alias("raw"), F.collect_set("seed").alias("seeds"), F.count(F.lit(1)).alias("n"))
+              .select("id", "key", "raw", "seeds", (F.col("n") > F.size("seeds")).alias("again")))
+    fetched = stored(source.where(F.col("text").isNotNull()).join(wanted, ["id", "raw"]).select("id", "key", "text", "seeds", "again"), "texts")
+    texts = fetched.where("NOT again").unionByName(fetched.where("again").dropDuplicates(["id", "key"])).drop("again")
     held = stored(passages(texts, window), "passages")
     searched = search(held, window)
     # the first holder of a passage loses what the search found, later holders lose all of it
@@ -219,7 +233,7 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
 
     def change(batches):
         for b in batches:
-            out = {k: [] for k in ("id", "key", "n_removed", "kept_sha256", "kept_text")}
+            out = {k: [] for k in ("id", "key", "n_removed", "kept_sha256", "cuts")}
             for doc, name, body, found in zip(b["id"], b["key"], b["text"], b["spans"]):
                 words = split_words(body)
                 if text_key(digest(words)) != name:
@@ -229,12 +243,12 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
                 out["key"].append(name)
                 out["n_removed"].append(int(gone.sum()))
                 out["kept_sha256"].append(digest([w for w, g in zip(words, gone.tolist()) if not g]).hexdigest())
-                out["kept_text"].append(cut_words(body, gone) if with_text else None)
+                out["cuts"].append(runs(gone).tolist())
             yield out
 
     changes = map_batches(texts.select("id", "key", "text").join(per_text, ["id", "key"]),
-                          "id long, key long, n_removed long, kept_sha256 string, kept_text string", change)
-    return rows, changes.dropDuplicates(["id", "key"])
+                          "id long, key long, n_removed long, kept_sha256 string, cuts array<int>", change)
+    return rows, changes
 
 
 def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -245,7 +259,7 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", w
     window keep everything.
     """
     rows, changes = find_repeats(docs, key, text, window)
-    joined = rows.join(changes.drop("kept_text"), ["id", "key"], "left")
+    joined = rows.join(changes.drop("cuts"), ["id", "key"], "left")
     copy = (F.col("id") > F.col("first")) & (F.col("n_words") >= window)
     return joined.select(
         F.when(F.col("id") != LAST, F.col("id")).cast(docs.schema[key].dataType).alias(key), "n_words",
@@ -259,33 +273,24 @@ def drop_repeats(docs: DataFrame, columns: list[str], key: str = "doc_id", text:
                  size: str | None = None) -> DataFrame:
     """``docs`` with the repeated words cut out of their texts (white space elsewhere stays as it was)
     and ``size`` (if named) set to the new number of code points. Documents that lose every word go."""
-    rows, changes = find_repeats(docs, key, text, window, with_text=True)
-    # only what changes travels: whole copies without a text, others with the text they keep
-    copies = (rows.where((F.col("id") > F.col("first")) & (F.col("n_words") >= window))
-              .select("id", "sha", F.lit(None).cast("string").alias("_kept")))
-    edited = (rows.where(F.col("id") == F.col("first")).select("id", "key", "sha", "n_words")
-              .join(changes.select("id", "key", "n_removed", "kept_text"), ["id", "key"])
-              .select("id", "sha", F.when(F.col("n_removed") < F.col("n_words"), F.col("kept_text")).alias("_kept")))
-    edits = copies.unionByName(edited).dropDuplicates(["id", "sha"]).withColumnRenamed("sha", "_sha")
-    many = edits.groupBy("id").agg(F.collect_list(F.struct("_sha", "_kept")).alias("_edits"))
-    source = docs.select(*columns, F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("_id"))
-    joined = source.join(many, source["_id"] == many["id"], "left")
+    rows, changes = find_repeats(docs, key, text, window)
+    # only what changes travels, one row per id and text: null cuts for those that go
+    copies = rows.where((F.col("id") > F.col("first")) & (F.col("n_words") >= window)).select("id", "raw", F.lit(None).cast("array<int>").alias("_cuts"))
+    edited = (rows.where(F.col("id") == F.col("first")).select("id", "raw", "key", "n_words").join(changes.where("n_removed > 0"), ["id", "key"])
+              .select("id", "raw", F.when(F.col("n_removed") < F.col("n_words"), F.col("cuts")).alias("_cuts")))
+    edits = (copies.unionByName(edited).dropDuplicates(["id", "raw"])
+             .select(F.col("id").alias("_id"), F.col("raw").alias("_raw"), "_cuts", F.lit(True).alias("_edit")))
+    source = docs.select(*columns, F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("_id"), digest_of(text).alias("_raw"))
+    joined = source.join(edits, ["_id", "_raw"], "left")
 
     def apply(batches):
         for b in batches:
-            keep = []
+            keep = [not edit or cuts is not None for edit, cuts in zip(b["_edit"], b["_cuts"])]
             texts = []
-            for body, edits_ in zip(b[text], b["_edits"]):
-                kept = body
-                if edits_:
-                    sha = digest(split_words(body)).hexdigest()
-                    kept = next((e["_kept"] for e in edits_ if e["_sha"] == sha), body)
-                    if kept is None and body is not None:
-                        keep.append(False)
-                        texts.append(None)
-                        continue
-                keep.append(True)
-                texts.append(kept)
+            for body, cuts in zip(b[text], b["_cuts"]):
+                if cuts is not None:
+                    body = cut_words(body, covered(len(split_words(body)), list(zip(cuts[::2], cuts[1::2]))))
+                texts.append(body)
             out = {c: [v for v, k in zip(b[c], keep) if k] for c in columns if c != text}
             out[text] = [t for t, k in zip(texts, keep) if k]
             if size:
@@ -293,4 +298,4 @@ def drop_repeats(docs: DataFrame, columns: list[str], key: str = "doc_id", text:
             yield out
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return map_batches(joined.select(*columns, "_edits"), schema, apply)
+    return map_batches(joined.select(*columns, "_edit", "_cuts"), schema, apply)

@@ -109,6 +109,56 @@ def test_no_shard_holds_more_than_its_bound(spark, docs, texts, monkeypatch):
     assert SORT(map(tuple, got)) == SORT(substring(texts, 12))
 
 
+def rows_of_one_id(seed=9):
+    """Rows without an id, and rows of one id, that share passages, are near copies or repeat."""
+    rng = random.Random(seed)
+    say = lambda n: " ".join(f"u{rng.randrange(10**6)}" for _ in range(n))
+    passage, base = say(60), say(100)
+    rows = [(1, say(5) + " " + passage), (2, base + " end")]
+    for doc in (None, 7):
+        rows += [(doc, say(10) + " " + passage + " " + say(8)) for _ in range(40)]
+        rows += [(doc, base + " " + say(3)) for _ in range(40)]
+        rows += [(doc, passage + " " + base)] * 40
+    return rows
+
+
+def test_rows_of_one_id_meet_no_texts_but_their_own(spark, monkeypatch):
+    rows = rows_of_one_id()
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = {}
+
+    def counted(module, name):
+        real = getattr(module, name)
+
+        def run(df, *args):
+            counts[name] = max(counts.get(name, 0), df.count())
+            return real(df, *args)
+        monkeypatch.setattr(module, name, run)
+
+    counted(substring_dedup, "passages")
+    counted(substring_dedup, "map_batches")     # whatever Python is handed: rows with their texts
+    counted(jaccard_join, "enough_shared")
+    assert SORT(map(tuple, substring_dedup.dedup_substrings(frame).collect())) == SORT(substring(rows))
+    kept = substring_dedup.drop_repeats(frame, ["doc_id", "text"])
+    import hashlib
+    got = SORT((r.doc_id, hashlib.sha256(" ".join(words(r.text)).encode()).hexdigest()) for r in kept.collect())
+    assert got == SORT((d, s) for d, n, gone, s in substring(rows) if gone < n)
+    counted(jaccard_join, "map_batches")
+    assert SORT(map(tuple, jaccard_join.jaccard_components(frame).collect())) == SORT(components(rows))
+    distinct = len(set(rows))
+    assert counts["passages"] <= distinct and counts["enough_shared"] <= distinct
+    assert counts["map_batches"] <= len(rows)
+
+
+def test_texts_of_the_same_words_keep_their_own_white_space(spark):
+    rng = random.Random(10)
+    passage, tail = ([f"v{rng.randrange(10**6)}" for _ in range(n)] for n in (60, 3))
+    rows = [(1, " ".join(passage)), (2, " ".join(passage + tail)), (2, "\n".join(passage) + "\n" + "\t".join(tail))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in substring_dedup.drop_repeats(frame, ["doc_id", "text"]).collect()]
+    assert SORT(got) == SORT([rows[0], (2, " ".join(tail)), (2, "\t".join(tail))])
+
+
 def test_substring_dedup_empty(no_docs):
     assert substring_dedup.dedup_substrings(no_docs).count() == 0
 
