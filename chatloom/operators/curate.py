@@ -1,17 +1,17 @@
 """Near-duplicate removal, recipe search conversations, corpus profile.
 
-Near duplicates never enumerate pairs inside a bucket: documents link to their band buckets, and
-connected components are found by min-label propagation over that bipartite graph (two
-aggregations per round, map-side combined, so a bucket holding a third of the corpus is just a
-big partial aggregate). Each document is then verified against its component's smallest id
-(one shingle-set join per document) before it is marked a copy.
+Near duplicates verify the members of a bucket against its leaders, the least ids in it. Members that
+are like a leader are attached to it and take no further part; among those that are like none, the next
+leaders are elected, twice as many each round, until no bucket has two members left. So of two
+documents that share a bucket and are both kept, one was a leader and the other was verified not to
+be like it. Components are taken over the verified edges only.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.session import cut_lineage
+from chatloom.session import cut_lineage, scratch_path
 
 
 def normalize(text: Column) -> Column:
@@ -53,19 +53,19 @@ def minhash_bands(sh: DataFrame, key: str = "id", bands: int = 8, rows: int = 4)
 
 
 def components(edges: DataFrame, key: str = "id") -> DataFrame:
-    """Smallest doc id reachable through shared (band, bucket) nodes; stops when no label changes."""
-    labels = edges.select(key).distinct().withColumn("label", F.col(key))
+    """(key, label) for the documents of the edges (key, other): the least id reachable; stops when
+    no label changes."""
+    back = edges.select(F.col("other").alias(key), F.col(key).alias("other"))
+    both = cut_lineage(edges.select(key, "other").unionByName(back).distinct())
+    labels = both.select(key).distinct().withColumn("label", F.col(key))
     while True:
-        bucket_min = edges.join(labels, key).groupBy("band", "bucket").agg(F.min("label").alias("bl"))
-        new = (edges.join(bucket_min, ["band", "bucket"]).groupBy(key).agg(F.min("bl").alias("nl"))
-               .join(labels, key).select(key, F.least("label", "nl").alias("label")))
+        near = both.join(labels.withColumnRenamed(key, "other"), "other").groupBy(key).agg(F.min("label").alias("near"))
         # one row per document: materialise every round so the convergence test and the next
         # round read it instead of recomputing the round
-        new = cut_lineage(new)
-        changed = new.join(labels.withColumnRenamed("label", "old"), key).where(F.col("label") != F.col("old"))
-        if changed.isEmpty():
-            return new
-        labels = new
+        new = cut_lineage(labels.join(near, key).select(key, F.col("label").alias("old"), F.least("label", "near").alias("label")))
+        if new.where("label <> old").isEmpty():
+            return new.select(key, "label")
+        labels = new.select(key, "label")
 
 
 def jaccard_to(sh: DataFrame, pairs: DataFrame, key: str = "id") -> DataFrame:
@@ -82,20 +82,40 @@ def jaccard_to(sh: DataFrame, pairs: DataFrame, key: str = "id") -> DataFrame:
 
 def near_duplicates(docs: DataFrame, key: str = "id", text: str = "text", threshold: float = 0.8,
                     n: int = 5, bands: int = 8, rows: int = 4) -> DataFrame:
-    """B1: each document -> ``keep_id``: the smallest id of its LSH component when its own shingle
-    Jaccard with that document is at least ``threshold``; itself otherwise."""
+    """B1: each document -> ``keep_id``: the smallest id that verified edges (shingle Jaccard of at least
+    ``threshold`` with a leader of a shared LSH bucket) lead to; itself without any."""
     # a minimum ignores repeats, so the signatures need no distinct (no shuffle of all shingles)
-    bands_ = minhash_bands(shingles(docs, key, text, n, distinct=False), key, bands, rows)
-    # docs x bands rows, read by every propagation round: materialise once in the shared folder
+    bands_ = minhash_bands(shingles(docs.where(F.col(key).isNotNull()), key, text, n, distinct=False), key, bands, rows)
+    # docs x bands rows, read twice: materialise once in the shared folder
     bands_ = cut_lineage(bands_)
-    labels = components(bands_, key)
-    pairs = labels.where(F.col("label") != F.col(key)).select(key, F.col("label").alias("other"))
-    # shingle sets only for documents in a candidate pair
-    involved = pairs.select(key).union(pairs.select(F.col("other").alias(key))).distinct()
-    sh = shingles(docs.join(involved, key, "left_semi"), key, text, n)
-    verified = jaccard_to(sh, pairs, key).where(F.col("jaccard") >= threshold).select(key, F.col("other").alias("keep"))
-    return (docs.select(key).join(verified, key, "left")
-            .select(key, F.coalesce("keep", key).alias("keep_id")))
+    shared = bands_.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    left = cut_lineage(bands_.join(shared, ["band", "bucket"]))
+    if left.isEmpty():
+        return docs.select(key, F.col(key).alias("keep_id"))
+    # shingle sets only for documents in a candidate pair; hashed, and written once for all rounds
+    path = scratch_path(docs.sparkSession, "shingles")
+    involved = left.select(key).distinct()
+    sh = shingles(docs.join(involved, key, "left_semi"), key, text, n, distinct=False)
+    sh.select(key, F.xxhash64("shingle").alias("shingle")).distinct().write.parquet(path)
+    sh = docs.sparkSession.read.parquet(path)
+    edges, leaders = None, 1
+    while not left.isEmpty():
+        # the first leader is an aggregate: whole groups of copies are left then
+        first = left.groupBy("band", "bucket").agg(F.min(key).alias(key))
+        chosen = first if leaders == 1 else top_k(left, ["band", "bucket"], [F.col(key)], leaders, salt_key=key)
+        chosen = cut_lineage(chosen.select("band", "bucket", F.col(key).alias("other")))
+        pairs = cut_lineage(left.join(chosen, ["band", "bucket"]).where(F.col("other") < F.col(key)).select(key, "other").distinct())
+        found = cut_lineage(jaccard_to(sh, pairs, key).where(F.col("jaccard") >= threshold).select(key, "other"))
+        edges = found if edges is None else edges.unionByName(found)
+        rest = (left.join(chosen.withColumnRenamed("other", key), ["band", "bucket", key], "left_anti")
+                .join(found.select(key).distinct(), key, "left_anti"))
+        # a bucket's last member has met all leaders
+        more = rest.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+        left = cut_lineage(rest.join(more, ["band", "bucket"]))
+        leaders *= 2
+    labels = components(edges, key)
+    return (docs.select(key).join(labels, key, "left")
+            .select(key, F.coalesce("label", key).alias("keep_id")))
 
 
 def top_k(df: DataFrame, group: list[str], order: list[Column], k: int, salt_buckets: int = 16,

@@ -89,6 +89,33 @@ def test_near_duplicates_against_brute_force(spark):
     assert got[4] == 0 and got[1] == 0 and got[3] == 3 and got[5] == 5
 
 
+def test_near_duplicates_leave_no_like_pair_of_a_drift_chain(spark):
+    # each like the next (0.886), the ends unlike: in one component of band hits, few are like its least id
+    chain = [f"w{i}" for i in range(70)]
+    texts = []
+    for step in range(12):
+        texts.append(" ".join(chain))
+        chain = chain[4:] + [f"s{step}x{i}" for i in range(4)]
+    texts += ["other words " + " ".join(f"z{i}" for i in range(40))] * 3
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, texts[0])], "id long, text string")
+    docs = df.where("id IS NOT NULL")
+    keep = {r["id"]: r["keep_id"] for r in B.near_duplicates(df).where("id IS NOT NULL").collect()}
+    sets = {r["id"]: set(r["s"]) for r in B.shingles(docs).groupBy("id").agg(F.collect_set("shingle").alias("s")).collect()}
+    buckets = {r["id"]: {tuple(b) for b in r["s"]} for r in B.minhash_bands(B.shingles(docs)).groupBy("id").agg(
+        F.collect_set(F.struct("band", "bucket")).alias("s")).collect()}
+
+    def like(a, b):
+        return len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8 and bool(buckets[a] & buckets[b])
+
+    kept = sorted(i for i, k in keep.items() if i == k)
+    assert not [(a, b) for a in kept for b in kept if a < b and like(a, b)]
+    reach = {i: {i} for i in keep}                       # what like pairs connect
+    for _ in keep:
+        reach = {i: r | {b for a in r for b in keep if like(a, b)} for i, r in reach.items()}
+    assert all(keep[i] in reach[i] and keep[i] <= i for i in keep)
+    assert keep[13] == keep[14] == 12 and 1 < len(kept) < 12
+
+
 def test_stream_ingest_once(spark):
     from chatloom.streaming.ingest import ingest_pages
     src = tempfile.mkdtemp(prefix="pages-")
