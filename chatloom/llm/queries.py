@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import chat_format, decontaminate, html_extract, jaccard_join, license_scan, packing, quality_rules, substring_dedup, toxicity, url_filter
+from chatloom.llm import (chat_format, decontaminate, html_extract, importance_resample, jaccard_join, license_scan, packing, quality_rules, simhash,
+                          substring_dedup, toxicity, url_filter, vector_codes)
 from chatloom.llm.common import table
 from chatloom.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -271,3 +272,98 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id FROM d LEF
 @register("op10_jaccard_join", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ 11
+
+# the CRC-32 table (reflected polynomial) is made by its rule; a word's bytes are read from its hex form
+OP11_SQL = f"""
+WITH crc AS MATERIALIZED (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) AS r(i))
+), d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), {LICENSE_WORDS}) AS w
+  FROM documents
+), f AS MATERIALIZED (
+  SELECT r, unnest(w) AS word FROM d
+), g AS MATERIALIZED (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), {LICENSE_WORDS})) AS word FROM benchmark
+), b AS MATERIALIZED (
+  SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(hex(word)) // 2),
+           lambda i: ('0x' || substr(hex(word), (2 * i + 1)::INT, 2))::BIGINT)), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT word FROM f UNION SELECT word FROM g), crc
+), s AS (
+  SELECT bucket, count(*) AS s FROM f JOIN b USING (word) GROUP BY bucket
+), t AS (
+  SELECT bucket, count(*) AS t FROM g JOIN b USING (word) GROUP BY bucket
+), gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM f) + 10000.0::DOUBLE)
+         / ((coalesce(s, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM g) + 10000.0::DOUBLE))))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket)
+), m AS (
+  SELECT r, floor(sum(gain) / count(*))::BIGINT AS weight FROM f JOIN b USING (word) JOIN gain USING (bucket) GROUP BY r
+), c AS (
+  SELECT r, doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE))))::BIGINT AS score
+  FROM d LEFT JOIN m USING (r)
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id, n_features) AS place,
+         count(*) OVER (PARTITION BY n_features >= 20) AS n FROM c
+)
+SELECT doc_id, n_features, weight, score, (CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END)::BIGINT AS rank FROM p
+"""
+
+
+@register("op11_importance_resample", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+# ------------------------------------------------------------------ 12
+
+@register("op12_simhash")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ 13
+
+def op13_sql(parts: int = 16, width: int = 4, entries: int = 64, rounds: int = 2) -> str:
+    """Every assignment compares each part with its whole codebook."""
+    dims = [f"c{i}" for i in range(width)]
+    square = " + ".join(f"(x.{c} - k.{c}) * (x.{c} - k.{c})" for c in dims)
+    floored = lambda c: f"((sum(x.{c}) - ((sum(x.{c}) % count(*)) + count(*)) % count(*)) // count(*))"
+    steps = ""
+    for i in range(rounds + 1):
+        steps += f""", a{i} AS MATERIALIZED (
+  SELECT r, p, min(({square}) * 256 + k.k) AS best FROM x JOIN k{i} k USING (p) GROUP BY r, p
+)"""
+        if i < rounds:
+            steps += f""", k{i + 1} AS MATERIALIZED (
+  SELECT o.p, o.k, {", ".join(f"coalesce(n.{c}, o.{c}) AS {c}" for c in dims)} FROM k{i} o LEFT JOIN (
+    SELECT a.p, a.best % 256 AS k, {", ".join(f"{floored(c)}::BIGINT AS {c}" for c in dims)} FROM a{i} a JOIN x USING (r, p) GROUP BY a.p, a.best % 256
+  ) n ON n.p = o.p AND n.k = o.k
+)"""
+    return f"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), x AS MATERIALIZED (
+  SELECT r, vec_id, p, {", ".join(f"v[{width} * p + {i + 1}] AS c{i}" for i in range(width))} FROM e, range({parts}) AS t(p)
+), k0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, {", ".join(dims)} FROM x
+  QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= {entries}
+){steps}, coded AS (
+  SELECT r, string_agg(printf('%02x', best % 256), '' ORDER BY p) AS code, sum(best // 256)::BIGINT AS error FROM a{rounds} GROUP BY r
+), book AS (
+  SELECT sha256(string_agg({" || ',' || ".join(f"{c}::VARCHAR" for c in dims)}, ',' ORDER BY p, k)) AS codebooks_sha256 FROM k{rounds}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN e USING (r), book
+"""
+
+
+@register("op13_vector_codes", op13_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
