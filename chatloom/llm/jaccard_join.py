@@ -330,14 +330,9 @@ def links(buckets: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
     return edges.unionByName(reaching(overlaps(cross, fragments), percent))
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
-    """One row per input row: key, n_shingles, component_id (least key reachable by links).
-
-    Null and empty texts have an empty set and link with nothing (their own key is their component).
-    Equal sets are linked. Rows that share a key are judged by their own texts. Rows without a key
-    link like others; their component is null if no linked row has a key.
-    """
-    kind = docs.schema[key].dataType
+def judged_rows(docs: DataFrame, key: str, text: str, ngram: int, percent: int) -> DataFrame:
+    """(id, own, raw, n, group, half, component) per row: ``own`` is the id, LAST for none; (``group``, ``half``)
+    names the row's component, whatever ids its rows have; ``component`` is the least ``own`` in it."""
     source = docs.select(F.col(key).cast("long").alias("id"), F.unhex(F.md5(text)).alias("raw"), F.col(text).alias("text"))
     sigmas = 6.0
     while True:
@@ -368,24 +363,45 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     release(docs.sparkSession)
     labels = components(links(buckets, known, percent))
     least = firsts.join(labels, "node").groupBy("label").agg(F.min("first").alias("component"))
-    found = labels.join(least, "label").select("node", "component")
-    placed = rows.select("id", "n", "own", "node", "b").join(firsts, ["node", "b"], "left").join(found, "node", "left")
-    component = F.coalesce("component", "first", "own")
+    found = labels.join(least, "label").select("node", "label", "component")
+    placed = rows.select("id", "n", "own", "raw", "node", "b").join(firsts, ["node", "b"], "left").join(found, "node", "left")
+    return placed.select("id", "own", "raw", "n", F.coalesce("label", "node").alias("group"),
+                         F.when(F.col("label").isNull(), F.col("b")).otherwise(0).alias("half"),
+                         F.coalesce("component", "first", "own").alias("component"))
+
+
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
+    """One row per input row: key, n_shingles, component_id (least key reachable by links).
+
+    Null and empty texts have an empty set and link with nothing (their own key is their component).
+    Equal sets are linked. Rows that share a key are judged by their own texts. Rows without a key
+    link like others; their component is null if no linked row has a key. Keys are numbers (or their decimal
+    digits); any other key fails the cast.
+    """
+    kind = docs.schema[key].dataType
+    placed = judged_rows(docs, key, text, ngram, percent)
     return placed.select(F.col("id").cast(kind).alias(key), F.col("n").alias("n_shingles"),
-                         F.when(component < LAST, component).cast(kind).alias("component_id"))
+                         F.when(F.col("component") < LAST, F.col("component")).cast(kind).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, columns: list[str], key: str = "doc_id", text: str = "text", ngram: int = NGRAM,
              percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component: the one with the least key. Of repeated rows of
-    that key the least one (by ``columns``) stays. Rows without a key cannot be named by a
-    component and stay."""
-    found = jaccard_components(docs, key, text, ngram, percent)
-    kept = cut_lineage(found.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.min("component_id").alias("_c"), F.count(F.lit(1)).alias("_rows")).where(F.col("_c") == F.col(key)).select(key, "_rows"))
-    rows = docs.select(*columns)
-    once = rows.join(kept.where("_rows = 1"), key, "left_semi")
-    again = (rows.join(kept.where("_rows > 1"), key, "left_semi").groupBy(key)
-             .agg(F.min(F.struct(*[c for c in columns if c != key])).alias("_r"))
-             .select(*[F.col(key) if c == key else F.col(f"_r.{c}").alias(c) for c in columns]))
-    return once.unionByName(again).unionByName(rows.where(F.col(key).isNull()))
+    """``docs`` with one row of each component: the one with the least key (of different texts under that
+    key, the one with the least digest). Rows are judged by key and text, so an unlike text under a key that
+    is also another row's stays. Of repeated rows (equal key and text) the least one by ``columns`` stays;
+    repeated rows without a set are one as well. Rows without a key stay, and do not stand for others that have one.
+    """
+    rows = stored(judged_rows(docs, key, text, ngram, percent).where("id IS NOT NULL").select("own", "raw", "n", "group", "half"), "judged")
+    same = F.coalesce("raw", F.lit(b"")).alias("raw")     # a null text has no digest
+    best = (rows.where("n > 0").groupBy("group", "half").agg(F.min(F.struct("own", "raw")).alias("best")).select("best.own", "best.raw"))
+    gone = cut_lineage(rows.where("n > 0").select("own", "raw").distinct().join(best, ["own", "raw"], "left_anti"))
+    again = cut_lineage(rows.select("own", same).groupBy("own", "raw").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("own", "raw"))
+    digest = F.coalesce(F.unhex(F.md5(text)), F.lit(b""))
+    source = docs.select(*columns, F.col(key).cast("long").alias("_own"), digest.alias("_raw"))
+    named = lambda df: if_few(df.select(F.col("own").alias("_own"), F.col("raw").alias("_raw")), MAX_BROADCAST_ROWS)
+    left = source.join(named(gone), ["_own", "_raw"], "left_anti")
+    repeated = named(again)
+    once = left.join(repeated, ["_own", "_raw"], "left_anti").select(*columns)
+    least = (left.join(repeated, ["_own", "_raw"], "left_semi").groupBy("_own", "_raw")
+             .agg(F.min(F.struct(*columns)).alias("_r")).select(*[F.col(f"_r.{c}").alias(c) for c in columns]))
+    return once.unionByName(least)

@@ -1,14 +1,17 @@
 """Substring dedup and the Jaccard join against brute force."""
+import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
-from .brute import components, substring, words
 
 from chatloom.llm import jaccard_join, substring_dedup
 from chatloom.llm.fm_index import BitRank, FMIndex
 from chatloom.llm import words as words_module
 from chatloom.llm.words import hashed, sliding, window_hashes
+from tests.llm.brute import components, shingles, substring, words
+from tests.llm.conftest import prose
 
 SORT = lambda rows: sorted(rows, key=lambda r: tuple((x is None, x if x is not None else 0) for x in r))
 
@@ -225,11 +228,53 @@ def test_jaccard_widens_a_fragment_that_is_too_narrow(spark, monkeypatch):
     assert len(seen) > 1
 
 
+def kept_rows(rows):
+    """Brute force of keep_one over (doc_id, text): by rows, whatever rows share an id."""
+    sets = [shingles(t) for _, t in rows]
+    groups = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                old, new = groups[i], groups[j]
+                groups = [new if g == old else g for g in groups]
+    digest = lambda t: hashlib.md5(t.encode()).digest() if t is not None else b""
+    best = {}
+    for (d, t), g, s in zip(rows, groups, sets):
+        if s and d is not None:
+            best[g] = min(best.get(g, (1 << 63, b"")), (d, digest(t)))
+    out = Counter()
+    for (d, t), g, s in zip(rows, groups, sets):
+        if d is None:
+            out[d, t] += 1
+        elif not s or best[g] == (d, digest(t)):
+            out[d, t] = 1
+    return out
+
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
 def test_keep_one(docs, texts, no_docs):
-    columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    kept = jaccard_join.keep_one(docs, columns).collect()
+    kept = jaccard_join.keep_one(docs, COLUMNS).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == kept_rows(texts)
     comp = components(texts)
-    with_id = sorted(r.doc_id for r in kept if r.doc_id is not None)
-    assert with_id == sorted({c for d, _, c in comp if d is not None})
+    assert {r.doc_id for r in kept if r.doc_id is not None} == {c for d, _, c in comp if d is not None}
     assert sum(r.doc_id is None for r in kept) == sum(d is None for d, _ in texts)
-    assert jaccard_join.keep_one(no_docs, columns).count() == 0
+    assert jaccard_join.keep_one(no_docs, COLUMNS).count() == 0
+
+
+def test_keep_one_judges_texts_that_share_an_id(spark):
+    rng = random.Random(5)
+    a, b, c, d = (prose(rng, 60, 5000) for _ in range(4))
+    rows = [(3, a), (7, a + " z"), (7, b), (11, c), (11, d), (12, c + " y"), (11, c + " x"), (13, None), (13, ""), (13, None), (7, b)]
+    hot = prose(rng, 80, 5000)                            # a third of all rows under one id, unlike and alike
+    rows += [(20, prose(rng, 40, 5000)) for _ in range(6)] + [(20, hot + f" v{i}") for i in range(6)] + [(2, hot)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(i, t, "en" if n % 2 else None, "s", n) for n, (i, t) in enumerate(rows)],
+                               "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = jaccard_join.keep_one(df, COLUMNS).collect()
+    got = Counter((r.doc_id, r.text) for r in kept)
+    assert got == kept_rows(rows)
+    assert got[7, b] == 1 and (7, a + " z") not in got and got[3, a] == 1 and got[11, d] == 1
+    assert sum(n for (i, t), n in got.items() if i == 11 and t != d) == 1 and sum(n for (i, _), n in got.items() if i == 20) == 6
