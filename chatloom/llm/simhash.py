@@ -220,6 +220,7 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     least = linked.groupBy("label").agg(F.min("first").alias("least"))
     # only what is linked with another one moves twice
     found = labels.join(least, "label").select(F.col("node").alias("fp"), "least")
-    places = firsts.join(found, "fp", "left").select("fp", F.coalesce("least", "first").alias("component"))
+    # written, so that the join below has a plain exchange on both sides and a fingerprint of many rows can be split
+    places = stored(firsts.join(found, "fp", "left").select("fp", F.coalesce("least", "first").alias("component")), "components")
     return rows.join(places, "fp").select(F.col("id").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                                           F.col("component").alias("component_id"))
