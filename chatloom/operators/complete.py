@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.functions.chat import chatml
+from chatloom.functions.chat import chatml, message
 from chatloom.functions.text import py_strip
 from chatloom.session import cut_lineage
 
@@ -39,6 +39,8 @@ def prompt_id(prompt: Column, params: str) -> Column:
 
 class Model:
     template: Callable[[Column], Column] = staticmethod(lambda m: chatml(m, generation=True))
+    #: answers every prompt, and with one of the options where there are any: ``ask`` need not look
+    total = False
 
     def answer(self, df: DataFrame, messages: Column, out: str, options: list[str] | None = None,
                max_tokens: int = DEFAULTS["max_tokens"], temperature: float = DEFAULTS["temperature"],
@@ -47,8 +49,9 @@ class Model:
 
 
 class ExpressionModel(Model):
-    def __init__(self, fn: Callable[..., Column]):
+    def __init__(self, fn: Callable[..., Column], total: bool = True):
         self.fn = fn
+        self.total = total
 
     def answer(self, df, messages, out, options=None, max_tokens=DEFAULTS["max_tokens"],
                temperature=DEFAULTS["temperature"], when=None):
@@ -94,6 +97,88 @@ def stand_in(prompt: Column, options: list[str] | None = None, max_tokens: int =
 STAND_IN = ExpressionModel(stand_in)
 
 
+def flaky_stand_in(prompt: Column, options: list[str] | None = None, max_tokens: int = 400) -> Column:
+    """A stand-in that fails like a real model, by digits of md5(prompt) (also written in SQL by the oracles):
+    no answer at all if the last digit is 0; of constrained answers, a text outside the options if the last but
+    one is below 4, and the option in upper case between blanks if the one before is odd."""
+    h = F.md5(prompt)
+    answer = stand_in(prompt, options, max_tokens)
+    if options:
+        answer = (F.when(hex_digit(h, 31) < 4, F.concat(F.lit("perhaps "), F.substring(h, 1, 4)))
+                  .when(hex_digit(h, 30) % 2 == 1, F.concat(F.lit(" "), F.upper(answer), F.lit("\n"))).otherwise(answer))
+    return F.when(hex_digit(h, 32) != 0, answer)
+
+
+FLAKY = ExpressionModel(flaky_stand_in, total=False)
+
+# ---------------------------------------------------------------------------------------------
+# Answers that may fail
+# ---------------------------------------------------------------------------------------------
+#: how often an answer outside the options is asked for again
+RETRIES = 2
+
+
+def reask(options: list[str]) -> str:
+    return "Answer with one of these words only: " + ", ".join(options) + "."
+
+
+def ask(model: Model, df: DataFrame, messages: Column, out: str, options: list[str] | None = None,
+        max_tokens: int = DEFAULTS["max_tokens"], temperature: float = DEFAULTS["temperature"], when: Column | None = None,
+        retries: int = RETRIES, kind: str | None = None) -> DataFrame:
+    """``model.answer`` whose failures stay with the input.
+
+    An input without an answer, or whose answer is none of ``options`` after ``retries`` further rounds, gets an
+    ``error`` (``no_answer:<kind>`` or ``invalid:<kind>``, the kind being ``out`` unless given; the first one stays)
+    and is not asked anything more. Answers among ``options`` come out trimmed and in lower case. A round asks again only the inputs
+    whose answer was invalid, with that answer and the list of options added to the conversation.
+    ``asked`` collects (kind, tries, valid) of every question that an input was asked.
+    """
+    if model.total:
+        return model.answer(df, messages, out, options=options, max_tokens=max_tokens, temperature=temperature, when=when)
+    kwargs = {"options": options, "max_tokens": max_tokens, "temperature": temperature}
+    kind = kind or out
+    if "error" not in df.columns:
+        df = df.withColumns({"error": F.lit(None).cast("string"),
+                             "asked": F.array().cast("array<struct<kind:string,tries:int,valid:boolean>>")})
+    go = F.col("error").isNull()
+    df = df.withColumn("_ask", go if when is None else go & F.coalesce(when, F.lit(False)))
+    df = df.withColumns({"_chat": F.when(F.col("_ask"), messages), "_tries": F.lit(1)})
+    df = model.answer(df, F.col("_chat"), out, when=F.col("_ask"), **kwargs)
+    valid = F.lit(True)
+    if options:
+        def chosen(name):
+            return F.lower(py_strip(F.col(name)))
+
+        def wrong(name):
+            return F.col("_ask") & F.col(name).isNotNull() & ~chosen(name).isin(*options)
+
+        for _ in range(retries):
+            df = df.withColumn("_bad", wrong(out))
+            df = df.withColumn("_chat", F.when(F.col("_bad"), F.concat("_chat", F.array(
+                message("assistant", F.col(out)), message("user", F.lit(reask(options)))))))
+            df = model.answer(df, F.col("_chat"), "_again", when=F.col("_bad"), **kwargs)
+            df = df.withColumns({out: F.when(F.col("_bad"), F.col("_again")).otherwise(F.col(out)),
+                                 "_tries": F.col("_tries") + F.col("_bad").cast("int")}).drop("_again")
+        df = df.withColumns({"_bad": wrong(out), out: chosen(out)})
+        valid = ~F.col("_bad")
+    none = F.when(F.col("_ask") & F.col(out).isNull(), f"no_answer:{kind}")
+    invalid = F.when(F.col("_ask") & ~valid, f"invalid:{kind}")
+    entry = F.struct(F.lit(kind).alias("kind"), F.col("_tries").alias("tries"), (F.col(out).isNotNull() & valid).alias("valid"))
+    df = df.withColumns({"error": F.coalesce("error", none, invalid),
+                         "asked": F.when(F.col("_ask"), F.concat("asked", F.array(entry))).otherwise(F.col("asked"))})
+    if options:
+        df = df.withColumn(out, F.when(~F.col("_bad"), F.col(out)))
+    return df.drop("_ask", "_chat", "_tries", "_bad")
+
+
+def answer_rates(asked: DataFrame) -> DataFrame:
+    """(kind, n_asked, n_tries, n_valid): how often each question was asked and ended with a usable answer."""
+    # outer: an inner explode makes Spark infer a filter and push it below, inlining every round into one predicate
+    each = asked.select(F.explode_outer("asked").alias("a")).select("a.kind", "a.tries", "a.valid").where("kind IS NOT NULL")
+    return each.groupBy("kind").agg(F.count(F.lit(1)).alias("n_asked"), F.sum(F.col("tries").cast("long")).alias("n_tries"),
+                                    F.count(F.when(F.col("valid"), 1)).alias("n_valid"))
+
+
 def with_answers(staged: DataFrame, answers: DataFrame, out: str) -> DataFrame:
     """Joins ``answers(_pid, _answer)``. Rows that were not asked have no ``_pid``: a hash of the row stands
     in as their join key, so that they spread over all tasks instead of meeting in one."""

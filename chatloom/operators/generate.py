@@ -17,9 +17,10 @@ from chatloom.functions.chat import message
 from chatloom.functions.text import (fill, fmt, key_values, lines, natural_duration, natural_list, recipe_card,
                                      splitlines)
 from chatloom.operators import prompts as P
-from chatloom.operators.complete import STAND_IN, Model
+from chatloom.operators.complete import STAND_IN, Model, ask
 from chatloom.operators.pools import Pools
 from chatloom.schemas import TRAINING_COLUMNS, md5_key
+from chatloom.session import cut_lineage
 
 DEFAULT_POOLS = Pools(P.POOLS)
 
@@ -47,10 +48,24 @@ def recipe_eligible(recipes: DataFrame, min_score: float = 4.0) -> DataFrame:
 # Message arrays -> training rows
 # ---------------------------------------------------------------------------------------------
 def explode_messages(df: DataFrame, trainer: str, revision: str, source: str = "source",
-                     messages: str = "messages", conversation: Column | None = None) -> DataFrame:
+                     messages: str = "messages", conversation: Column | None = None, errors: bool = False) -> DataFrame:
     """One row per message, position dense from 0 in array order; one conversation per row of
-    ``df`` (id = md5 of trainer, revision, source[, extra key])."""
+    ``df`` (id = md5 of trainer, revision, source[, extra key]).
+
+    A row of ``df`` with an ``error`` has no messages. With ``errors`` the result has that column too, and such
+    a row comes out once, with its source and error alone."""
     conv = conversation if conversation is not None else md5_key(F.lit(trainer), F.lit(revision), F.col(source))
+    if "error" in df.columns:
+        df = df.withColumn(messages, F.when(F.col("error").isNull(), F.col(messages)))
+    if errors:
+        error = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
+        staged = (df.select(conv.alias("conversation"), F.col(source).cast("long").alias("source"), error.alias("error"),
+                            F.posexplode_outer(messages).alias("position", "m"))
+                  .where(F.col("m").isNotNull() | F.col("error").isNotNull()))
+        found = F.col("error").isNull()
+        return staged.select(F.when(found, F.col("conversation")).alias("conversation"), F.col("position").cast("int").alias("position"),
+                             F.col("m.content").alias("content"), F.col("m.role").alias("role"), F.lit(trainer).alias("trainer"),
+                             F.lit(revision).alias("revision"), "source", "error")
     # posexplode_outer: an inner explode makes Spark infer a "size(messages) > 0" filter and push
     # it below the generator, inlining every model round into one huge predicate.
     staged = (df.select(conv.alias("conversation"), F.col(source).cast("long").alias("source"),
@@ -82,15 +97,15 @@ def evaluator_rounds(inputs: DataFrame, model: Model = STAND_IN) -> DataFrame:
     reviews = message("user", F.concat(F.lit(P.EVAL_REVIEWS), lines("reviews")))
     base = [_sys(), intro, reviews]
     r = r.withColumn("bucket", score_bucket("review_score")).withColumn("_intro", intro)
-    r = model.answer(r, F.array(*base, message("user", fmt(F.lit(P.EVAL_WHY), score))), "why")
+    r = ask(model, r, F.array(*base, message("user", fmt(F.lit(P.EVAL_WHY), score))), "why")
     gate_q = message("user", F.lit(P.EVAL_GATE))
-    r = model.answer(r, F.array(*base, gate_q), "gate", options=P.YES_NO, when=F.col("bucket") != "good")
+    r = ask(model, r, F.array(*base, gate_q), "gate", options=P.YES_NO, when=F.col("bucket") != "good")
     crit = F.array(*base, gate_q, message("assistant", F.col("gate")), message("user", F.lit(P.EVAL_CRITIQUE)))
-    return model.answer(r, crit, "critique", when=F.col("gate") == "yes")
+    return ask(model, r, crit, "critique", when=F.col("gate") == "yes")
 
 
 def evaluator(inputs: DataFrame, model: Model = STAND_IN, pools: Pools = DEFAULT_POOLS,
-              trainer: str = "evaluator", revision: str = "base") -> DataFrame:
+              trainer: str = "evaluator", revision: str = "base", errors: bool = False) -> DataFrame:
     """T4: intro with the recipe card; the rating question and the scored answer; and, when the
     score is not good and a critique was written, the improvement question and the critique."""
     r = evaluator_rounds(inputs, model)
@@ -107,7 +122,7 @@ def evaluator(inputs: DataFrame, model: Model = STAND_IN, pools: Pools = DEFAULT
         F.when(has_crit, message("user", pools.pick("ask_changes", key))),
         F.when(has_crit, message("assistant", F.col("critique"))),
     ))
-    return explode_messages(r.withColumn("messages", msgs), trainer, revision, "document")
+    return explode_messages(r.withColumn("messages", msgs), trainer, revision, "document", errors=errors)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -122,10 +137,10 @@ def secrets_rounds(r: DataFrame, model: Model, base: list[Column], extra: int =
     """
     yes_no = P.YES_NO
     r = r.withColumn("_c", F.array(*base, message("user", F.lit(P.SECRET_FIRST))))
-    r = model.answer(r, F.col("_c"), "_a")
+    r = ask(model, r, F.col("_c"), "_a", kind="secret")
     r = r.withColumn("_c", F.concat("_c", F.array(message("assistant", F.col("_a")),
                                                    message("user", F.lit(P.SECRET_JUDGE)))))
-    r = model.answer(r, F.col("_c"), "_j", options=yes_no)
+    r = ask(model, r, F.col("_c"), "_j", options=yes_no, kind="secret_judge")
     # cheap boolean steps share one projection with the column they guard (fewer plan analyses)
     first = F.coalesce(F.col("_j") == "no", F.lit(False))
     r = r.withColumns({"_alive": first,
@@ -133,11 +148,11 @@ def secrets_rounds(r: DataFrame, model: Model, base: list[Column], extra: int =
     for _ in range(extra):
         r = r.withColumn("_c", F.when(F.col("_alive"), F.concat("_c", F.array(
             message("assistant", F.col("_j")), message("user", F.lit(P.SECRET_MORE))))))
-        r = model.answer(r, F.col("_c"), "_a", when=F.col("_alive"))
+        r = ask(model, r, F.col("_c"), "_a", when=F.col("_alive"), kind="secret")
         go = F.col("_alive") & ~F.lower(F.col("_a")).startswith("no")
         r = r.withColumns({"_go": go, "_c": F.when(go, F.concat("_c", F.array(
             message("assistant", F.col("_a")), message("user", F.lit(P.SECRET_JUDGE)))))})
-        r = model.answer(r, F.col("_c"), "_j", options=yes_no, when=F.col("_go"))
+        r = ask(model, r, F.col("_c"), "_j", options=yes_no, when=F.col("_go"), kind="secret_judge")
         keep = F.coalesce(F.col("_go") & (F.col("_j") != "yes"), F.lit(False))
         r = r.withColumns({"_alive": keep,
                            "secrets": F.when(keep, F.concat("secrets", F.array("_a"))).otherwise(F.col("secrets"))})
@@ -151,10 +166,10 @@ def recipe_rounds(inputs: DataFrame, model: Model = STAND_IN, pools: Pools = DEF
     variation = pools.pick("request", key)
     title_prompt = message("user", fmt(F.lit(P.RECIPE_TITLE), F.col("title"), F.element_at(variation, 1)))
     r = r.withColumn("_variation", variation)
-    r = model.answer(r, F.array(_sys(), article, title_prompt), "title_answer", max_tokens=20)
+    r = ask(model, r, F.array(_sys(), article, title_prompt), "title_answer", max_tokens=20)
     r = secrets_rounds(r, model, [_sys(), article, title_prompt, message("assistant", F.col("title_answer"))])
     summary = F.array(_sys(), message("user", F.concat(F.lit(P.SECRET_SUMMARY), F.array_join("secrets", "\n"))))
-    return model.answer(r, summary, "summary", when=F.size("secrets") > 0)
+    return ask(model, r, summary, "summary", when=F.size("secrets") > 0)
 
 
 def time_answer(pools: Pools, key: Column, prep: Column, total: Column) -> Column:
@@ -168,7 +183,7 @@ def time_answer(pools: Pools, key: Column, prep: Column, total: Column) -> Colum
 
 
 def recipe_chat(inputs: DataFrame, model: Model = STAND_IN, pools: Pools = DEFAULT_POOLS,
-                trainer: str = "recipe", revision: str = "base") -> DataFrame:
+                trainer: str = "recipe", revision: str = "base", errors: bool = False) -> DataFrame:
     """T7-T12 in one conversation per recipe: title request -> card; nutrition; cuisine;
     category; time; and last the summarized secrets."""
     r = recipe_rounds(inputs, model, pools)
@@ -194,7 +209,7 @@ def recipe_chat(inputs: DataFrame, model: Model = STAND_IN, pools: Pools = DEFAU
         F.when(has_s, message("user", pools.pick("ask_tips", key))),
         F.when(has_s, message("assistant", F.col("summary"))),
     ))
-    return explode_messages(r.withColumn("messages", msgs), trainer, revision, "document")
+    return explode_messages(r.withColumn("messages", msgs), trainer, revision, "document", errors=errors)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -251,7 +266,6 @@ def _diverse_rounds(items: DataFrame, keep: int, checkpoint_every: int = 4) -> D
     still-too-large group against its running sum in parallel, drops each group's best
     (max_by aggregate, ties -> later ordinal) and subtracts it from the sum. Returns dropped
     (grp, ordinal) pairs."""
-    from chatloom.session import cut_lineage
     dims = items.select("grp", F.posexplode("vec").alias("i", "x"))
     sums = (dims.groupBy("grp", "i").agg(F.sum("x").alias("x"))
             .groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("_s")))  # d per group
@@ -318,26 +332,39 @@ def stand_in_embedding(text: Column, dims: int = 8) -> Column:
 def article_rounds(inputs: DataFrame, model: Model = STAND_IN) -> DataFrame:
     """Class of the article, then (for knowledge articles) the question list."""
     article = message("user", F.concat(F.lit(P.ARTICLE_INTRO), F.col("text")))
-    r = model.answer(inputs, F.array(_sys(), article, message("user", F.lit(P.ARTICLE_CLASS))), "article_class",
+    r = ask(model, inputs, F.array(_sys(), article, message("user", F.lit(P.ARTICLE_CLASS))), "article_class",
                      options=P.ARTICLE_CLASSES)
-    return model.answer(r, F.array(_sys(), article, message("user", F.lit(P.ARTICLE_QUESTIONS))), "question_list",
+    return ask(model, r, F.array(_sys(), article, message("user", F.lit(P.ARTICLE_QUESTIONS))), "question_list",
                         max_tokens=600, when=~F.col("article_class").isin("anecdotes", "story"))
 
 
 def question_chat(inputs: DataFrame, model: Model = STAND_IN, embed=stand_in_embedding, keep: int = 6,
-                  trainer: str = "summarizer", revision: str = "base", whole_words: bool = False) -> DataFrame:
-    """Each kept question and its answer is its own two-message conversation."""
-    r = article_rounds(inputs.select("id", "text"), model).where(F.col("question_list").isNotNull())
-    q = parse_questions(r.select(F.col("id").alias("source"), F.col("question_list").alias("answer")),
-                        whole_words=whole_words)
+                  trainer: str = "summarizer", revision: str = "base", whole_words: bool = False, errors: bool = False) -> DataFrame:
+    """Each kept question and its answer is its own two-message conversation. With ``errors``, an
+    article without a usable class or question list, and one of whose questions has no answer, comes out as an error."""
+    rounds = article_rounds(inputs.select("id", "text"), model)
+    if not model.total:
+        # two outputs read the rounds: what they need of them is written once, without the text
+        rounds = cut_lineage(rounds.select("id", "question_list", "error"))
+    r = rounds.where(F.col("question_list").isNotNull())
+    # the questions are read twice, below and for their diversity: asked for once
+    q = cut_lineage(parse_questions(r.select(F.col("id").alias("source"), F.col("question_list").alias("answer")),
+                                    whole_words=whole_words))
     if embed is not None:
         vec = q.withColumn("vec", embed(F.col("question")))
         kept = diverse(vec, "source", "ordinal", "vec", keep)
         q = q.join(kept, ["source", "ordinal"], "left_semi")
     qa = q.join(inputs.select(F.col("id").alias("source"), "text"), "source")
     article = message("user", F.concat(F.lit(P.ARTICLE_INTRO), F.col("text")))
-    ask = message("user", fmt(F.lit(P.ARTICLE_ANSWER), F.col("question")))
-    qa = model.answer(qa, F.array(_sys(), article, ask), "reply", max_tokens=2000)
+    prompt = message("user", fmt(F.lit(P.ARTICLE_ANSWER), F.col("question")))
+    qa = ask(model, qa, F.array(_sys(), article, prompt), "reply", max_tokens=2000)
     msgs = F.array(message("user", F.col("question")), message("assistant", F.col("reply")))
     conv = md5_key(F.lit(trainer), F.lit(revision), F.col("source"), F.col("ordinal"))
-    return explode_messages(qa.withColumn("messages", msgs), trainer, revision, "source", conversation=conv)
+    rows = explode_messages(qa.withColumn("messages", msgs), trainer, revision, "source", conversation=conv, errors=errors)
+    if not errors or model.total:
+        return rows
+    none = {c: F.lit(None).cast(k).alias(c) for c, k in rows.dtypes}
+    lost = rounds.where(F.col("error").isNotNull()).select(
+        *[{"trainer": F.lit(trainer).alias(c), "revision": F.lit(revision).alias(c), "source": F.col("id").cast("long").alias(c),
+           "error": F.col("error")}.get(c, none[c]) for c in rows.columns])
+    return rows.unionByName(lost)

@@ -3,10 +3,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chatloom.operators import complete as C
 from chatloom.operators import generate as G
 from chatloom.operators import select as W
+from chatloom.operators.complete import FLAKY
 from chatloom.plans.registry import register
 from chatloom.plans import sql_gen as S
+from chatloom.schemas import TRAINING
+from chatloom.session import scratch_path
+from chatloom.sources.commits import BatchStore
 from chatloom.sources.tables import (BASE_REVISION, document_view, recipe_document_view, recipe_flags,
                                      recipe_view, training_view)
 
@@ -126,3 +131,75 @@ def run_stages(spark, sf_dir):
         ("recipe", pending_recipe_inputs(spark, sf_dir, "recipe", training=training), G.recipe_chat, "document"),
     ]
     return W.stage_counts(W.run_stages(stages, "base"))
+
+
+# ------------------------------------------------------------------ failures, with a model that fails by its prompt
+
+_FAILING = S.base_ctes(
+    ("ev_in", S.pending_recipes_view("evaluator")), *S.failing_evaluator_ctes("ev_in"),
+    ("fv_msgs", S.evaluator_messages("(SELECT * FROM fv WHERE error IS NULL)")),
+    ("fv_rows", S.explode_sql("fv_msgs", "evaluator", "base", "document")),
+    ("ar_in", S.pending_articles_view()), *S.failing_article_ctes("ar_in"),
+    ("q_lines", S.question_lines_sql("(SELECT * FROM fa WHERE question_list IS NOT NULL)", "id", "question_list")),
+    *S.failing_question_ctes("q_lines", "fa"),
+    ("tried", """SELECT 'evaluator' AS trainer, CAST(e.document AS BIGINT) AS source, fv.error,
+       e.document IN (SELECT source FROM fv_rows) AS has_rows FROM ev_in e LEFT JOIN fv ON fv.document = e.document
+UNION ALL SELECT 'summarizer', CAST(a.id AS BIGINT), l.error, a.id IN (SELECT source FROM q_rows)
+  FROM ar_in a LEFT JOIN fq_lost l ON l.source = a.id"""),
+    ("outcome", """SELECT trainer, source, error,
+       CASE WHEN error IS NOT NULL THEN 'failed' WHEN has_rows THEN 'rows' ELSE 'empty' END AS outcome FROM tried"""))
+
+
+def _failing_stages(spark, sf_dir, training=None, revision=BASE_REVISION):
+    return [("evaluator", pending_recipe_inputs(spark, sf_dir, "evaluator", revision, training), G.evaluator, "document"),
+            ("summarizer", pending_article_inputs(spark, sf_dir, revision=revision, training=training), G.question_chat, "id")]
+
+
+def _run_failing(spark, sf_dir):
+    """(rows, attempts) of the evaluator and the summarizer over a model that fails for some prompts."""
+    done = []
+    rows = W.run_stages(_failing_stages(spark, sf_dir), BASE_REVISION, model=FLAKY, commit=lambda _, stage: done.append(stage.attempts))
+    return rows, done[0].unionByName(done[1])
+
+
+@register("stage_attempts", S.with_recursive(_FAILING) + """
+SELECT trainer, 'base' AS revision, source, '0' AS run, outcome, error FROM outcome""")
+def stage_attempts(spark, sf_dir):
+    """What became of every input. A missing or invalid answer fails the input, also one that only steers the generator."""
+    return _run_failing(spark, sf_dir)[1]
+
+
+@register("failed_stage_rows", S.with_recursive(_FAILING) + """
+SELECT conversation, position, content, role, trainer, revision, source FROM fv_rows
+UNION ALL SELECT conversation, position, content, role, trainer, revision, source FROM q_rows
+UNION ALL SELECT md5(concat_ws(chr(31), trainer, 'base', CAST(source AS VARCHAR), 'none')), 0, '', 'none', trainer, 'base', source
+  FROM outcome WHERE outcome = 'empty'""")
+def failed_stage_rows(spark, sf_dir):
+    """The training rows of that run. Failed inputs have neither rows nor a sentinel, and no answer outside the
+    options is in any row."""
+    return _run_failing(spark, sf_dir)[0]
+
+
+@register("pending_after_failures", S.with_recursive(_FAILING) + """
+SELECT trainer, count(*) AS n_pending FROM outcome WHERE outcome = 'failed' GROUP BY trainer""")
+def pending_after_failures(spark, sf_dir):
+    """W6 after W7: once the run is committed, stage by stage, exactly the failed inputs are pending again."""
+    store = BatchStore(spark, scratch_path(spark, "runs"), {"training": (TRAINING, ["revision", "trainer"]), "attempts": (W.ATTEMPTS, [])})
+    W.run_stages(_failing_stages(spark, sf_dir), BASE_REVISION, model=FLAKY,
+                 commit=lambda trainer, stage: store.write(f"{trainer}-0", {"training": stage.rows, "attempts": stage.attempts}))
+    training = training_view(spark, sf_dir).unionByName(store.read("training"))
+    counts = W.pending_counts(**{name: pending for name, pending, _, _ in _failing_stages(spark, sf_dir, training)})
+    return counts.where("n_pending > 0")
+
+
+@register("answer_rates", S.with_ctes(S.base_ctes(
+    ("ev_in", S.pending_recipes_view("evaluator")), *S.failing_evaluator_ctes("ev_in"),
+    ("ar_in", S.pending_articles_view()), *S.failing_article_ctes("ar_in"))) + " UNION ALL ".join(f"""
+SELECT '{kind}' AS kind, count(*) AS n_asked, CAST(sum({kind}_tries) AS BIGINT) AS n_tries, count({kind}) AS n_valid
+FROM {src} WHERE {kind}_asked HAVING count(*) > 0""" for kind, src in
+    (("why", "fv"), ("gate", "fv"), ("critique", "fv"), ("article_class", "fa"), ("question_list", "fa"))))
+def answer_rates(spark, sf_dir):
+    """T18 inside the chain: per kind of question how many inputs were asked, in how many tries, and with what success."""
+    evaluator = G.evaluator_rounds(pending_recipe_inputs(spark, sf_dir, "evaluator"), FLAKY)
+    articles = G.article_rounds(pending_article_inputs(spark, sf_dir).select("id", "text"), FLAKY)
+    return C.answer_rates(evaluator.select("asked").unionByName(articles.select("asked")))

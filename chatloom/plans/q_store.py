@@ -4,12 +4,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chatloom.operators import generate as G
+from chatloom.operators import select as W
 from chatloom.plans import sql_gen as S
 from chatloom.plans.q_select import pending_recipe_inputs
 from chatloom.plans.registry import register
 from chatloom.plans.sql_views import with_views
-from chatloom.session import scratch_path
+from chatloom.schemas import TRAINING
+from chatloom.session import cut_lineage, scratch_path
 from chatloom.sources import store as ST
+from chatloom.sources import titles as TT
+from chatloom.sources.commits import BatchStore
 from chatloom.sources.tables import document_view, load, page_view, recipe_view, training_view
 
 
@@ -104,3 +108,54 @@ def table_layout(spark, sf_dir):
     ST.write_training(training_view(spark, sf_dir), path, mode="overwrite")
     back = ST.read_training(spark, path, revision="base", trainer="evaluator")
     return back.select("conversation", "position", "content", "role", "source")
+
+
+_BATCHES = """
+WITH docs AS (SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE substr(split_part(text, chr(10), 1), 1, 200) END AS title,
+                     doc_id % 3 AS batch, 'd/' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS source FROM documents),
+first AS (SELECT title, min(concat(batch, ' ', source)) AS pick FROM docs WHERE title IS NOT NULL GROUP BY title)
+"""
+
+
+def _titled(spark, sf_dir):
+    """Documents in three batches; the title is the first line of the text."""
+    line = F.substring(F.element_at(F.split("text", "\n"), 1), 1, 200)
+    return load(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("long").alias("id"), line.alias("title"), (F.col("doc_id") % 3).alias("batch"),
+        F.concat(F.lit("d/"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("source"))
+
+
+def _title_store(spark):
+    return BatchStore(spark, scratch_path(spark, "titles"), {"document": ("id long, title string, source string", []), "title": (TT.INDEX, ["bucket"])})
+
+
+def _store_titles(store, docs, batch):
+    fresh = cut_lineage(TT.first_titles(docs.where(F.col("batch") == batch), store.read("title", without=[batch]), ["source"]))
+    store.write(batch, {"document": fresh, "title": TT.index_rows(fresh)})
+
+
+@register("unique_titles", _BATCHES + """
+SELECT doc_id AS id, title, source FROM docs JOIN first USING (title) WHERE pick = concat(batch, ' ', source)""")
+def unique_titles(spark, sf_dir):
+    """S4 against a growing store: three batches, each against the index of those before; the second comes twice."""
+    store, docs = _title_store(spark), _titled(spark, sf_dir)
+    for batch in (0, 1, 1, 2):
+        _store_titles(store, docs, batch)
+    return store.read("document")
+
+
+@register("commit_tables", _EV_COUNT + """
+SELECT 'training' AS tab, count(*) AS n_rows FROM ev_rows
+UNION ALL SELECT 'attempts', count(*) FROM ev_in""")
+def commit_tables(spark, sf_dir):
+    """Two tables, one commit. An attempt that dies between them shows nothing; a retry replaces what its batch wrote before."""
+    pending = pending_recipe_inputs(spark, sf_dir, "evaluator")
+    stage = W.settle_stage(pending, G.evaluator(pending), "evaluator", "base", "document")
+    store = BatchStore(spark, scratch_path(spark, "commits"), {"training": (TRAINING, ["revision", "trainer"]), "attempts": (W.ATTEMPTS, ["trainer"])})
+    rows = stage.rows.where("role <> 'none'")
+    store.stage({"training": rows})                                        # no marker: a crash before the second table
+    other = stage.attempts.withColumn("trainer", F.lit("other"))
+    store.write("run-1", {"training": rows, "attempts": stage.attempts.unionByName(other)})
+    store.write("run-1", {"training": rows, "attempts": stage.attempts})   # a retry with fewer partitions
+    count = lambda name: store.read(name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("tab"), "n_rows")
+    return count("training").unionByName(count("attempts"))

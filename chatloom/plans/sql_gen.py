@@ -6,7 +6,7 @@ phrases are picked by the same hash, so the SQL and the Spark jobs must agree ex
 from __future__ import annotations
 
 from chatloom.operators import prompts as P
-from chatloom.operators.complete import HEX, STAND_IN_LEADS
+from chatloom.operators.complete import HEX, RETRIES, STAND_IN_LEADS, reask
 from chatloom.plans.sql_views import VIEWS, card_sql, lines_sql, natural_list_sql, strip_sql
 
 ASSIST = "('<|im_start|>assistant' || chr(10))"
@@ -47,6 +47,45 @@ def model(prompt: str, options: list[str] | None = None, max_tokens: int = 400)
     return model_from_hash(f"md5({prompt})", options, max_tokens)
 
 
+def flaky(prompt: str, options: list[str] | None = None, max_tokens: int = 400) -> str:
+    """The stand-in that fails, see ``complete.flaky_stand_in``."""
+    h = f"md5({prompt})"
+    answer = model(prompt, options, max_tokens)
+    if options:
+        answer = (f"CASE WHEN {digit(h, '31')} < 4 THEN 'perhaps ' || substr({h}, 1, 4) "
+                  f"WHEN {digit(h, '30')} % 2 = 1 THEN ' ' || upper({answer}) || chr(10) ELSE {answer} END")
+    return f"CASE WHEN {digit(h, '32')} <> 0 THEN {answer} END"
+
+
+def asked_ctes(name: str, src: str, out: str, prompt: str, when: str, error: str, options: list[str] | None = None,
+               max_tokens: int = 400, retries: int = RETRIES) -> list[tuple[str, str]]:
+    """One question of ``complete.ask`` to the failing stand-in: ``src`` with ``out``, ``out``_tries, ``out``_asked
+    and ``out``_error (``error`` so far or what went wrong here)."""
+    ok = f"({error}) IS NULL AND coalesce({when}, false)"
+    ctes = [(f"{name}_0", f"SELECT *, {ok} AS {out}_asked, {prompt} AS {out}_chat FROM {src}"),
+            (f"{name}_a0", f"SELECT *, CASE WHEN {out}_asked THEN {flaky(f'({out}_chat || {ASSIST})', options, max_tokens)} END AS {out}_r0, 1 AS {out}_t0 "
+                           f"FROM {name}_0")]
+    last = 0
+    if options:
+        among = ", ".join(lit(o) for o in options)
+        bad = lambda c: f"coalesce(lower({strip_sql(c)}) NOT IN ({among}), false)"
+        for k in range(1, retries + 1):
+            p = k - 1
+            chat = f"{out}_chat" if p == 0 else f"{out}_c{p}"
+            ctes.append((f"{name}_b{k}", f"SELECT *, {bad(f'{out}_r{p}')} AS {out}_bad{k}, {chat} || {msg('assistant', f'{out}_r{p}')} || "
+                                         f"{msg('user', lit(reask(options)))} AS {out}_c{k} FROM {name}_a{p}"))
+            ctes.append((f"{name}_a{k}", f"SELECT *, CASE WHEN {out}_bad{k} THEN {flaky(f'({out}_c{k} || {ASSIST})', options, max_tokens)} ELSE {out}_r{p} END "
+                                         f"AS {out}_r{k}, {out}_t{p} + CASE WHEN {out}_bad{k} THEN 1 ELSE 0 END AS {out}_t{k} FROM {name}_b{k}"))
+            last = k
+        value, wrong = f"lower({strip_sql(f'{out}_r{last}')})", bad(f"{out}_r{last}")
+    else:
+        value, wrong = f"{out}_r{last}", "false"
+    ctes.append((name, f"""SELECT *, CASE WHEN NOT {wrong} THEN {value} END AS {out}, {out}_t{last} AS {out}_tries,
+       coalesce({error}, CASE WHEN {out}_asked AND {out}_r{last} IS NULL THEN 'no_answer:{out}' END,
+                CASE WHEN {out}_asked AND {wrong} THEN 'invalid:{out}' END) AS {out}_error FROM {name}_a{last}"""))
+    return ctes
+
+
 def pick(slot: str, key: str) -> str:
     items = P.POOLS[slot]
     if isinstance(items[0], (list, tuple)):
@@ -142,6 +181,18 @@ FROM ev1"""),
     ]
 
 
+def failing_evaluator_ctes(src: str = "ev_in") -> list[tuple[str, str]]:
+    """The evaluator's rounds with the failing stand-in; ``fv`` has bucket, why, gate, critique and ``error``."""
+    score = "CAST(review_score AS VARCHAR)"
+    gate_q = msg("user", lit(P.EVAL_GATE))
+    ctes = evaluator_ctes(src)[:2]
+    ctes += asked_ctes("fv1", "ev1", "why", f"pre || {msg('user', fmt_lit(P.EVAL_WHY, score))}", "true", "CAST(NULL AS VARCHAR)")
+    ctes += asked_ctes("fv2", "fv1", "gate", f"pre || {gate_q}", "bucket <> 'good'", "why_error", P.YES_NO)
+    ctes += asked_ctes("fv3", "fv2", "critique", f"pre || {gate_q} || {msg('assistant', 'gate')} || {msg('user', lit(P.EVAL_CRITIQUE))}",
+                       "gate = 'yes'", "gate_error")
+    return [*ctes, ("fv", "SELECT *, critique_error AS error FROM fv3")]
+
+
 def evaluator_messages(src: str = "ev3") -> str:
     score = "CAST(review_score AS VARCHAR)"
     template = (f"CASE WHEN bucket = 'good' THEN {pick('rating_high', 'document')} WHEN bucket = 'bad' THEN "
@@ -234,6 +285,17 @@ def article_ctes(src: str = "ar_in") -> list[tuple[str, str]]:
     ]
 
 
+def failing_article_ctes(src: str = "ar_in") -> list[tuple[str, str]]:
+    """The article rounds with the failing stand-in; ``fa`` has question_list and ``error``."""
+    art = msg("user", lit(P.ARTICLE_INTRO) + " || text")
+    return [("fa0", f"SELECT id, text FROM {src}"),
+            *asked_ctes("fa1", "fa0", "article_class", f"{SYS} || {art} || {msg('user', lit(P.ARTICLE_CLASS))}", "true",
+                        "CAST(NULL AS VARCHAR)", P.ARTICLE_CLASSES),
+            *asked_ctes("fa2", "fa1", "question_list", f"{SYS} || {art} || {msg('user', lit(P.ARTICLE_QUESTIONS))}",
+                        "article_class NOT IN ('anecdotes', 'story')", "article_class_error", max_tokens=600),
+            ("fa", "SELECT *, question_list_error AS error FROM fa2")]
+
+
 def question_lines_sql(src: str, key: str, text: str) -> str:
     """T14 in SQL: lines (Python splitlines on \\n; the answers hold no other breaks), banned
     substrings, list prefix."""
@@ -292,5 +354,20 @@ FROM q_ans"""),
     ]
 
 
+def failing_question_ctes(lines: str = "q_lines", articles: str = "fa") -> list[tuple[str, str]]:
+    """Replies of the failing stand-in: ``fq`` has a row per kept question, ``fq_rows`` the rows of the articles without any error."""
+    base = question_ctes(lines, articles)
+    art = msg("user", lit(P.ARTICLE_INTRO) + " || text")
+    question = msg("user", fmt_lit(P.ARTICLE_ANSWER, "question"))
+    at = next(i for i, (n, _) in enumerate(base) if n == "q_ans")
+    return [*base[:at],
+            ("fq0", f"""SELECT q.source, q.ordinal, q.question, a.text
+FROM {lines} q JOIN qd_kept k ON q.source = k.grp AND q.ordinal = k.ord JOIN {articles} a ON a.id = q.source"""),
+            *asked_ctes("fq", "fq0", "reply", f"{SYS} || {art} || {question}", "true", "CAST(NULL AS VARCHAR)", max_tokens=2000),
+            ("fq_lost", f"""SELECT source, min(error) AS error FROM (
+  SELECT source, reply_error AS error FROM fq UNION ALL SELECT id, error FROM {articles}) WHERE error IS NOT NULL GROUP BY source"""),
+            ("q_ans", "SELECT * FROM fq WHERE source NOT IN (SELECT source FROM fq_lost)"), *base[at + 1:]]
+
+
 def with_recursive(ctes: list[tuple[str, str]]) -> str:
     return "WITH RECURSIVE " + ",\n".join(f"{n} AS (\n{b}\n)" for n, b in ctes) + "\n"

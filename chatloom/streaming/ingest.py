@@ -2,19 +2,26 @@
 
 ``availableNow`` processes everything new since the last run and stops, so a scheduled job
 resumes where it left off (the stream checkpoint remembers which files were seen). Each micro
-batch is written with ``commit_batch``: a batch that is retried after a failure replaces its own
-output instead of duplicating it. A title is stored once: of a batch's pages with one title the first
-source counts; the others, and pages whose title an earlier batch stored, go to the quarantine.
+batch is one commit of a ``BatchStore``: its documents, recipes, quarantine and title index become visible
+together, and a batch that is retried after a failure replaces its own output in all of them.
+
+A title is stored once: of a batch's pages with one title the first source counts; the others, and pages whose
+title an earlier batch stored, go to the quarantine. The stored titles are an index in buckets, of which a
+batch reads those of its own titles.
 """
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.operators.extract import PageSpec, parse_pages, split_parsed
+from chatloom.schemas import DOCUMENT, RECIPE
 from chatloom.session import cut_lineage
-from chatloom.sources.store import commit_batch, not_stored, split_empty
+from chatloom.sources.commits import BatchStore
+from chatloom.sources.store import assert_no_orphans, split_empty
+from chatloom.sources.titles import INDEX, first_titles, index_rows
+
+QUARANTINE = "source string, reason string"
 
 
 def page_stream(spark: SparkSession, path: str, pattern: str = "*.html") -> DataFrame:
@@ -23,34 +30,30 @@ def page_stream(spark: SparkSession, path: str, pattern: str = "*.html") -> Data
             .select(F.col("value").alias("html"), F.col("_metadata.file_path").alias("source")))
 
 
-def stored_titles(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """Titles that other batches stored; none before the first batch."""
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.range(0).select(F.lit(None).cast("string").alias("title"))
-    return stored.where(F.col("batch").cast("string") != str(batch_id)).select("title")
+def open_store(spark: SparkSession, path: str) -> BatchStore:
+    """The tables that ``ingest_pages`` writes, as their readers see them."""
+    return BatchStore(spark, path, {"document": (DOCUMENT, []), "recipe": (RECIPE, []), "quarantine": (QUARANTINE, []),
+                                    "title": (INDEX, ["bucket"])})
+
+
+def ingest_batch(store: BatchStore, pages: DataFrame, batch_id: int | str, spec: PageSpec = PageSpec()) -> None:
+    """Pages (html, source) -> one commit of all tables. Sources tell the pages of a batch apart."""
+    pages, empty = split_empty(pages)
+    parsed = cut_lineage(parse_pages(pages, spec))      # read by several outputs, parsed once
+    good = parsed.where("reason IS NULL").select("title", "source")
+    first = first_titles(good, store.read("title", without=[batch_id]), ["source"]).select("source", F.lit(True).alias("_first"))
+    late = F.when(F.col("reason").isNull() & F.col("_first").isNull(), "duplicate_title").otherwise(F.col("reason"))
+    parsed = cut_lineage(parsed.join(first, "source", "left").withColumn("reason", late).drop("_first"))
+    ex = split_parsed(parsed, spec)
+    assert_no_orphans(ex.recipe, ex.document, "document", "id")
+    quarantine = ex.quarantine.unionByName(empty.select("source", F.lit("empty").alias("reason")))
+    store.write(batch_id, {"document": ex.document, "recipe": ex.recipe, "quarantine": quarantine, "title": index_rows(ex.document)})
 
 
 def ingest_pages(spark: SparkSession, src: str, out: str, checkpoint: str, spec: PageSpec = PageSpec()):
-    """Run one ``availableNow`` pass: documents, recipes and quarantine under ``out``."""
-
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        pages, empty = split_empty(batch)
-        parsed = cut_lineage(parse_pages(pages, spec))      # read by three outputs, parsed once
-        fresh = not_stored(parsed.where("reason IS NULL"), stored_titles(batch.sparkSession, f"{out}/document", batch_id), "title")
-        first = fresh.groupBy("title").agg(F.min("source").alias("source"), F.lit(True).alias("_first")).drop("title")
-        late = F.when(F.col("reason").isNull() & F.col("_first").isNull(), "duplicate_title").otherwise(F.col("reason"))
-        parsed = cut_lineage(parsed.join(first, "source", "left").withColumn("reason", late).drop("_first"))
-        ex = split_parsed(parsed, spec)
-        commit_batch(ex.document, f"{out}/document", batch_id)
-        commit_batch(ex.recipe, f"{out}/recipe", batch_id)
-        quarantine = ex.quarantine.unionByName(empty.select("source", F.lit("empty").alias("reason")))
-        commit_batch(quarantine, f"{out}/quarantine", batch_id)
-
-    q = (page_stream(spark, src).writeStream.foreachBatch(per_batch)
+    """Run one ``availableNow`` pass: documents, recipes, quarantine and title index under ``out``."""
+    store = open_store(spark, out)
+    q = (page_stream(spark, src).writeStream.foreachBatch(lambda batch, batch_id: ingest_batch(store, batch, batch_id, spec))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
