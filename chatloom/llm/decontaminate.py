@@ -23,8 +23,9 @@ from chatloom.llm.words import window_hashes
 
 MIN_MATCH = 5
 COVERAGE = 0.7
-#: items per block: what one pass over the documents carries
+#: items and characters per block: what one pass over the documents carries
 BLOCK = 20_000
+BLOCK_CHARS = 32_000_000
 
 TOKEN = re.compile(r"[^\W_]+")
 
@@ -93,33 +94,37 @@ class Items:
         self.words: dict[str, int] = {}
         self.items = []
         self.seeds = defaultdict(list)
+        self.short = defaultdict(list)
         for key, text in rows:
             own = tokens(text)
             if not own:
                 continue
+            if len(own) < min_match:
+                self.short[tuple(own)].append(key)
+                continue
             ids = np.array([self.words.setdefault(w, len(self.words) + 1) for w in own], np.uint64)
-            size = min(min_match, len(ids))
-            hashes = window_hashes(ids, size)
+            hashes = window_hashes(ids, min_match)
             for h in set(hashes.tolist()):
-                self.seeds[size, h].append(len(self.items))
-            self.items.append((key, ids, size, hashes))
-        # items shorter than a seed are looked up by their own length
-        self.sizes = {s: np.array(sorted({h for k, h in self.seeds if k == s}), np.uint64) for s in {k for k, _ in self.seeds}}
+                self.seeds[h].append(len(self.items))
+            self.items.append((key, ids, hashes))
+        self.known = np.array(sorted(self.seeds), np.uint64)
 
     def hits(self, text: str | None):
         """(item id, coverage, tiles, longest tile) of the items whose coverage is reached."""
         get = self.words.get
-        ids = np.array([get(w, 0) for w in tokens(text)], np.uint64)
+        words, size = tokens(text), self.min_match
+        # an item below the length of a seed says too little: only a document that is the item is a leak
+        found = [(key, 1.0, 1, len(words)) for key in self.short.get(tuple(words), ())] if len(words) < size else []
+        ids = np.array([get(w, 0) for w in words], np.uint64)
+        own = window_hashes(ids, size)
         candidates = set()
-        for size, known in self.sizes.items():
-            own = window_hashes(ids, size)
-            for h in set(own[among(own, known)].tolist()):
-                candidates.update(self.seeds[size, h])
-        found = []
+        if len(self.known):
+            for h in set(own[among(own, self.known)].tolist()):
+                candidates.update(self.seeds[h])
         for c in sorted(candidates):
-            key, item, size, hashes = self.items[c]
+            key, item, hashes = self.items[c]
             # words under shared seeds bound the coverage from above
-            shared = np.flatnonzero(np.isin(hashes, window_hashes(ids, size)))
+            shared = np.flatnonzero(np.isin(hashes, own))
             under = np.zeros(len(item) + 1, np.int64)
             np.add.at(under, shared, 1)
             np.add.at(under, shared + size, -1)
@@ -134,10 +139,10 @@ class Items:
 
 
 def blocks(benchmark: DataFrame, key: str, text: str, block: int):
-    """Benchmark rows in lists of about ``block``: split by hash, so every row is in one list."""
+    """Benchmark rows in lists of about ``block`` rows and BLOCK_CHARS characters: split by hash, so every row is in one list."""
     rows = benchmark.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col("t").isNotNull())
-    n = rows.count()
-    parts = max(1, -(-n // block))
+    n, chars = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("t")), F.lit(0))).first()
+    parts = max(1, -(-n // block), -(-chars // BLOCK_CHARS))
     for p in range(parts):
         own = rows if parts == 1 else rows.where(F.pmod(F.xxhash64("k", "t"), F.lit(parts)) == p)
         yield [(r["k"], r["t"]) for r in own.collect()]
@@ -149,7 +154,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     coverage, n_tiles, longest. Documents without such an item have no row.
 
     Null and empty documents and items match nothing. Repeated rows on either side give a row each.
-    An item shorter than ``min_match`` words must occur whole.
+    An item shorter than ``min_match`` words is covered only by a document of the same words and no others.
     """
     kind, item_kind = docs.schema[key].dataType.simpleString(), benchmark.schema[item_key].dataType.simpleString()
     schema = f"id {kind}, item {item_kind}, coverage double, n_tiles long, longest long"

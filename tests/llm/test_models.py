@@ -250,6 +250,52 @@ def greedy_tiles(a, b, least):
         total += n
 
 
+def test_short_items_drop_no_documents(spark):
+    docs = spark.createDataFrame([(1, "yes we can do it"), (2, "no yes"), (3, "YES!"), (4, "42 is the answer"), (5, "one two three four five"),
+                                  (6, "zero one two three four five six")], "doc_id long, text string")
+    items = spark.createDataFrame([(0, "yes"), (1, "42"), (2, "one two three four"), (3, "one two three four five")], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id, r.coverage) for r in decontaminate.find_leaks(docs, items).collect()) == [(3, 0, 1.0), (5, 3, 1.0), (6, 3, 1.0)]
+    assert sorted(r.doc_id for r in decontaminate.drop_leaks(docs, items).collect()) == [1, 2, 4]
+
+
+def test_coverage_equals_brute_force(spark):
+    """Greedy tiling done plainly: the longest common runs first, those of a length in order of their places."""
+    rng = random.Random(31)
+    say = lambda k: [rng.choice("abcdefgh") for _ in range(k)]
+    items = {i: say(rng.randint(5, 14)) for i in range(8)}
+    docs = {d: say(rng.randint(0, 60)) for d in range(25)}
+    docs |= {100 + i: say(3) + w[6:] + say(2) + w[:6] for i, w in items.items()}
+
+    def plain(a, b, least):
+        used_a, used_b, tiles = set(), set(), []
+        while True:
+            runs = []
+            for i in range(len(a)):
+                for j in range(len(b)):
+                    n = 0
+                    while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and i + n not in used_a and j + n not in used_b:
+                        n += 1
+                    runs.append((n, i, j))
+            longest = max((n for n, _, _ in runs), default=0)
+            if longest < least:
+                return tiles
+            for n, i, j in sorted(runs):
+                if n == longest and not used_a.intersection(range(i, i + n)) and not used_b.intersection(range(j, j + n)):
+                    used_a.update(range(i, i + n))
+                    used_b.update(range(j, j + n))
+                    tiles.append(n)
+
+    want = set()
+    for d, text in docs.items():
+        for k, item in items.items():
+            tiles = plain(item, text, 5)
+            if sum(tiles) >= 0.7 * len(item):
+                want.add((d, k, round(sum(tiles) / len(item), 9), len(tiles), max(tiles)))
+    got = decontaminate.find_leaks(spark.createDataFrame([(d, " ".join(t)) for d, t in docs.items()], "doc_id long, text string"),
+                                   spark.createDataFrame([(k, " ".join(t)) for k, t in items.items()], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, round(r.coverage, 9), r.n_tiles, r.longest) for r in got} == want and len(want) >= 5
+
+
 def test_tiling_equals_brute_force():
     rng = random.Random(4)
     for _ in range(60):
@@ -282,7 +328,8 @@ def test_leaks(spark):
     doc(items[6][1] + items[7][1], 6, 7)
     doc(items[8][1][:len(items[8][1]) // 2])                       # half of an item is no leak
     doc([w for i, w in enumerate(items[9][1]) if i % 4])           # no run of five words is left
-    doc("a tiny item here", 103)
+    doc("a tiny item here")                                        # a short item is only matched whole
+    doc("Tiny, ITEM here!", 103)
     doc(say(5000) + items[10][1] + say(5000), 10)
     doc(items[0][1], 0)
     doc(None)
@@ -299,3 +346,33 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(frame.limit(0), benchmark).count() == 0
     assert decontaminate.find_leaks(frame, benchmark.limit(0)).count() == 0
     assert decontaminate.drop_leaks(frame, benchmark.limit(0)).count() == len(docs)
+
+
+def test_long_pages_are_labelled_like_short_ones(spark):
+    """The size of pages is no switch: a long comment in each changes no text."""
+    rows = [(i, u, h, t) for i, u, h, t in pages(30)]
+    long = [(i, u, h + "<!-- " + "x" * 50_001 + " -->", t) for i, u, h, t in rows]
+    schema = "page_id long, url string, html string, text string"
+    texts = [sorted((r.page_id, r.text) for r in html_extract.extract_main_text(spark.createDataFrame(x, schema)).collect()) for x in (rows, long)]
+    assert texts[0] == texts[1] and all(t for _, t in texts[0])
+
+
+def test_training_sample_is_bounded_and_whole(spark):
+    rows = [(i, f"<p>page {i} " + "word " * (10 + i % 7)) for i in range(400)] + [(1000 + i, "<p>hot page") for i in range(300)] + [(2000, None), (2001, "")]
+    df = spark.createDataFrame(rows, "page_id long, html string").repartition(5)
+    texts = {h for _, h in rows if h}
+    got = html_extract.sample_pages(df, "html", 20, 100_000)
+    assert len(got) == len(set(got)) == 20 and set(got) <= texts
+    assert got == html_extract.sample_pages(df.repartition(2), "html", 20, 100_000)
+    small = html_extract.sample_pages(df, "html", 20, 200)
+    assert 1 <= len(small) < 20 and sum(map(len, small)) <= 200
+    assert len(html_extract.sample_pages(df, "html", 20, 3)) == 1                    # none fits: one page all the same
+    assert html_extract.sample_pages(df.where("page_id >= 1000"), "html", 20, 1000) == ["<p>hot page"]
+    assert html_extract.sample_pages(df.limit(0), "html", 20, 1000) == []
+
+
+def test_nothing_to_learn_from_falls_back_to_structure(spark, monkeypatch):
+    monkeypatch.setattr(html_extract, "sample_pages", lambda *a: [])
+    html = "<nav><a href=x>menu</a></nav><article><p>the text</p></article><footer>foot</footer>"
+    got = html_extract.extract_main_text(spark.createDataFrame([(1, "u", html), (2, "u", "<!-- -->")], "page_id long, url string, html string"))
+    assert sorted((r.page_id, r.text) for r in got.collect()) == [(1, "the text"), (2, "")]
