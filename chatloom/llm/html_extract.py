@@ -24,8 +24,10 @@ from chatloom.llm.html_blocks import Block, blocks
 
 #: at most so many pages train the model, the first in hash order
 MAX_TRAIN_PAGES = 240
-#: longer pages are not used for training (all are labelled): bounds what reaches the driver
-MAX_TRAIN_CHARS = 50_000
+#: the training pages have so many characters in all, at most; a page is taken whole or not. Bounds what reaches the driver
+MAX_TRAIN_CHARS = 4_000_000
+#: pages that are looked at per page that trains: the others' hashes are out of the running before anything moves
+LOOK = 8
 PATH, LEAF, WORDS, BUCKETS, HIDDEN = 48, 24, 24, 4096, 16
 
 MAIN = frozenset("article main".split())
@@ -101,8 +103,8 @@ class BiLSTM:
             self.p |= {f"{d}x": init(FEATURES, 4 * HIDDEN), f"{d}h": init(HIDDEN, 4 * HIDDEN), f"{d}0": bias}
         self.p |= {"out": init(2 * HIDDEN, 1), "skip": init(FEATURES, 1) * 0.1, "c": np.zeros(1, np.float32)}
 
-    def scan(self, d: str, x: np.ndarray, mask: np.ndarray):
-        """x (T, B, F), mask (T, B): states (T, B, H) and what the backward pass needs."""
+    def scan(self, d: str, x: np.ndarray, mask: np.ndarray, learn: bool = True):
+        """x (T, B, F), mask (T, B): states (T, B, H) and, to ``learn``, what the backward pass needs."""
         steps, batch, _ = x.shape
         gates_x = x @ self.p[d + "x"] + self.p[d + "0"]
         h = c = np.zeros((batch, HIDDEN), np.float32)
@@ -114,15 +116,16 @@ class BiLSTM:
             new = f * c + i * u
             tanh = np.tanh(new)
             m = mask[t][:, None]
-            memory.append((t, h, c, i, f, o, u, tanh, m))
+            if learn:
+                memory.append((t, h, c, i, f, o, u, tanh, m))
             # past its end (before its start) a sequence keeps its state
             h, c = m * (o * tanh) + (1 - m) * h, m * new + (1 - m) * c
             states[t] = h
         return states, memory
 
-    def logits(self, x, mask):
-        hf, mf = self.scan("f", x, mask)
-        hb, mb = self.scan("b", x, mask)
+    def logits(self, x, mask, learn=True):
+        hf, mf = self.scan("f", x, mask, learn)
+        hb, mb = self.scan("b", x, mask, learn)
         both = np.concatenate([hf, hb], axis=2)
         return (both @ self.p["out"] + x @ self.p["skip"] + self.p["c"])[:, :, 0], both, mf, mb
 
@@ -176,7 +179,7 @@ class BiLSTM:
             size = max(1, cells // max(1, len(pages[order[0]])))
             own, order = order[:size], order[size:]
             x, mask, _ = pad([(pages[i], None) for i in own])
-            z = self.logits(x, mask)[0]
+            z = self.logits(x, mask, learn=False)[0]
             for k, i in enumerate(own):
                 out[i] = z[:len(pages[i]), k] > 0
         return out
@@ -245,7 +248,8 @@ def variant(page: list[Block], labels: list[bool], rng: random.Random) -> tuple[
     return [b for b, _ in rows], [y for _, y in rows]
 
 
-def train(pages: list[str], copies: int = 3, seed: int = 8) -> BiLSTM:
+def train(pages: list[str], copies: int = 3, seed: int = 8) -> BiLSTM | None:
+    """None if no page has a block to learn from."""
     rng = random.Random(seed)
     data = []
     for page in pages:
@@ -261,31 +265,56 @@ def train(pages: list[str], copies: int = 3, seed: int = 8) -> BiLSTM:
                     own = x[:, PATH + LEAF:PATH + LEAF + WORDS]
                     own[:] = 0.0 if rng.random() < 0.5 else own[rng.sample(range(len(own)), len(own))] * rng.choice([0.5, 1.0, 3.0])
                 data.append((x, np.array(y, np.float32)))
-    return BiLSTM().fit(data) if data else BiLSTM()
+    return BiLSTM().fit(data) if data else None
+
+
+def sample_pages(pages: DataFrame, html: str, most: int, chars: int) -> list[str]:
+    """At most ``most`` different pages of ``chars`` characters in all: in hash order those that still fit, or the
+    shortest one looked at if none fits. Pages are thinned by their hash first and only the hashes and sizes
+    of ``most`` of them come to the driver before the chosen texts do."""
+    full = pages.where(F.length(html) > 0).select(F.xxhash64(html).alias("h"), F.length(html).alias("n"), F.col(html).alias("html"))
+    total, scale = full.count(), 1 << 30
+    share = min(scale, LOOK * most * scale // max(1, total) + 1)
+    looked = []
+    while total and not looked:                           # many copies of few pages: none may have a low hash
+        thin = full.where(F.pmod("h", F.lit(scale)) < share)
+        looked = thin.groupBy("h").agg(F.max("n").alias("n")).orderBy("h").limit(most).collect()
+        if share == scale:
+            break
+        share = min(scale, share * 64)
+    chosen, size = [], 0
+    for row in looked:
+        if size + row["n"] <= chars:
+            chosen.append(row["h"])
+            size += row["n"]
+    if looked and not chosen:
+        chosen = [min(looked, key=lambda r: (r["n"], r["h"]))["h"]]
+    if not chosen:
+        return []
+    texts = full.where(F.col("h").isin(chosen)).groupBy("h").agg(F.min("html").alias("html"))
+    return sorted(r["html"] for r in texts.select("html").collect())
 
 
 def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
-                      max_train_pages: int = MAX_TRAIN_PAGES) -> DataFrame:
+                      max_train_pages: int = MAX_TRAIN_PAGES, max_train_chars: int = MAX_TRAIN_CHARS) -> DataFrame:
     """One row per page: key, url, text (main blocks joined by a line break), n_chars (its code points).
 
     Null and empty pages have an empty text. Repeated pages get equal texts. The sample is taken by
-    the hash of the page, so it does not depend on the layout of the table.
+    the hash of the page, so it does not depend on the layout of the table. If no sampled page has a block to
+    learn from, blocks are labelled by the structure that would have labelled the training pages.
     """
-    size = F.length(html)
-    usable = pages.where(F.col(html).isNotNull() & (size > 0) & (size <= MAX_TRAIN_CHARS))
-    sample = (usable.select(F.xxhash64(html).alias("h"), F.col(html).alias("html"))
-              .orderBy("h").limit(max_train_pages).select("html"))
-    weights = train(sorted({r["html"] for r in sample.collect()})).p
+    model = train(sample_pages(pages, html, max_train_pages, max_train_chars))
+    weights = model.p if model else None
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batches):
         model = BiLSTM()
-        model.p = weights
+        model.p = weights or model.p
         for b in batches:
             for at in range(0, len(b["id"]), 512):
                 parsed = [blocks(p) for p in b["html"][at:at + 512]]
                 full = [p for p in parsed if p]
-                flags = iter(model.label([vectors(p) for p in full]))
+                flags = iter(model.label([vectors(p) for p in full]) if weights else [[is_main(x.path) for x in p] for p in full])
                 texts = ["\n".join(x.text for x, keep in zip(p, next(flags)) if keep) if p else "" for p in parsed]
                 yield {"id": b["id"][at:at + 512], "url": b["url"][at:at + 512], "text": texts, "n_chars": [len(t) for t in texts]}
 
