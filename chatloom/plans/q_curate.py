@@ -4,9 +4,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chatloom.operators import curate as B
+from chatloom.operators import vectors as V
+from chatloom.operators.generate import stand_in_embedding
+from chatloom.plans import sql_gen as S
 from chatloom.plans.registry import register
 from chatloom.plans.sql_views import with_views
-from chatloom.sources.tables import document_view, load, recipe_view
+from chatloom.sources.tables import document_view, load, recipe_view, training_view
 
 _NORM = "trim(regexp_replace(lower(text), '[^[:alnum:]_]+', ' ', 'g'))"
 
@@ -70,3 +73,32 @@ def corpus_profile(spark, sf_dir):
     out = B.corpus_profile(d, [500, 8000], by="source")
     return out.select("source", "n_docs", F.col("min_bytes").cast("long").alias("min_bytes"), "avg_bytes",
                       F.col("max_bytes").cast("long").alias("max_bytes"), "over_500", "over_8000")
+
+
+def _alike_sql(vectors: str, key: str, threshold: float) -> str:
+    """CTEs: every pair of ``vectors`` (key, v) compared; ``kept`` names the least key that pairs lead to."""
+    return f"""{vectors}, pair AS (
+  SELECT a.{key} AS x, b.{key} AS y FROM vec a JOIN vec b ON a.{key} <> b.{key} WHERE list_cosine_similarity(a.v, b.v) >= {threshold} - 1e-9
+), reach(x, y) AS (
+  SELECT {key}, {key} FROM vec UNION SELECT reach.x, pair.y FROM reach JOIN pair ON pair.x = reach.y
+), kept AS (
+  SELECT x AS {key}, min(y) AS keep_id FROM reach GROUP BY x
+)"""
+
+
+@register("near_vectors", "WITH RECURSIVE " + _alike_sql(
+    "vec AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings)", "vec_id", 0.9) + " SELECT vec_id, keep_id FROM kept")
+def near_vectors(spark, sf_dir):
+    """B1, embedding variant: look-alikes by cosine of at least 0.9."""
+    return V.near_vectors(load(spark, sf_dir, "embeddings"))
+
+
+@register("unique_conversations", S.with_ctes(S.base_ctes()).replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + ", " + _alike_sql(
+    f"""asked AS (
+  SELECT conversation, arg_min(content, position) AS question FROM training WHERE revision = 'base' AND role = 'user' GROUP BY conversation
+), vec AS (SELECT conversation, {S.embedding_sql('question')} AS v FROM asked)""", "conversation", 0.99) + """
+SELECT conversation, position, content, role, trainer, 'unique' AS revision, source FROM training
+WHERE revision = 'base' AND conversation NOT IN (SELECT conversation FROM kept WHERE conversation <> keep_id)""")
+def unique_conversations(spark, sf_dir):
+    """B1 on training rows: conversations that ask alike (cosine of their first questions) go, the others come out under a new revision."""
+    return V.deduplicate_training(training_view(spark, sf_dir), stand_in_embedding, "base", "unique", threshold=0.99)
