@@ -182,9 +182,8 @@ def time_answer(pools: Pools, key: Column, prep: Column, total: Column) -> Colum
             .when(t_ok, fmt(pools.pick("tell_total", key), t_txt)))
 
 
-def recipe_chat(inputs: DataFrame, model: Model = STAND_IN, pools: Pools = DEFAULT_POOLS,
-                trainer: str = "recipe", revision: str = "base", errors: bool = False) -> DataFrame:
-    """T7-T12 in one conversation per recipe: title request -> card; nutrition; cuisine;
+def recipe_messages(inputs: DataFrame, model: Model = STAND_IN, pools: Pools = DEFAULT_POOLS) -> DataFrame:
+    """T7-T12 in one message array per recipe: title request -> card; nutrition; cuisine;
     category; time; and last the summarized secrets."""
     r = recipe_rounds(inputs, model, pools)
     key = F.col("document")
@@ -209,7 +208,21 @@ def recipe_chat(inputs: DataFrame, model: Model = STAND_IN, pools: Pools = DEFAU
         F.when(has_s, message("user", pools.pick("ask_tips", key))),
         F.when(has_s, message("assistant", F.col("summary"))),
     ))
-    return explode_messages(r.withColumn("messages", msgs), trainer, revision, "document", errors=errors)
+    return r.withColumn("messages", msgs)
+
+
+def recipe_chat(inputs: DataFrame, model: Model = STAND_IN, pools: Pools = DEFAULT_POOLS,
+                trainer: str = "recipe", revision: str = "base", errors: bool = False) -> DataFrame:
+    """T7-T12 as training rows, one conversation per recipe."""
+    return explode_messages(recipe_messages(inputs, model, pools), trainer, revision, "document", errors=errors)
+
+
+def question_answers(chats: DataFrame, question: Column, source: str = "document", messages: str = "messages") -> DataFrame:
+    """(source, question, answer): the user message that is ``question`` and the message after it, out of the
+    message array itself, so the chat is evaluated once."""
+    asked = chats.select(source, messages, question.alias("_question"), F.posexplode_outer(messages).alias("_at", "_m"))
+    return (asked.where((F.col("_m.role") == "user") & (F.col("_m.content") == F.col("_question")))
+            .select(source, F.col("_question").alias("question"), F.get(messages, F.col("_at") + 1)["content"].alias("answer")))
 
 
 # ---------------------------------------------------------------------------------------------

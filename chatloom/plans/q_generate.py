@@ -83,11 +83,7 @@ WHERE q.role = 'user' AND q.content = {S.pick(user_pick_slot, 'q.source')}"""
 
 
 def _pair(spark, sf_dir, slot: str):
-    rows = _rc_rows(spark, sf_dir)
-    q = rows.where((F.col("role") == "user") & (F.col("content") == _POOL.pick(slot, F.col("source"))))
-    a = rows.select("conversation", (F.col("position") - 1).alias("position"), F.col("content").alias("answer"))
-    return q.join(a, ["conversation", "position"]).select(F.col("source").alias("document"),
-                                                          F.col("content").alias("question"), "answer")
+    return G.question_answers(G.recipe_messages(_rc_inputs(spark, sf_dir)), _POOL.pick(slot, F.col("document")))
 
 
 @register("recipe_nutrition_qa", _pair_sql("ask_nutrition"))
