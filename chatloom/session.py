@@ -79,6 +79,13 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: a small frame that several branches read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     try:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
