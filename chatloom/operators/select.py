@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from chatloom.schemas import TRAINING_COLUMNS, md5_key
 from chatloom.session import cut_lineage
+from chatloom.sources.done_index import DoneIndex
 
 
 def done_sources(training: DataFrame, trainer: str, revision: str, as_col: str) -> DataFrame:
@@ -21,25 +22,31 @@ def done_sources(training: DataFrame, trainer: str, revision: str, as_col: str)
             .select(F.col("source").alias(as_col)))
 
 
-def pending_recipes(recipes: DataFrame, documents: DataFrame, training: DataFrame, trainer: str,
+def not_done(inputs: DataFrame, training: DataFrame | DoneIndex, trainer: str, revision: str, key: str) -> DataFrame:
+    """Inputs without a training row of (trainer, revision), by the rows themselves or by the bucketed index of a store."""
+    if isinstance(training, DoneIndex):
+        return training.pending(inputs, revision, trainer, key)
+    return inputs.join(done_sources(training, trainer, revision, key), key, "left_anti")
+
+
+def pending_recipes(recipes: DataFrame, documents: DataFrame, training: DataFrame | DoneIndex, trainer: str,
                     revision: str) -> DataFrame:
     """Recipes joined with their document, without any training row of (trainer, revision).
     The recipe id comes out as ``reid``; document columns keep their names."""
     docs = documents.select(F.col("id").alias("document"), "title", "text", "author",
                             F.col("source").alias("doc_source"), "subtitle")
     r = recipes.drop("title", "unique_title").withColumnRenamed("id", "reid")
-    return (r.join(docs, "document")
-            .join(done_sources(training, trainer, revision, "document"), "document", "left_anti"))
+    return not_done(r.join(docs, "document"), training, trainer, revision, "document")
 
 
-def pending_articles(documents: DataFrame, recipe_documents: DataFrame, training: DataFrame, trainer: str,
+def pending_articles(documents: DataFrame, recipe_documents: DataFrame, training: DataFrame | DoneIndex, trainer: str,
                      revision: str, min_bytes: int | None = 8000) -> DataFrame:
     """Documents that are not recipes, not done, and longer than ``min_bytes`` UTF-8 bytes."""
     d = documents
     if min_bytes is not None:
         d = d.where(F.octet_length("text") > min_bytes)
-    return (d.join(recipe_documents.select(F.col("document").alias("id")), "id", "left_anti")
-            .join(done_sources(training, trainer, revision, "id"), "id", "left_anti"))
+    articles = d.join(recipe_documents.select(F.col("document").alias("id")), "id", "left_anti")
+    return not_done(articles, training, trainer, revision, "id")
 
 
 def pending_counts(**pending: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 """Pending work, sampling, sentinels, idempotence, the stage runner."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from chatloom.operators import complete as C
@@ -12,6 +14,7 @@ from chatloom.plans import sql_gen as S
 from chatloom.schemas import TRAINING
 from chatloom.session import scratch_path
 from chatloom.sources.commits import BatchStore
+from chatloom.sources.done_index import DoneIndex
 from chatloom.sources.tables import (BASE_REVISION, document_view, recipe_document_view, recipe_flags,
                                      recipe_view, training_view)
 
@@ -40,6 +43,26 @@ def pending_articles(spark, sf_dir):
     return pending_article_inputs(spark, sf_dir).select("id", "title", F.octet_length("text").cast("long").alias("n_bytes"))
 
 
+_BY_INDEX = S.base_ctes(("pr", S.pending_recipes_view("evaluator")), ("ps", S.pending_articles_view()))
+
+
+@register("pending_by_index", S.with_ctes(_BY_INDEX) + """
+SELECT 'evaluator' AS trainer, CAST(document AS BIGINT) AS source FROM pr
+UNION ALL SELECT 'summarizer', CAST(id AS BIGINT) FROM ps""")
+def pending_by_index(spark, sf_dir):
+    """S9/W1, W2 over a store of two commits, one of them in the done-index: the inputs that are pending."""
+    store = BatchStore(spark, scratch_path(spark, "runs"), {"training": (TRAINING, ["revision", "trainer"])})
+    index = DoneIndex(store, f"done_{uuid.uuid4().hex[:12]}")
+    stored = training_view(spark, sf_dir)
+    store.write("first", {"training": stored.where("source % 2 = 0")})
+    index.refresh()
+    store.write("second", {"training": stored.where("source % 2 <> 0")})
+    recipes = pending_recipe_inputs(spark, sf_dir, "evaluator", training=index)
+    articles = pending_article_inputs(spark, sf_dir, training=index)
+    return (recipes.select(F.lit("evaluator").alias("trainer"), F.col("document").cast("long").alias("source"))
+            .unionByName(articles.select(F.lit("summarizer").alias("trainer"), F.col("id").cast("long").alias("source"))))
+
+
 @register("pending_counts", S.with_ctes(S.base_ctes(
     ("pe", S.pending_recipes_view("evaluator")), ("pr", S.pending_recipes_view("recipe")),
     ("ps", S.pending_articles_view()))) + """
