@@ -7,9 +7,12 @@ from chatloom.functions.chat import message
 from chatloom.operators import complete as C
 from chatloom.operators import generate as G
 from chatloom.operators import prompts as P
+from chatloom.operators.rotation import ROTATION, Rotation
 from chatloom.plans import sql_gen as S
 from chatloom.plans.q_select import pending_article_inputs, pending_recipe_inputs
 from chatloom.plans.registry import register
+from chatloom.session import scratch_path
+from chatloom.sources.commits import BatchStore
 from chatloom.sources.tables import load, recipe_view
 
 _POOL = G.DEFAULT_POOLS
@@ -29,6 +32,22 @@ def round_robin(spark, sf_dir):
     return _POOL.assign(r, "ask_rating", "id", "phrase", mode="rank")
 
 
+@register("round_robin_runs", S.with_ctes(S.base_ctes()) + f"""
+SELECT id, {_list_sql(P.POOLS['ask_rating'])}[(row_number() OVER (ORDER BY id % 2, id) - 1) % {len(P.POOLS['ask_rating'])} + 1]
+         AS phrase
+FROM recipe""")
+def round_robin_runs(spark, sf_dir):
+    """T3 across runs: the recipes of even ids, then, in a second run, those of odd ids. The second run goes on where the
+    first one stopped, and the first one is run again after it."""
+    store = BatchStore(spark, scratch_path(spark, "turns"), {"phrase": ("id long, phrase string", []), "rotation": (ROTATION, [])})
+    recipes = recipe_view(spark, sf_dir).select("id")
+    for run in (0, 1, 0):
+        turn = Rotation(store, run)
+        rows = turn.assign(recipes.where(F.col("id") % 2 == run), _POOL, "ask_rating", "id", "phrase")
+        store.write(run, {"phrase": rows, "rotation": turn.frame()})
+    return store.read("phrase")
+
+
 @register("round_robin_hash", S.with_ctes(S.base_ctes()) + f"""
 SELECT id, {S.pick('ask_rating', 'id')} AS phrase FROM recipe""")
 def round_robin_hash(spark, sf_dir):
