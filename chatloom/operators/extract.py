@@ -72,6 +72,10 @@ def doc_key(title: Column) -> Column:
     return F.conv(F.substring(F.md5(title), 1, 15), 16, 10).cast("long")
 
 
+#: why ``parse_pages`` rejects a page
+PAGE_REASONS = ["no_script", "json", "missing_headline", "missing_author", "bad_number", "bad_duration", "empty_text"]
+
+
 def parse_pages(pages: DataFrame, spec: PageSpec = PageSpec()) -> DataFrame:
     html = F.col("html")
     # The parsed JSON goes through a generator (one element, outer): its output is computed once

@@ -240,17 +240,29 @@ def parse_questions(answers: DataFrame, text: str = "answer", key: str = "source
     matches words only. A kept line without a list prefix is dropped (``strict`` fails instead).
     Output: key, ordinal (the line's 0-based number in the answer), question.
     """
+    judged = question_lines(answers, text, key, whole_words, banned)
+    kept = judged.where(F.col("reason").isNull() | (F.col("reason") == "no_prefix") if strict else F.col("reason").isNull())
+    if strict:
+        kept = kept.withColumn("question", F.when(F.col("reason").isNull(), F.col("question"))
+                               .otherwise(F.raise_error(F.concat(F.lit("unnumbered question line: "), F.col("question")))))
+    return kept.drop("reason")
+
+
+#: why ``question_lines`` leaves a line out
+LINE_REASONS = ["banned_word", "no_prefix"]
+
+
+def question_lines(answers: DataFrame, text: str = "answer", key: str = "source", whole_words: bool = False,
+                   banned: list[str] = P.BANNED_QUESTION_WORDS) -> DataFrame:
+    """T14 with every line: key, ordinal, question (a line that is left out stays as it is) and ``reason``, null for a
+    line that is kept. The rows without a reason are ``parse_questions``; ``counted.Counted`` counts the others."""
     words = "|".join(banned)
     pattern = rf"\b(?:{words})\b" if whole_words else f"(?:{words})"
     lines_ = answers.select(F.col(key), F.posexplode(splitlines(F.col(text))).alias("_n", "_line"))
-    kept = lines_.where(~F.col("_line").rlike(pattern))
-    if strict:
-        kept = kept.withColumn("_line", F.when(F.col("_line").rlike(r"^[\d.-]* "), F.col("_line"))
-                               .otherwise(F.raise_error(F.concat(F.lit("unnumbered question line: "), F.col("_line")))))
-    else:
-        kept = kept.where(F.col("_line").rlike(r"(?s)^[\d.-]* "))
-    return kept.select(F.col(key), F.col("_n").cast("int").alias("ordinal"),
-                       F.regexp_extract("_line", r"(?s)^[\d.-]* (.*)", 1).alias("question"))
+    reason = F.when(F.col("_line").rlike(pattern), "banned_word").when(~F.col("_line").rlike(r"(?s)^[\d.-]* "), "no_prefix")
+    judged = lines_.select(F.col(key), F.col("_n").cast("int").alias("ordinal"), "_line", reason.alias("reason"))
+    return judged.select(key, "ordinal", F.when(F.col("reason").isNull(), F.regexp_extract("_line", r"(?s)^[\d.-]* (.*)", 1))
+                         .otherwise(F.col("_line")).alias("question"), "reason")
 
 
 def _diverse_group(keep: int):

@@ -16,8 +16,9 @@ from chatloom.functions.text import key_values, lines
 from chatloom.operators import extract as D
 from chatloom.plans.registry import register
 from chatloom.plans.sql_views import VIEWS
-from chatloom.session import default_parallelism
+from chatloom.session import default_parallelism, scratch_path
 from chatloom.sources.tables import load, recipe_view
+from chatloom.streaming import ingest as I
 
 SPEC = D.PageSpec()
 PARA3 = "Enjoy & share."
@@ -190,6 +191,15 @@ def quarantine(spark, sf_dir):
     return _extracted(spark, sf_dir).quarantine
 
 
+@register("quarantine_counts", _EXPECTED + """SELECT 'page' AS what, reason, count(*) AS n FROM ex WHERE reason IS NOT NULL GROUP BY reason
+UNION ALL SELECT 'document', 'kept', count(*) FROM good""")
+def quarantine_counts(spark, sf_dir):
+    """What an ingested batch left out, by reason, counted while it was written and committed with it."""
+    store = I.open_store(spark, scratch_path(spark, "ingested"))
+    I.ingest_batch(store, recipe_pages(spark, sf_dir), 0, SPEC)
+    return store.read("counts")
+
+
 @register("classify_page", _EXPECTED + """SELECT source, is_recipe FROM pg WHERE NOT (id % 31 = 0 OR (id % 19 = 0 AND id % 17 <> 0))""")
 def classify_page(spark, sf_dir):
     return _parsed(spark, sf_dir).where(F.col("meta").isNotNull()).select("source", "is_recipe")

@@ -7,6 +7,7 @@ from chatloom.functions.chat import message
 from chatloom.operators import complete as C
 from chatloom.operators import generate as G
 from chatloom.operators import prompts as P
+from chatloom.operators.counted import COUNTS, Counted
 from chatloom.operators.rotation import ROTATION, Rotation
 from chatloom.plans import sql_gen as S
 from chatloom.plans.q_select import pending_article_inputs, pending_recipe_inputs
@@ -154,6 +155,27 @@ def parse_questions(spark, sf_dir):
     return G.parse_questions(r.select(F.col("id").alias("source"), F.col("question_list").alias("answer")))
 
 
+_ALL_LINES = """SELECT id AS source, n - 1 AS ordinal, ls[n] AS line
+  FROM (SELECT id, ls, generate_subscripts(ls, 1) AS n
+        FROM (SELECT id, CASE WHEN question_list = '' THEN CAST([] AS VARCHAR[])
+                              ELSE string_split(regexp_replace(question_list, '\\n$', ''), chr(10)) END AS ls FROM ar1))"""
+
+
+@register("question_line_counts", S.with_ctes([*_AR, ("all_lines", _ALL_LINES)]) + f"""
+SELECT 'question_line' AS what,
+       CASE WHEN regexp_matches(line, '{"|".join(P.BANNED_QUESTION_WORDS)}') THEN 'banned_word'
+            WHEN regexp_matches(line, '^[0-9.-]* ') THEN 'kept' ELSE 'no_prefix' END AS reason, count(*) AS n
+FROM all_lines GROUP BY ALL""")
+def question_line_counts(spark, sf_dir):
+    """The lines that were dropped, by reason, counted while the questions are written and committed with them."""
+    r = _article_rounds(spark, sf_dir).where(F.col("question_list").isNotNull())
+    judged = G.question_lines(r.select(F.col("id").alias("source"), F.col("question_list").alias("answer")))
+    store = BatchStore(spark, scratch_path(spark, "lines"), {"question": ("source long, ordinal int, question string", []), "counts": (COUNTS, [])})
+    lines = Counted("question_line", G.LINE_REASONS)
+    store.write("run", {"question": lines.watch(judged).where("reason IS NULL"), "counts": lambda: lines.frame(spark)})
+    return store.read("counts").where("n > 0")
+
+
 @register("diverse_questions", S.with_recursive(S.diverse_ctes("embeddings", "label", "vec_id", "embedding", 6)) + """
 SELECT CAST(grp AS BIGINT) AS label, CAST(ord AS BIGINT) AS vec_id FROM dv_kept""")
 def diverse_questions(spark, sf_dir):

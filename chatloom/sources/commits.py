@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,15 +95,18 @@ class BatchStore:
             parts[name] = part
         return parts
 
-    def write(self, batch: int | str, frames: dict[str, DataFrame], replaces: Iterable[str] = ()) -> None:
-        """All tables of a batch, or nothing. The same batch written again replaces itself."""
+    def write(self, batch: int | str, frames: dict[str, DataFrame | Callable[[], DataFrame]], replaces: Iterable[str] = ()) -> None:
+        """All tables of a batch, or nothing. The same batch written again replaces itself. A table that is known only
+        when the others are written, such as what was counted meanwhile, is given as a function."""
         batch = str(batch)
         if not NAME.fullmatch(batch):
             raise ValueError(f"a batch is named by letters, digits, _, =, + and -: {batch!r}")
         unknown = set(frames) - set(self.tables)
         if unknown:
             raise ValueError(f"unknown tables: {sorted(unknown)}")
-        parts = self.stage(frames)
+        later = {t: f for t, f in frames.items() if callable(f)}
+        parts = self.stage({t: f for t, f in frames.items() if t not in later})
+        parts |= self.stage({t: f() for t, f in later.items()})
         self._publish(batch, {"batch": batch, "tables": parts, "replaces": sorted(set(map(str, replaces)) - {batch})})
 
     def read(self, table: str, without: Iterable[int | str] = ()) -> DataFrame:

@@ -8,13 +8,17 @@ together, and a batch that is retried after a failure replaces its own output in
 A title is stored once: of a batch's pages with one title the first source counts; the others, and pages whose
 title an earlier batch stored, go to the quarantine. The stored titles are an index in buckets, of which a
 batch reads those of its own titles.
+
+How many documents a batch stored, and how many pages it left out for each reason, is counted while they are written
+and committed with them (``counts``).
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.operators.extract import PageSpec, parse_pages, split_parsed
+from chatloom.operators.counted import COUNTS, Counted
+from chatloom.operators.extract import PAGE_REASONS, PageSpec, parse_pages, split_parsed
 from chatloom.schemas import DOCUMENT, RECIPE
 from chatloom.session import cut_lineage
 from chatloom.sources.commits import BatchStore
@@ -22,6 +26,8 @@ from chatloom.sources.store import assert_no_orphans, split_empty
 from chatloom.sources.titles import INDEX, first_titles, index_rows
 
 QUARANTINE = "source string, reason string"
+#: why a page goes to the quarantine: before it is parsed, by the parser, or by its title
+REASONS = ["empty", *PAGE_REASONS, "duplicate_title"]
 
 
 def page_stream(spark: SparkSession, path: str, pattern: str = "*.html") -> DataFrame:
@@ -33,7 +39,7 @@ def page_stream(spark: SparkSession, path: str, pattern: str = "*.html") -> Data
 def open_store(spark: SparkSession, path: str) -> BatchStore:
     """The tables that ``ingest_pages`` writes, as their readers see them."""
     return BatchStore(spark, path, {"document": (DOCUMENT, []), "recipe": (RECIPE, []), "quarantine": (QUARANTINE, []),
-                                    "title": (INDEX, ["bucket"])})
+                                    "title": (INDEX, ["bucket"]), "counts": (COUNTS, [])})
 
 
 def ingest_batch(store: BatchStore, pages: DataFrame, batch_id: int | str, spec: PageSpec = PageSpec()) -> None:
@@ -47,7 +53,10 @@ def ingest_batch(store: BatchStore, pages: DataFrame, batch_id: int | str, spec:
     ex = split_parsed(parsed, spec)
     assert_no_orphans(ex.recipe, ex.document, "document", "id")
     quarantine = ex.quarantine.unionByName(empty.select("source", F.lit("empty").alias("reason")))
-    store.write(batch_id, {"document": ex.document, "recipe": ex.recipe, "quarantine": quarantine, "title": index_rows(ex.document)})
+    stored, left = Counted("document", [], F.lit(None).cast("string")), Counted("page", REASONS)
+    store.write(batch_id, {"document": stored.watch(ex.document), "recipe": ex.recipe, "quarantine": left.watch(quarantine),
+                           "title": index_rows(ex.document),
+                           "counts": lambda: stored.frame(store.spark).unionByName(left.frame(store.spark)).where("n > 0")})
 
 
 def ingest_pages(spark: SparkSession, src: str, out: str, checkpoint: str, spec: PageSpec = PageSpec()):
