@@ -8,10 +8,12 @@ be like it. Components are taken over the verified edges only.
 """
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.session import cut_lineage, scratch_path
+from chatloom.session import cut_lineage, write_once
 
 
 def normalize(text: Column) -> Column:
@@ -27,25 +29,45 @@ def exact_duplicates(docs: DataFrame, key: str = "id", text: str = "text") -> Da
     return h.join(keep, "_h").select(key, "keep_id")
 
 
+def _grams(n: int) -> Column:
+    """Every window of ``n`` words of a normalised text ``_t``, found by one regex; a text shorter than
+    ``n`` words is one."""
+    window = r"(?<!\S)(?=(" + " ".join([r"\S+"] * n) + r"))"
+    return (F.when(F.size(F.split("_t", " ")) < n, F.array("_t"))
+            .otherwise(F.regexp_extract_all("_t", F.lit(window), 1)))
+
+
 def shingles(docs: DataFrame, key: str = "id", text: str = "text", n: int = 5, distinct: bool = True) -> DataFrame:
     """Word n-grams per document (every word of the whole text); ``distinct`` makes them a set."""
-    # every window of n words, found by one regex (a JVM expression rather than a per-element
-    # lambda); a text shorter than n words is one shingle
     norm = docs.select(key, normalize(F.col(text)).alias("_t"))
-    window = r"(?<!\S)(?=(" + " ".join([r"\S+"] * n) + r"))"
-    grams = norm.select(key, F.explode(
-        F.when(F.size(F.split("_t", " ")) < n, F.array("_t"))
-         .otherwise(F.regexp_extract_all("_t", F.lit(window), 1))).alias("shingle"))
-    grams = grams.where(F.col("shingle") != "")
+    grams = norm.select(key, F.explode(_grams(n)).alias("shingle")).where(F.col("shingle") != "")
     return grams.distinct() if distinct else grams
 
 
+def shingle_sets(docs: DataFrame, key: str = "id", text: str = "text", n: int = 5) -> DataFrame:
+    """(key, set): the 64-bit hashes of a document's shingles, as one row expression. Of the rows of one
+    key the one with the greatest set counts."""
+    norm = docs.select(key, normalize(F.col(text)).alias("_t")).where("_t <> ''")
+    sets = norm.select(key, F.array_distinct(F.transform(_grams(n), lambda s: F.xxhash64(s))).alias("set"))
+    return sets.groupBy(key).agg(F.max("set").alias("set"))
+
+
+#: the seeded hashes are (a x + b) mod p of a shingle's crc32, which plain SQL can compute as well
+PRIME = 2_147_483_647
+
+
+def seeded(i: int) -> tuple[int, int]:
+    """(a, b) of the i-th hash."""
+    digest = hashlib.md5(f"minhash {i}".encode()).hexdigest()
+    return int(digest[:7], 16) * 2 + 1, int(digest[8:15], 16)
+
+
 def minhash_bands(sh: DataFrame, key: str = "id", bands: int = 8, rows: int = 4) -> DataFrame:
-    """(doc, band, bucket): ``bands * rows`` seeded 64-bit hashes, minimum per doc, grouped in bands."""
+    """(doc, band, bucket): ``bands * rows`` seeded hashes, minimum per doc, grouped in bands."""
     k = bands * rows
-    # hash each shingle string once; the k seeded values are hashes of that 64-bit number
-    base = sh.select(key, F.xxhash64("shingle").alias("_h"))
-    sig = base.groupBy(key).agg(*[F.min(F.xxhash64(F.lit(i), "_h")).alias(f"h{i}") for i in range(k)])
+    # each shingle is hashed once; the k seeded values come from that number
+    base = sh.select(key, F.crc32("shingle").alias("_x"))
+    sig = base.groupBy(key).agg(*[F.min((F.col("_x") * a + b) % PRIME).alias(f"h{i}") for i, (a, b) in enumerate(map(seeded, range(k)))])
     parts = [F.struct(F.lit(b).alias("band"),
                       F.xxhash64(*[F.col(f"h{b * rows + r}") for r in range(rows)]).alias("bucket"))
              for b in range(bands)]
@@ -68,50 +90,46 @@ def components(edges: DataFrame, key: str = "id") -> DataFrame:
         labels = new.select(key, "label")
 
 
-def jaccard_to(sh: DataFrame, pairs: DataFrame, key: str = "id") -> DataFrame:
-    """Exact Jaccard of each (id, other) pair from the shingle sets (one join per pair list)."""
-    a = sh.select(F.col(key), "shingle")
-    b = sh.select(F.col(key).alias("other"), "shingle")
-    sizes = sh.groupBy(key).agg(F.count(F.lit(1)).alias("na"))
-    inter = (pairs.join(a, key).join(b, ["other", "shingle"])
-             .groupBy(key, "other").agg(F.count(F.lit(1)).alias("ni")))
-    return (pairs.join(inter, [key, "other"], "left").fillna(0, ["ni"])
-            .join(sizes, key).join(sizes.select(F.col(key).alias("other"), F.col("na").alias("nb")), "other")
-            .withColumn("jaccard", F.col("ni") / (F.col("na") + F.col("nb") - F.col("ni"))))
+def alike(sets: DataFrame, pairs: DataFrame, threshold: float, key: str = "id") -> DataFrame:
+    """The (key, other) pairs whose sets (arrays of ``shingle_sets``) have a Jaccard similarity of at least ``threshold``."""
+    a = sets.select(key, F.col("set").alias("_a"))
+    b = sets.select(F.col(key).alias("other"), F.col("set").alias("_b"))
+    least, most = F.least(F.size("_a"), F.size("_b")), F.greatest(F.size("_a"), F.size("_b"))
+    met = pairs.join(a, key).join(b, "other").where(least >= threshold * most)      # sizes alone rule a pair out
+    shared = met.select(key, "other", F.size(F.array_intersect("_a", "_b")).alias("_i"), (F.size("_a") + F.size("_b")).alias("_n"))
+    return shared.where(F.col("_i") / (F.col("_n") - F.col("_i")) >= threshold).select(key, "other")
 
 
 def near_duplicates(docs: DataFrame, key: str = "id", text: str = "text", threshold: float = 0.8,
                     n: int = 5, bands: int = 8, rows: int = 4) -> DataFrame:
     """B1: each document -> ``keep_id``: the smallest id that verified edges (shingle Jaccard of at least
     ``threshold`` with a leader of a shared LSH bucket) lead to; itself without any."""
+    spark = docs.sparkSession
     # a minimum ignores repeats, so the signatures need no distinct (no shuffle of all shingles)
     bands_ = minhash_bands(shingles(docs.where(F.col(key).isNotNull()), key, text, n, distinct=False), key, bands, rows)
     # docs x bands rows, read twice: materialise once in the shared folder
-    bands_ = cut_lineage(bands_)
+    bands_ = write_once(bands_, "bands")
     shared = bands_.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    left = cut_lineage(bands_.join(shared, ["band", "bucket"]))
+    left = write_once(bands_.join(shared, ["band", "bucket"]), "left")
     if left.isEmpty():
         return docs.select(key, F.col(key).alias("keep_id"))
-    # shingle sets only for documents in a candidate pair; hashed, and written once for all rounds
-    path = scratch_path(docs.sparkSession, "shingles")
+    # shingle sets only for documents in a candidate pair, written once for all rounds
     involved = left.select(key).distinct()
-    sh = shingles(docs.join(involved, key, "left_semi"), key, text, n, distinct=False)
-    sh.select(key, F.xxhash64("shingle").alias("shingle")).distinct().write.parquet(path)
-    sh = docs.sparkSession.read.parquet(path)
+    sets = write_once(shingle_sets(docs.join(involved, key, "left_semi"), key, text, n), "sets")
     edges, leaders = None, 1
     while not left.isEmpty():
         # the first leader is an aggregate: whole groups of copies are left then
         first = left.groupBy("band", "bucket").agg(F.min(key).alias(key))
         chosen = first if leaders == 1 else top_k(left, ["band", "bucket"], [F.col(key)], leaders, salt_key=key)
-        chosen = cut_lineage(chosen.select("band", "bucket", F.col(key).alias("other")))
-        pairs = cut_lineage(left.join(chosen, ["band", "bucket"]).where(F.col("other") < F.col(key)).select(key, "other").distinct())
-        found = cut_lineage(jaccard_to(sh, pairs, key).where(F.col("jaccard") >= threshold).select(key, "other"))
+        chosen = write_once(chosen.select("band", "bucket", F.col(key).alias("other")), "leaders")
+        pairs = left.join(chosen, ["band", "bucket"]).where(F.col("other") < F.col(key)).select(key, "other").distinct()
+        found = write_once(alike(sets, pairs, threshold, key), "alike")
         edges = found if edges is None else edges.unionByName(found)
         rest = (left.join(chosen.withColumnRenamed("other", key), ["band", "bucket", key], "left_anti")
                 .join(found.select(key).distinct(), key, "left_anti"))
         # a bucket's last member has met all leaders
         more = rest.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-        left = cut_lineage(rest.join(more, ["band", "bucket"]))
+        left = write_once(rest.join(more, ["band", "bucket"]), "left")
         leaders *= 2
     labels = components(edges, key)
     return (docs.select(key).join(labels, key, "left")

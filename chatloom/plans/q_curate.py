@@ -11,7 +11,8 @@ from chatloom.plans.registry import register
 from chatloom.plans.sql_views import with_views
 from chatloom.sources.tables import document_view, load, recipe_view, training_view
 
-_NORM = "trim(regexp_replace(lower(text), '[^[:alnum:]_]+', ' ', 'g'))"
+# what \w stands for in Unicode: letters, marks, digits, letter numbers, connectors, joiners
+_NORM = r"trim(regexp_replace(lower(text), '[^\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{200C}\x{200D}]+', ' ', 'g'))"
 
 
 @register("exact_duplicates", f"""WITH h AS (SELECT doc_id AS id, md5({_NORM}) AS h FROM documents)
@@ -22,10 +23,46 @@ def exact_duplicates(spark, sf_dir):
     return B.exact_duplicates(d)
 
 
-@register("near_duplicates")
+def _near_sql(threshold: float = 0.8, bands: int = 8, rows: int = 4, rounds: int = 7) -> str:
+    """near_duplicates in SQL: crc32 by table, seeded minima, buckets, then a CTE per round of leaders (``rounds``
+    of them settle buckets of up to 2 ** rounds - 1 unlike documents; more would leave a row with a null keep_id)."""
+    minima = ", ".join(f"min(({a} * x + {b}) % {B.PRIME}) AS h{i}" for i, (a, b) in enumerate(map(B.seeded, range(bands * rows))))
+    buckets = " UNION ALL ".join(
+        f"SELECT id, {j} AS band, concat_ws(',', {', '.join(f'h{j * rows + r}' for r in range(rows))}) AS bucket FROM sig" for j in range(bands))
+    crowded = "QUALIFY count(*) OVER (PARTITION BY band, bucket) > 1"
+    ctes = [f"norm AS (SELECT doc_id AS id, {_NORM} AS t FROM documents)",
+            "words AS (SELECT id, string_split(t, ' ') AS w FROM norm WHERE t <> '')",
+            "gram AS MATERIALIZED (SELECT DISTINCT id, s FROM (SELECT id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), "
+            "lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM words))",
+            "size AS (SELECT id, count(*) AS n FROM gram GROUP BY id)",
+            "crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], "
+            "lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t)",
+            "bytes AS (SELECT s, list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS b "
+            "FROM (SELECT s, hex(encode(s)) AS h FROM gram GROUP BY s))",
+            "hashed AS MATERIALIZED (SELECT s, xor(list_reduce(list_prepend(4294967295, b), lambda c, v: xor(c >> 8, t[(xor(c, v) & 255) + 1])), "
+            "4294967295) AS x FROM bytes, crc)",
+            f"sig AS MATERIALIZED (SELECT id, {minima} FROM gram JOIN hashed USING (s) GROUP BY id)",
+            f"left0 AS MATERIALIZED (SELECT * FROM ({buckets}) {crowded})"]
+    for i in range(rounds):
+        ctes += [f"chosen{i} AS MATERIALIZED (SELECT * FROM left{i} QUALIFY row_number() OVER (PARTITION BY band, bucket ORDER BY id) <= {2 ** i})",
+                 f"met{i} AS MATERIALIZED (SELECT DISTINCT l.id, c.id AS other FROM left{i} l JOIN chosen{i} c USING (band, bucket) WHERE c.id < l.id)",
+                 f"both{i} AS (SELECT m.id, m.other, count(*) AS n FROM met{i} m JOIN gram a ON a.id = m.id JOIN gram b ON b.id = m.other AND b.s = a.s GROUP BY ALL)",
+                 f"found{i} AS MATERIALIZED (SELECT p.id, p.other FROM both{i} p JOIN size a ON a.id = p.id JOIN size b ON b.id = p.other "
+                 f"WHERE p.n / (a.n + b.n - p.n) >= {threshold})",
+                 f"left{i + 1} AS MATERIALIZED (SELECT l.* FROM left{i} l ANTI JOIN chosen{i} c ON l.id = c.id AND l.band = c.band AND l.bucket = c.bucket "
+                 f"WHERE l.id NOT IN (SELECT id FROM found{i}) {crowded})"]
+    edges = " UNION ".join(f"SELECT id, other FROM found{i} UNION SELECT other, id FROM found{i}" for i in range(rounds))
+    ctes += [f"edge AS MATERIALIZED ({edges})",
+             "reach(id, other) AS (SELECT id, id FROM edge UNION SELECT reach.id, edge.other FROM reach JOIN edge ON edge.id = reach.other)",
+             "label AS (SELECT id, min(other) AS label FROM reach GROUP BY id)"]
+    return "WITH RECURSIVE " + ",\n".join(ctes) + f"""
+SELECT d.doc_id AS id, CASE WHEN NOT EXISTS (SELECT 1 FROM left{rounds}) THEN coalesce(label, d.doc_id) END AS keep_id
+FROM documents d LEFT JOIN label ON label.id = d.doc_id"""
+
+
+@register("near_duplicates", _near_sql())
 def near_duplicates(spark, sf_dir):
-    """B1: near copies (shingle MinHash bands, components, verified Jaccard >= 0.8) -> keep_id.
-    Rows-only here; the unit tests compare it with brute-force Jaccard on a small fixture."""
+    """B1: near copies (shingle MinHash bands, verified Jaccard >= 0.8 with bucket leaders, components) -> keep_id."""
     d = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
     return B.near_duplicates(d)
 

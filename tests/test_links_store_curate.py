@@ -152,3 +152,22 @@ def test_ingest_stores_a_title_once(spark):
     assert docs == [("Other", "c.html"), ("Same", "a0.html")]
     left = sorted((os.path.basename(r.source), r.reason) for r in open_store(spark, out).read("quarantine").collect())
     assert left == [(n, "duplicate_title") for n in ("a1.html", "a2.html", "b.html")]
+
+
+def test_near_duplicates_awkward_rows(spark):
+    schema = "id long, text string"
+    assert B.near_duplicates(spark.createDataFrame([], schema)).collect() == []
+    words = " ".join(f"w{i}" for i in range(30))
+    rows_ = [(1, None), (2, ""), (3, " ?! "), (4, "Two words"), (5, "two, words"), (6, words), (6, words + " more"), (7, words), (None, words)]
+    got = sorted(((r["id"], r["keep_id"]) for r in B.near_duplicates(spark.createDataFrame(rows_, schema)).collect()), key=str)
+    assert got == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 4), (6, 6), (6, 6), (7, 6), (None, None)]
+
+
+def test_minhash_is_the_stated_arithmetic(spark):
+    import zlib
+    sh = spark.createDataFrame([(1, "a b c d e"), (1, "b c d e ü"), (2, "x")], "id long, shingle string")
+    got = {(r["id"], r["band"]): r["bucket"] for r in B.minhash_bands(sh, bands=2, rows=2).collect()}
+    for i, grams in ((1, ["a b c d e", "b c d e ü"]), (2, ["x"])):
+        h = [min((a * zlib.crc32(g.encode()) + b) % B.PRIME for g in grams) for a, b in map(B.seeded, range(4))]
+        want = spark.range(1).select(*[F.xxhash64(F.lit(h[2 * j]).cast("long"), F.lit(h[2 * j + 1]).cast("long")) for j in range(2)]).first()
+        assert [got[(i, j)] for j in range(2)] == list(want)
