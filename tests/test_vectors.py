@@ -108,3 +108,42 @@ def test_survivors_come_out_under_a_new_revision(spark):
     out = V.deduplicate_training(training, embed, "base", "unique").collect()
     assert {r.revision for r in out} == {"unique"} and len(out) == 7
     assert {r.conversation for r in out} == {"c1", "c2", "c4", "c9"}
+
+
+def test_members_of_a_bucket_meet_without_joined_pairs(spark, monkeypatch):
+    rows = clouds(5, 250)
+    asked = []
+    monkeypatch.setattr(V, "alike", lambda pairs, units, threshold: asked.append(pairs.count()))
+    V.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sum(asked) == 0                              # pairs that were joined with both vectors, most of them unlike
+    rows = rows[:300]
+    members = spark.createDataFrame([(i, 0, 0, len(rows)) for i, _ in rows], "id long, band int, bucket long, n long")
+    for most in (8, 64, 1000):
+        monkeypatch.setattr(V, "MANY", most)
+        met = V.meetings(members).groupBy("part").agg(F.collect_list("id").alias("ids")).collect()
+        pairs = {(a, b) for r in met for a in r.ids for b in r.ids if a < b}
+        assert len(pairs) == len(rows) * (len(rows) - 1) // 2 and sum(len(r.ids) for r in met) <= len(rows) * max(1, 2 * len(rows) / most)
+
+
+def test_huge_buckets_are_thinned_and_met_in_blocks_with_the_same_links(spark, monkeypatch):
+    rows = clouds(6, 60) + [(10_000 + i, [1.0] * 23 + [i / 500]) for i in range(120)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want = Counter(map(tuple, V.near_vectors(df).collect()))
+    asked, real = [], V.alike
+
+    def counted(pairs, units, threshold):
+        asked.append(pairs.count())
+        return real(pairs, units, threshold)
+
+    monkeypatch.setattr(V, "alike", counted)
+    monkeypatch.setattr(V, "MANY", 8)
+    monkeypatch.setattr(V, "HUGE", 40)
+    assert Counter(map(tuple, V.near_vectors(df).collect())) == want
+    assert 0 < sum(asked) < 20 * len(rows) and want[10_119, 10_000] == 1
+
+
+def test_an_index_leads_to_the_least_one_linked():
+    near = np.eye(6, dtype=bool)
+    for a, b in ((0, 5), (5, 3), (1, 4)):
+        near[a, b] = near[b, a] = True
+    assert V._least(near).tolist() == [0, 1, 2, 0, 1, 0] and V._least(np.eye(3, dtype=bool)).tolist() == [0, 1, 2]
