@@ -1,4 +1,5 @@
 import os
+import random
 import re
 import tempfile
 
@@ -171,3 +172,40 @@ def test_minhash_is_the_stated_arithmetic(spark):
         h = [min((a * zlib.crc32(g.encode()) + b) % B.PRIME for g in grams) for a, b in map(B.seeded, range(4))]
         want = spark.range(1).select(*[F.xxhash64(F.lit(h[2 * j]).cast("long"), F.lit(h[2 * j + 1]).cast("long")) for j in range(2)]).first()
         assert [got[(i, j)] for j in range(2)] == list(want)
+
+
+def test_sets_are_read_for_pairs_that_may_be_alike_only(spark, monkeypatch):
+    # all share half of their words in one run: many meet in buckets, none is like another but for two copies
+    shared = " ".join(f"w{i}" for i in range(80))
+    texts = [shared + " " + " ".join(f"d{i}x{j}" for j in range(60)) for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts + [texts[3] + " more", texts[9]])), "id long, text string")
+    asked, real = [], B.alike
+
+    def counted(sets, pairs, threshold, key):
+        asked.append((sets.count(), pairs.count()))
+        return real(sets, pairs, threshold, key)
+
+    monkeypatch.setattr(B, "alike", counted)
+    tables = {t.name for t in spark.catalog.listTables()}
+    keep = {r["id"]: r["keep_id"] for r in B.near_duplicates(df).collect()}
+    assert {i: k for i, k in keep.items() if i != k} == {60: 3, 61: 9}
+    assert sum(n for n, _ in asked) <= 4 and sum(n for _, n in asked) == 2, asked
+    assert {t.name for t in spark.catalog.listTables()} == tables
+
+
+def test_bitmaps_rule_out_no_like_pair(spark):
+    rng = random.Random(8)
+    sets = []
+    for size in (1, 2, 5, 40, 700, 6000):
+        base = [rng.getrandbits(63) - 2 ** 62 for _ in range(size)]
+        for lost in (0, 0.05, 0.11, 0.2, 0.5, 1):
+            gone = int(size * lost)
+            sets.append(base[gone:] + [rng.getrandbits(62) for _ in range(gone)])
+    df = spark.createDataFrame(list(enumerate(sets)), "id long, set array<long>")
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i)]
+    some = spark.createDataFrame(pairs, "id long, other long")
+    like = {(i, j) for i, j in pairs if len(set(sets[i]) & set(sets[j])) / len(set(sets[i]) | set(sets[j])) >= 0.8}
+    left = {tuple(r) for r in B.may_be_alike(B.bitmaps(df), some, 0.8).collect()}
+    assert like <= left and {tuple(r) for r in B.alike(df, some, 0.8).collect()} == like
+    small = {(i, j) for i, j in left if max(len(sets[i]), len(sets[j])) < B.CELLS}           # larger sets fill the cells
+    assert len(like) > 10 and len(small - like) <= 2
